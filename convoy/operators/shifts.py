@@ -9,6 +9,8 @@ from convoy import schemas
 from convoy.functions.numeric import round_ieee, seconds_between, to_hours
 from convoy.functions.ordering import ascending, descending, spread_sort
 
+_SHIFT = ["unit_no", "clock_in", "clock_out", "odometer_in", "odometer_out"]
+
 
 def with_driver(facts: DataFrame, profiles: DataFrame) -> DataFrame:
     """Join any table that has ``employee_id`` to the roster, adding ``driver`` and rate.
@@ -35,17 +37,13 @@ def _hours(scale: int | None) -> Column:
 def completed_shifts(
     entries: DataFrame, profiles: DataFrame, *, hour_scale: int | None = None
 ) -> DataFrame:
-    """Closed shifts of known drivers with their length in hours."""
-    return with_driver(_closed(entries), profiles).select(
-        "driver",
-        "unit_no",
-        "clock_in",
-        "clock_out",
-        "odometer_in",
-        "odometer_out",
-        "hourly_rate",
-        _hours(hour_scale).alias("hours"),
-    )
+    """Closed shifts of known drivers with their length in hours.
+
+    The length is taken before the join. Behind it, a filter on the length
+    would make the optimizer parse both times again inside the join condition.
+    """
+    timed = _closed(entries).select("employee_id", *_SHIFT, _hours(hour_scale).alias("hours"))
+    return with_driver(timed, profiles).select("driver", *_SHIFT, "hourly_rate", "hours")
 
 
 def driver_hours(

@@ -6,8 +6,12 @@ kept, so the work grows with the given tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Callable
+from functools import partial
+
+from pyspark.sql import DataFrame, SparkSession
+
+from convoy.sources.lake import LATEST, read_table
 
 DAY_1 = "2026-07-01"
 DAY_2 = "2026-07-02"
@@ -18,130 +22,130 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _iso(moment: Column, micros: bool = False) -> Column:
-    text = moment.cast("string")
-    whole = F.translate(F.substring(text, 1, 19), " ", "T")
-    if not micros:
-        return F.concat(whole, F.lit("+00:00"))
-    return F.concat(whole, F.lit("."), F.rpad(F.substring(text, 21, 6), 6, "0"), F.lit("+00:00"))
-
-
-def _driver_id(key: Column) -> Column:
-    return F.concat(F.lit("D"), key.cast("string"))
-
-
 def profiles(spark: SparkSession, sf_dir: str, day: str = TODAY) -> DataFrame:
     """The roster; on the first day every positive rate is one lower."""
-    key = F.col("c_custkey")
-    paid = (18 + key % 5).cast("double") - (1.0 if day == DAY_1 else 0.0)
-    return _table(spark, sf_dir, "customer").select(
-        _driver_id(key).alias("id"),
-        F.concat(F.lit("Driver "), (key % 400).cast("string")).alias("name"),
-        F.when(key % 17 == 0, F.lit(None)).when(key % 13 == 0, 0.0).otherwise(paid).alias(
-            "hourly_rate"
-        ),
-        F.concat(F.lit("tok-"), key.cast("string")).alias("Session_Token"),
-        F.lit("x").alias("password_hash"),
+    less = 1 if day == DAY_1 else 0
+    return _table(spark, sf_dir, "customer").selectExpr(
+        "'D' || c_custkey as id",
+        "'Driver ' || (c_custkey % 400) as name",
+        "case when c_custkey % 17 = 0 then null when c_custkey % 13 = 0 then 0D "
+        f"else cast(18 + c_custkey % 5 - {less} as double) end as hourly_rate",
+        "'tok-' || c_custkey as Session_Token",
+        "'x' as password_hash",
     )
 
 
 def time_entries(spark: SparkSession, sf_dir: str, day: str = TODAY) -> DataFrame:
     """Shifts; on the first day those of status O are still open."""
-    key = F.col("o_orderkey")
-    start = F.timestamp_add("HOUR", (key * 7 % 24).cast("int"), F.col("o_orderdate"))
-    end = F.timestamp_add("SECOND", (key * 7919 % 72000 - 600).cast("int"), start)
-    still_open = key % 11 == 0
-    if day == DAY_1:
-        still_open = still_open | (F.col("o_orderstatus") == "O")
-    base = (key * 10).cast("double")
-    return _table(spark, sf_dir, "orders").select(
-        key.alias("id"),
-        F.when(key % 97 == 0, F.lit(None))
-        .when(key % 50 == 49, F.concat(F.lit("X"), F.col("o_custkey").cast("string")))
-        .otherwise(_driver_id(F.col("o_custkey")))
-        .alias("employee_id"),
-        F.concat(F.lit("U"), (key % 40).cast("string")).alias("unit_no"),
-        _iso(start).alias("clock_in"),
-        F.when(~still_open, _iso(end)).alias("clock_out"),
-        F.when(key % 19 != 0, base).alias("odometer_in"),
-        F.when(key % 23 != 0, base + key * 31 % 500 - 5).alias("odometer_out"),
+    waiting = "o_orderkey % 11 = 0" + (" or o_orderstatus = 'O'" if day == DAY_1 else "")
+    timed = _table(spark, sf_dir, "orders").selectExpr(
+        "*",
+        "timestampadd(HOUR, cast(o_orderkey * 7 % 24 as int), o_orderdate) as began",
+        "cast(o_orderkey * 7919 % 72000 - 600 as int) as span",
+    )
+    return timed.selectExpr(
+        "o_orderkey as id",
+        "case when o_orderkey % 97 = 0 then null when o_orderkey % 50 = 49 "
+        "then 'X' || o_custkey else 'D' || o_custkey end as employee_id",
+        "'U' || (o_orderkey % 40) as unit_no",
+        "translate(cast(began as string), ' ', 'T') || '+00:00' as clock_in",
+        f"case when not ({waiting}) then "
+        "translate(cast(timestampadd(SECOND, span, began) as string), ' ', 'T') || '+00:00' "
+        "end as clock_out",
+        "case when o_orderkey % 19 <> 0 then cast(o_orderkey * 10 as double) end as odometer_in",
+        "case when o_orderkey % 23 <> 0 "
+        "then cast(o_orderkey * 10 + o_orderkey * 31 % 500 - 5 as double) end as odometer_out",
     )
 
 
 def fuel_reports(spark: SparkSession, sf_dir: str, day: str = TODAY) -> DataFrame:
     """Fills; on the first day the litres of signup events are not entered yet."""
-    key = F.col("event_id")
-    entered = _iso(F.col("ts"), micros=True)
-    start = F.lit("2024-01-01T00:00:00+00:00").cast("timestamp")
-    minutes = F.timestamp_diff("MINUTE", start, entered.cast("timestamp")).cast("double")
-    litres = (
-        F.when(key % 53 == 0, F.lit(None))
-        .when(key % 41 == 0, 0.0)
-        .otherwise(40.0 + 4.0 * F.col("value"))
+    hidden = "when event_type = 'signup' then null" if day == DAY_1 else ""
+    texts = _table(spark, sf_dir, "events").selectExpr(
+        "*", "cast(ts as date) as day", "cast(ts as string) as moment"
     )
-    if day == DAY_1:
-        litres = F.when(F.col("event_type") != "signup", litres)
-    return _table(spark, sf_dir, "events").select(
-        key.alias("id"),
-        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("unit_no"),
-        F.substring(F.col("ts").cast("string"), 1, 10).alias("report_date"),
-        entered.alias("created_at"),
-        F.when(key % 61 != 0, minutes - F.when(key % 37 == 0, 5000.0).otherwise(0.0)).alias(
-            "odometer"
-        ),
-        litres.alias("fuel_litres"),
-        _driver_id(F.col("user_id")).alias("employee_id"),
+    return texts.selectExpr(
+        "event_id as id",
+        "'U' || user_id as unit_no",
+        "substring(moment, 1, 10) as report_date",
+        # Spark drops trailing zeros of the fraction; all six digits are wanted.
+        "substring(moment, 1, 10) || 'T' || substring(moment, 12, 8) || '.' "
+        "|| rpad(substring(moment, 21, 6), 6, '0') || '+00:00' as created_at",
+        "case when event_id % 61 <> 0 then cast("
+        "datediff(day, date'2024-01-01') * 1440 + hour(ts) * 60 + minute(ts) "
+        "- if(event_id % 37 = 0, 5000, 0) as double) end as odometer",
+        f"case {hidden} when event_id % 53 = 0 then null when event_id % 41 = 0 then 0D "
+        "else 40D + 4D * value end as fuel_litres",
+        "'D' || user_id as employee_id",
     )
 
 
 def loads(spark: SparkSession, sf_dir: str, day: str = TODAY) -> DataFrame:
-    return _table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("id"), _driver_id(F.col("l_suppkey")).alias("employee_id")
+    return _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey as id", "'D' || l_suppkey as employee_id"
     )
 
 
 def truck_changes(spark: SparkSession, sf_dir: str, day: str = TODAY) -> DataFrame:
-    return _table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    return _table(spark, sf_dir, "events").selectExpr("event_id as id")
+
+
+TABLES = {
+    "profiles": profiles,
+    "time_entries": time_entries,
+    "fuel_reports": fuel_reports,
+    "truck_changes": truck_changes,
+    "loads": loads,
+}
+
+
+def snapshot(spark: SparkSession, sf_dir: str, day: str) -> dict[str, DataFrame]:
+    """All five operational tables as they stood on one day."""
+    return {name: make(spark, sf_dir, day) for name, make in TABLES.items()}
+
+
+# A way to get an operational table by name.
+Fleet = Callable[[str], DataFrame]
+
+
+def derived(spark: SparkSession, sf_dir: str) -> Fleet:
+    """Today's tables, computed from the given ones inside the query."""
+    return lambda name: TABLES[name](spark, sf_dir)
+
+
+def landed(spark: SparkSession, root: str) -> Fleet:
+    """The latest snapshots of a lake."""
+    return partial(_landed, spark, root)
+
+
+def _landed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return read_table(spark, root, name, LATEST)
 
 
 def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions with SQL texts of many kinds built around each whole message."""
-    text = F.col("text")
-    quoted = F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
+    quoted = "concat('\\'', replace(text, '\\'', '\\'\\''), '\\'')"
     kinds = [
-        F.concat(F.lit("SELECT * FROM loads l WHERE l.note = "), quoted),
-        F.concat(F.lit("  with x as (select 1 as a) select a from x -- "), text),
-        F.concat(F.lit("DROP TABLE loads -- "), text),
-        F.concat(F.lit("SELECT 1; SELECT "), quoted),
-        F.concat(F.lit("SELECT 'please update it', "), quoted),
-        F.concat(F.lit("SELECT 'a;b', "), quoted),
-        F.concat(F.lit("SELECT l.updated_at FROM loads l WHERE l.note = "), quoted),
-        F.concat(F.lit("SELECT replace("), quoted, F.lit(", 'a', 'b')")),
-        F.concat(F.lit("selection of "), text),
-        F.concat(F.lit("/* "), text, F.lit(" */ SELECT 1")),
-        F.concat(F.lit("(SELECT "), quoted, F.lit(")")),
-        F.concat(F.lit("EXPLAIN SELECT "), quoted),
-        F.concat(F.lit("select 1 from loads MERGE "), text),
-        F.concat(F.lit("```sql\nSELECT "), quoted, F.lit("\n```")),
-        F.concat(F.lit("```\nwith t as (select "), quoted, F.lit(" as a) select a from t;;\n```")),
-        text,
+        f"'SELECT * FROM loads l WHERE l.note = ' || {quoted}",
+        "'  with x as (select 1 as a) select a from x -- ' || text",
+        "'DROP TABLE loads -- ' || text",
+        f"'SELECT 1; SELECT ' || {quoted}",
+        f"'SELECT \\'please update it\\', ' || {quoted}",
+        f"'SELECT \\'a;b\\', ' || {quoted}",
+        f"'SELECT l.updated_at FROM loads l WHERE l.note = ' || {quoted}",
+        f"'SELECT replace(' || {quoted} || ', \\'a\\', \\'b\\')'",
+        "'selection of ' || text",
+        "'/* ' || text || ' */ SELECT 1'",
+        f"'(SELECT ' || {quoted} || ')'",
+        f"'EXPLAIN SELECT ' || {quoted}",
+        "'select 1 from loads MERGE ' || text",
+        f"'```sql\\nSELECT ' || {quoted} || '\\n```'",
+        f"'```\\nwith t as (select ' || {quoted} || ' as a) select a from t;;\\n```'",
+        "text",
     ]
-    turn, conversation = F.col("turn"), F.col("conv_id")
-    pick = (turn + conversation) % len(kinds)
-    sql = F.when(pick == 0, kinds[0])
-    for i, kind in enumerate(kinds[1:], start=1):
-        sql = sql.when(pick == i, kind)
-    return _table(spark, sf_dir, "conversations").select(
-        (conversation * 100000 + turn).alias("id"), text.alias("question"), sql.alias("sql")
+    arms = " ".join(f"when {i} then {kind}" for i, kind in enumerate(kinds))
+    return _table(spark, sf_dir, "conversations").selectExpr(
+        "conv_id * 100000 + turn as id",
+        "text as question",
+        f"case (turn + conv_id) % {len(kinds)} {arms} end as sql",
     )
-
-
-def snapshot(spark: SparkSession, sf_dir: str, day: str) -> dict[str, DataFrame]:
-    """All five operational tables as they stood on one day."""
-    return {
-        "profiles": profiles(spark, sf_dir, day),
-        "time_entries": time_entries(spark, sf_dir, day),
-        "fuel_reports": fuel_reports(spark, sf_dir, day),
-        "truck_changes": truck_changes(spark, sf_dir, day),
-        "loads": loads(spark, sf_dir, day),
-    }

@@ -32,8 +32,11 @@ from convoy.session import scratch_path
 from convoy.sources.anomaly_store import read_anomalies, read_runs
 from convoy.sources.lake import ALL, LATEST, day_path, read_table
 from convoy.sources.operational import drop_sensitive
-from registry import fleet
+from registry.fleet import DAY_1, DAY_2, TABLES, TODAY, Fleet, derived, query_log, snapshot
 
+# Over operational tables, wherever they come from.
+FleetQuery = Callable[[Fleet], DataFrame]
+# Over the given parquet tables.
 Query = Callable[[SparkSession, str], DataFrame]
 
 READONLY_SQL = """
@@ -46,74 +49,54 @@ ORDER BY fills DESC, driver, fr.unit_no
 LIMIT 100
 """
 
+# ------------------------------------------------- queries over the fleet tables
 
-def _shift_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return fleet.time_entries(spark, sf), fleet.profiles(spark, sf)
 
+def _feed(fleet: Fleet) -> DataFrame:
+    return detection_feed(fleet("fuel_reports"), fleet("time_entries"), fleet("profiles"))
 
-def _feed(spark: SparkSession, sf: str) -> DataFrame:
-    return detection_feed(fleet.fuel_reports(spark, sf), *_shift_tables(spark, sf))
 
-
-def _hours(limit: int | None, **options) -> Query:
-    return lambda spark, sf: driver_hours(*_shift_tables(spark, sf), limit=limit, **options)
+def _hours(limit: int | None, **options) -> FleetQuery:
+    return lambda fleet: driver_hours(
+        fleet("time_entries"), fleet("profiles"), limit=limit, **options
+    )
 
 
-def _economy(limit: int | None) -> Query:
-    return lambda spark, sf: fuel_economy(fleet.fuel_reports(spark, sf), limit=limit)
+def _economy(limit: int | None) -> FleetQuery:
+    return lambda fleet: fuel_economy(fleet("fuel_reports"), limit=limit)
 
 
-def _shifts(hour_scale: int | None) -> Query:
-    return lambda spark, sf: shift_anomalies(*_shift_tables(spark, sf), hour_scale=hour_scale)
+def _shifts(hour_scale: int | None) -> FleetQuery:
+    return lambda fleet: shift_anomalies(
+        fleet("time_entries"), fleet("profiles"), hour_scale=hour_scale
+    )
 
 
-def _two_days(spark: SparkSession, sf: str, *tables: str) -> str:
-    """A lake in the shared folder with two days of the named tables (default: all)."""
-    root = scratch_path(spark, "lake")
-    for day in (fleet.DAY_1, fleet.DAY_2):
-        tables_of_day = fleet.snapshot(spark, sf, day)
-        chosen = {t: tables_of_day[t] for t in tables} if tables else tables_of_day
-        run_extract(spark, chosen, root, day)
-    return root
+def _tiles(fleet: Fleet) -> DataFrame:
+    feed = _feed(fleet).limit(schemas.FEED_TOP)
+    return kpi_tiles(_hours(schemas.DASHBOARD_TOP)(fleet), _economy(schemas.DASHBOARD_TOP)(fleet), feed)
 
 
-def _two_runs(spark: SparkSession, sf: str) -> str:
-    """The same lake with the detection run of each day."""
-    root = _two_days(spark, sf, "profiles", "time_entries", "fuel_reports")
-    for day in (fleet.DAY_1, fleet.DAY_2):
-        detect(spark, root, day, snapshot=day)
-    return root
+def _tiles_uncapped(fleet: Fleet) -> DataFrame:
+    return kpi_tiles(_hours(None)(fleet), _economy(None)(fleet), _feed(fleet))
 
 
-def _insight_sets(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    feed = _feed(spark, sf).withColumn(schemas.DETECT_KEY, F.lit(fleet.TODAY))
-    return insights(*_shift_tables(spark, sf), fleet.fuel_reports(spark, sf), feed)
+def _severity_counts(fleet: Fleet) -> DataFrame:
+    rated = severity_feed(_feed(fleet))
+    return rated.groupBy("severity").agg(F.count(F.lit(1)).alias("records"))
 
 
-def tiles(spark: SparkSession, sf: str) -> DataFrame:
-    entries, roster = _shift_tables(spark, sf)
-    return kpi_tiles(
-        driver_hours(entries, roster),
-        fuel_economy(fleet.fuel_reports(spark, sf)),
-        _feed(spark, sf).limit(schemas.FEED_TOP),
-    )
+def _loads_per_driver(fleet: Fleet) -> DataFrame:
+    per_employee = fleet("loads").groupBy("employee_id").agg(F.count(F.lit(1)).alias("loads"))
+    joined = with_driver(per_employee, fleet("profiles"))
+    return joined.groupBy("driver").agg(F.sum("loads").alias("loads"))
 
 
-def tiles_uncapped(spark: SparkSession, sf: str) -> DataFrame:
-    entries, roster = _shift_tables(spark, sf)
-    return kpi_tiles(
-        driver_hours(entries, roster, limit=None),
-        fuel_economy(fleet.fuel_reports(spark, sf), limit=None),
-        _feed(spark, sf),
-    )
-
-
-def _result_text(form: Callable[[DataFrame], DataFrame], spark: SparkSession, sf: str) -> DataFrame:
-    """The three result sets as one table of (insight, line)."""
-    parts = [
-        form(df).select(F.lit(name).alias("insight"), "line")
-        for name, df in _insight_sets(spark, sf).items()
-    ]
+def _result_text(form: Callable[[DataFrame], DataFrame], fleet: Fleet) -> DataFrame:
+    """The dashboard's three result sets as one table of (insight, line)."""
+    feed = _feed(fleet).withColumn(schemas.DETECT_KEY, F.lit(TODAY))
+    sets = insights(fleet("time_entries"), fleet("profiles"), fleet("fuel_reports"), feed)
+    parts = [form(df).select(F.lit(name).alias("insight"), "line") for name, df in sets.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -122,103 +105,117 @@ def _cells(df: DataFrame) -> DataFrame:
     return text.select(F.to_json(F.array(*text.columns)).alias("line"))
 
 
-def all_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    root = _two_days(spark, sf, "profiles", "time_entries")
-    return driver_hours(
-        read_table(spark, root, "time_entries", ALL),
-        read_table(spark, root, "profiles", ALL),
-        limit=None,
-    )
+FLEET_QUERIES: dict[str, FleetQuery] = {
+    "fuel_deltas": lambda fleet: fuel_deltas(fleet("fuel_reports")).select(
+        "id", "unit_no", "prev_odometer", "distance_km", "economy", "km_per_litre"
+    ),
+    "fuel_efficiency": lambda fleet: fuel_efficiency(fleet("fuel_reports")),
+    "fuel_anomalies": lambda fleet: fuel_anomalies(fleet("fuel_reports")),
+    "fuel_economy_top25": _economy(schemas.DASHBOARD_TOP),
+    "fuel_economy_all": _economy(None),
+    "completed_shifts": lambda fleet: completed_shifts(fleet("time_entries"), fleet("profiles")),
+    "driver_hours_top10": _hours(schemas.EXAMPLE_TOP),
+    "driver_hours_top25": _hours(schemas.DASHBOARD_TOP),
+    "driver_hours_all": _hours(None),
+    "driver_hours_quantized": _hours(None, hour_scale=1),
+    "loads_per_driver": _loads_per_driver,
+    "shift_anomalies": _shifts(None),
+    "shift_anomalies_quantized": _shifts(1),
+    "anomaly_feed": _feed,
+    "detection_summary": lambda fleet: detection_summary(_feed(fleet), TODAY),
+    "severity_feed": lambda fleet: severity_feed(_feed(fleet)),
+    "severity_counts": _severity_counts,
+    "kpi_tiles": _tiles,
+    "kpi_tiles_uncapped": _tiles_uncapped,
+    "driver_hours_share": lambda fleet: percent_of_max(
+        _hours(schemas.DASHBOARD_TOP)(fleet), "driver", "hours", "h"
+    ),
+    "fuel_economy_share": lambda fleet: percent_of_max(
+        _economy(None)(fleet), "unit_no", "avg_km_per_litre", " km/L"
+    ),
+    "stringified_insights": lambda fleet: _result_text(_cells, fleet),
+    "text_lines": lambda fleet: _result_text(text_lines, fleet),
+}
 
+# ------------------------------------------- queries that fill a lake or a catalog
+
+
+def _two_days(spark: SparkSession, sf: str, *tables: str) -> str:
+    """A lake in the shared folder with two days of the named tables."""
+    root = scratch_path(spark, "lake")
+    for day in (DAY_1, DAY_2):
+        run_extract(spark, {t: TABLES[t](spark, sf, day) for t in tables}, root, day)
+    return root
 
-def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, _two_days(spark, sf, "fuel_reports"), "fuel_reports", ALL)
 
+def _two_runs(view: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """A view over a lake with the detection runs of two days."""
 
-def lake_snapshot(snapshot: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        root = _two_days(spark, sf, "time_entries")
-        return read_table(spark, root, "time_entries", snapshot)
+        root = _two_days(spark, sf, "profiles", "time_entries", "fuel_reports")
+        for day in (DAY_1, DAY_2):
+            detect(spark, root, day, snapshot=day)
+        return view(spark, root)
 
     return run
 
 
-def evolved(spark: SparkSession, sf: str) -> DataFrame:
+def _all_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    root = _two_days(spark, sf, "profiles", "time_entries")
+    entries = read_table(spark, root, "time_entries", ALL)
+    return driver_hours(entries, read_table(spark, root, "profiles", ALL), limit=None)
+
+
+def _both_fuel_days(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, _two_days(spark, sf, "fuel_reports"), "fuel_reports", ALL)
+
+
+def _lake_snapshot(snapshot: str) -> Query:
+    return lambda spark, sf: read_table(
+        spark, _two_days(spark, sf, "time_entries"), "time_entries", snapshot
+    )
+
+
+def _evolved(spark: SparkSession, sf: str) -> DataFrame:
     """One day with whole-number odometers and no entry time, one day as declared."""
     root = scratch_path(spark, "lake")
-    old = fleet.fuel_reports(spark, sf, fleet.DAY_1).drop("created_at")
+    old = TABLES["fuel_reports"](spark, sf, DAY_1).drop("created_at")
     old.withColumn("odometer", F.col("odometer").cast("long")).write.parquet(
-        day_path(root, "fuel_reports", fleet.DAY_1)
+        day_path(root, "fuel_reports", DAY_1)
     )
-    fleet.fuel_reports(spark, sf).write.parquet(day_path(root, "fuel_reports", fleet.DAY_2))
+    TABLES["fuel_reports"](spark, sf).write.parquet(day_path(root, "fuel_reports", DAY_2))
     return read_table(spark, root, "fuel_reports", ALL)
 
 
-def extract_report(spark: SparkSession, sf: str) -> DataFrame:
-    root = scratch_path(spark, "lake")
-    return run_extract(spark, fleet.snapshot(spark, sf, fleet.TODAY), root, fleet.TODAY)
+def _extract_report(spark: SparkSession, sf: str) -> DataFrame:
+    return run_extract(spark, snapshot(spark, sf, TODAY), scratch_path(spark, "lake"), TODAY)
 
 
-def ask(spark: SparkSession, sf: str) -> DataFrame:
-    for name, df in fleet.snapshot(spark, sf, fleet.TODAY).items():
+def _ask(spark: SparkSession, sf: str) -> DataFrame:
+    for name, df in snapshot(spark, sf, TODAY).items():
         drop_sensitive(df).createOrReplaceTempView(name)
     return readonly_query(spark, READONLY_SQL)
 
 
-def _stored(view: Callable[[SparkSession, str], DataFrame]) -> Query:
-    return lambda spark, sf: view(spark, _two_runs(spark, sf))
-
-
-def _loads_per_driver(spark: SparkSession, sf: str) -> DataFrame:
-    joined = with_driver(fleet.loads(spark, sf), fleet.profiles(spark, sf))
-    return joined.groupBy("driver").agg(F.count(F.lit(1)).alias("loads"))
+def _over_derived(query: FleetQuery) -> Query:
+    return lambda spark, sf: query(derived(spark, sf))
 
 
 QUERIES: dict[str, Query] = {
-    "fuel_deltas": lambda spark, sf: fuel_deltas(fleet.fuel_reports(spark, sf)).select(
-        "id", "unit_no", "prev_odometer", "distance_km", "economy", "km_per_litre"
-    ),
-    "fuel_efficiency": lambda spark, sf: fuel_efficiency(fleet.fuel_reports(spark, sf)),
-    "fuel_anomalies": lambda spark, sf: fuel_anomalies(fleet.fuel_reports(spark, sf)),
-    "fuel_economy_top25": _economy(schemas.DASHBOARD_TOP),
-    "fuel_economy_all": _economy(None),
-    "completed_shifts": lambda spark, sf: completed_shifts(*_shift_tables(spark, sf)),
-    "driver_hours_top10": _hours(schemas.EXAMPLE_TOP),
-    "driver_hours_top25": _hours(schemas.DASHBOARD_TOP),
-    "driver_hours_all": _hours(None),
-    "driver_hours_quantized": _hours(None, hour_scale=1),
-    "driver_hours_all_snapshots": all_snapshots,
-    "loads_per_driver": _loads_per_driver,
-    "shift_anomalies": _shifts(None),
-    "shift_anomalies_quantized": _shifts(1),
-    "anomaly_feed": _feed,
-    "detection_summary": lambda spark, sf: detection_summary(_feed(spark, sf), fleet.TODAY),
-    "detection_runs": _stored(lambda spark, root: read_runs(spark, root).drop("output")),
-    "severity_feed": lambda spark, sf: severity_feed(_feed(spark, sf)),
-    "severity_counts": lambda spark, sf: severity_feed(_feed(spark, sf))
-    .groupBy("severity")
-    .agg(F.count(F.lit(1)).alias("records")),
-    "anomalies_all": _stored(lambda spark, root: anomalies_all(read_anomalies(spark, root))),
-    "anomalies_latest": _stored(
+    **{name: _over_derived(query) for name, query in FLEET_QUERIES.items()},
+    "profiles_minimized": lambda spark, sf: drop_sensitive(TABLES["profiles"](spark, sf)),
+    "extract_report": _extract_report,
+    "lake_latest": _lake_snapshot(LATEST),
+    "lake_as_of": _lake_snapshot(DAY_1),
+    "latest_snapshot": lambda spark, sf: latest_snapshot(_both_fuel_days(spark, sf)),
+    "as_of_snapshot": lambda spark, sf: as_of_snapshot(_both_fuel_days(spark, sf), DAY_1),
+    "driver_hours_all_snapshots": _all_snapshots,
+    "evolved_table": _evolved,
+    "detection_runs": _two_runs(lambda spark, root: read_runs(spark, root).drop("output")),
+    "anomalies_all": _two_runs(lambda spark, root: anomalies_all(read_anomalies(spark, root))),
+    "anomalies_latest": _two_runs(
         lambda spark, root: anomalies_latest(read_anomalies(spark, root, LATEST))
     ),
-    "kpi_tiles": tiles,
-    "kpi_tiles_uncapped": tiles_uncapped,
-    "driver_hours_share": lambda spark, sf: percent_of_max(
-        _hours(schemas.DASHBOARD_TOP)(spark, sf), "driver", "hours", "h"
-    ),
-    "fuel_economy_share": lambda spark, sf: percent_of_max(
-        _economy(None)(spark, sf), "unit_no", "avg_km_per_litre", " km/L"
-    ),
-    "profiles_minimized": lambda spark, sf: drop_sensitive(fleet.profiles(spark, sf)),
-    "latest_snapshot": lambda spark, sf: latest_snapshot(_snapshots(spark, sf)),
-    "as_of_snapshot": lambda spark, sf: as_of_snapshot(_snapshots(spark, sf), fleet.DAY_1),
-    "lake_latest": lake_snapshot(LATEST),
-    "lake_as_of": lake_snapshot(fleet.DAY_1),
-    "extract_report": extract_report,
-    "evolved_table": evolved,
-    "stringified_insights": lambda spark, sf: _result_text(_cells, spark, sf),
-    "text_lines": lambda spark, sf: _result_text(text_lines, spark, sf),
-    "audit_sql": lambda spark, sf: audit_sql(fleet.query_log(spark, sf)),
-    "readonly_query": ask,
+    "audit_sql": lambda spark, sf: audit_sql(query_log(spark, sf)),
+    "readonly_query": _ask,
 }
