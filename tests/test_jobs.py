@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from convoy.operators.anomalies import anomalies_all, anomalies_latest
+from convoy.plans.dashboard import collect_insights, lake_insights
+from convoy.plans.detect import detect
+from convoy.plans.extract import run_extract
+from convoy.sources.anomaly_store import feed_path, read_anomalies, read_runs
+from convoy.sources.lake import read_table
+from tests.helpers import ENTRIES, PROFILES, reports, rows, shift
+
+DAY_1, DAY_2 = "2026-07-01", "2026-07-02"
+
+
+def land(spark, root, day, *fills):
+    sources = {
+        "profiles": spark.createDataFrame([("D1", "Ann", 20.0)], PROFILES),
+        "time_entries": spark.createDataFrame([shift(3600), shift(1800)], ENTRIES),
+        "fuel_reports": reports(spark, *fills),
+    }
+    run_extract(spark, sources, root, day)
+
+
+FAULTY = [(0.0, 50.0), (10.0, 50.0), (300.0, None), (290.0, 0.0)]
+SOUND = [(0.0, 50.0), (100.0, 50.0)]
+
+
+def lines(root, day):
+    return [
+        json.loads(line)
+        for file in sorted(Path(feed_path(root), f"detect_date={day}").glob("part-*"))
+        for line in file.read_text().splitlines()
+    ]
+
+
+def test_run_writes_records_and_summary(spark, root):
+    land(spark, root, DAY_1, *FAULTY)
+    summary = detect(spark, root, DAY_1)
+    assert summary == {
+        "detect_date": DAY_1,
+        "total": 2,
+        "fuel": 2,
+        "shift": 0,
+        "output": f"{feed_path(root)}/detect_date={DAY_1}",
+    }
+    written = lines(root, DAY_1)
+    assert sorted(r["anomaly_type"] for r in written) == [
+        "implausible_low_economy",
+        "zero_or_missing_litres",
+    ]
+    assert all("detect_date" not in r for r in written)
+    assert rows(read_anomalies(spark, root).select("detect_date").distinct()) == [(DAY_1,)]
+
+
+def test_missing_entity_is_written_as_null(spark, root):
+    land(spark, root, DAY_1, *FAULTY)
+    nameless = reports(spark, (0.0, 0.0)).withColumn("unit_no", F.lit(None).cast("string"))
+    run_extract(spark, {"fuel_reports": nameless}, root, DAY_1)
+    detect(spark, root, DAY_1)
+    assert lines(root, DAY_1)[0]["entity"] is None
+
+
+def test_rerun_replaces_the_day(spark, root):
+    land(spark, root, DAY_1, *FAULTY)
+    assert detect(spark, root, DAY_1) == detect(spark, root, DAY_1)
+    assert read_anomalies(spark, root).count() == 2
+
+
+def test_detection_reads_one_snapshot(spark, root):
+    land(spark, root, DAY_1, *FAULTY)
+    land(spark, root, DAY_2, *FAULTY)
+    assert detect(spark, root, DAY_2)["total"] == 2
+    # Over both snapshots every fill meets its own copy: a distance of 0.
+    assert detect(spark, root, DAY_2, snapshot="all")["total"] > 4
+
+
+def test_empty_run(spark, root):
+    land(spark, root, DAY_1, *FAULTY)
+    detect(spark, root, DAY_1)
+    detect(spark, root, DAY_2)
+    assert read_anomalies(spark, root, "latest").count() == 2
+    land(spark, root, DAY_2, *SOUND)
+    assert detect(spark, root, DAY_2)["total"] == 0
+    assert lines(root, DAY_2) == []
+    # The newest day with records is shown, unless the runs themselves are asked for.
+    assert {r["detect_date"] for r in read_anomalies(spark, root, "latest").collect()} == {DAY_1}
+    assert anomalies_latest(read_anomalies(spark, root)).count() == 2
+    assert read_anomalies(spark, root, "latest", by_run=True).isEmpty()
+    runs = read_runs(spark, root).orderBy("detect_date")
+    assert rows(runs, "detect_date", "total") == [(DAY_1, 2), (DAY_2, 0)]
+
+
+def test_unresolved_faults_repeat_per_run(spark, root):
+    land(spark, root, DAY_1, *FAULTY)
+    detect(spark, root, DAY_1)
+    detect(spark, root, DAY_2)
+    stored = read_anomalies(spark, root)
+    assert anomalies_all(stored).count() == 4
+    assert anomalies_latest(stored).count() == 2
+
+
+def test_no_runs_yet(spark, root):
+    assert read_anomalies(spark, root, "latest").isEmpty()
+
+
+def test_one_missing_set_leaves_the_others(spark, root):
+    land(spark, root, DAY_1, *FAULTY)
+    found = collect_insights(
+        {**lake_insights(spark, root), "fuel_economy": lambda: spark.table("no_such_table")}
+    )
+    assert found["driver_hours"]["columns"] == ["driver", "shifts", "hours", "est_gross_pay"]
+    assert found["driver_hours"]["rows"] == [["Ann", "2", "1.5", "30.0"]]
+    assert found["anomalies"] == {
+        "columns": ["category", "anomaly_type", "entity", "detail"],
+        "rows": [],
+    }
+    assert found["fuel_economy"]["rows"] == [] and "no_such_table" in found["fuel_economy"]["error"]
+
+
+def test_sets_are_capped(spark):
+    found = collect_insights({"many": spark.range(100)})
+    assert len(found["many"]["rows"]) == 59
+
+
+@pytest.mark.parametrize("table", ["profiles", "time_entries", "fuel_reports"])
+def test_a_missing_table_is_an_error(spark, root, table):
+    land(spark, root, DAY_1, *SOUND)
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, root, table, "2026-06-01")

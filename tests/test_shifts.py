@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import pytest
+
+from convoy.operators.shifts import completed_shifts, driver_hours, shift_anomalies, with_driver
+from tests.helpers import ENTRIES, PROFILES, rows, shift
+
+HOUR = 3600
+
+
+def entries(spark, *made):
+    return spark.createDataFrame(list(made), ENTRIES)
+
+
+def roster(spark, *made):
+    return spark.createDataFrame(list(made) or [("D1", "Ann", 20.0)], PROFILES)
+
+
+def label(spark, entry, rate=20.0, **options):
+    hits = shift_anomalies(entries(spark, entry), roster(spark, ("D1", "Ann", rate)), **options)
+    found = hits.first()
+    return found and found["anomaly"]
+
+
+@pytest.mark.parametrize(
+    "seconds, odometers, rate, expected",
+    [
+        (0, (10.0, 20.0), 20.0, "nonpositive_duration"),
+        (-60, (20.0, 10.0), None, "nonpositive_duration"),
+        (1, (10.0, 20.0), 20.0, None),
+        (0.9, (10.0, 20.0), 20.0, "nonpositive_duration"),  # no whole second elapsed
+        (16 * HOUR, (10.0, 20.0), 20.0, None),
+        (16 * HOUR + 1, (10.0, 20.0), 20.0, "excessive_shift"),
+        (17 * HOUR, (20.0, 10.0), 0.0, "excessive_shift"),  # the first rule wins
+        (8 * HOUR, (20.0, 10.0), 0.0, "odometer_backwards"),
+        (8 * HOUR, (20.0, 20.0), 20.0, None),
+        (8 * HOUR, (None, 10.0), 20.0, None),
+        (8 * HOUR, (20.0, None), 20.0, None),
+        (8 * HOUR, (None, 10.0), None, "missing_hourly_rate"),
+        (8 * HOUR, (10.0, 20.0), 0.0, "missing_hourly_rate"),
+    ],
+)
+def test_rule_boundaries(spark, seconds, odometers, rate, expected):
+    assert label(spark, shift(seconds, odometers=odometers), rate) == expected
+
+
+def test_thresholds_and_scale_are_arguments(spark):
+    assert label(spark, shift(9 * HOUR), max_hours=8) == "excessive_shift"
+    barely_over = shift(16 * HOUR + 1)
+    assert label(spark, barely_over, hour_scale=1) is None
+    assert label(spark, shift(100), hour_scale=1) == "nonpositive_duration"
+
+
+def test_shown_hours_are_rounded(spark):
+    found = shift_anomalies(entries(spark, shift(16 * HOUR + 200)), roster(spark)).first()
+    assert found["hours"] == 16.1 and found["driver"] == "Ann"
+
+
+def test_open_unknown_and_nameless_shifts_drop_out(spark):
+    made = entries(
+        spark,
+        shift(HOUR),
+        shift(HOUR, employee="D9"),
+        shift(HOUR, employee=None),
+        ("D1", "U1", "2026-01-05T00:00:00Z", None, 1.0, 2.0),
+    )
+    assert rows(completed_shifts(made, roster(spark)), "driver", "hours") == [("Ann", 1.0)]
+    assert rows(driver_hours(made, roster(spark)), "driver", "shifts") == [("Ann", 1)]
+
+
+def test_driver_hours_group_by_name_and_rate(spark):
+    people = roster(
+        spark, ("D1", "Ann", 20.0), ("D2", "Ann", 20.0), ("D3", "Ann", 30.0), ("D4", "Bo", None)
+    )
+    made = entries(
+        spark,
+        shift(HOUR, "D1"),
+        shift(1800, "D2"),
+        shift(2 * HOUR, "D3"),
+        shift(HOUR, "D4"),
+    )
+    assert rows(driver_hours(made, people)) == [
+        ("Ann", 1, 2.0, 60.0),
+        ("Ann", 2, 1.5, 30.0),
+        ("Bo", 1, 1.0, None),
+    ]
+    assert driver_hours(made, people, limit=2).count() == 2
+
+
+def test_hours_round_once_after_the_sum(spark):
+    made = entries(spark, *[shift(100)] * 9)  # 900 s in all, each 0.03 h
+    assert rows(driver_hours(made, roster(spark)), "hours", "est_gross_pay") == [(0.3, 5.0)]
+    quantized = driver_hours(made, roster(spark), hour_scale=1)
+    assert rows(quantized, "hours", "est_gross_pay") == [(0.0, 0.0)]
+
+
+def test_duplicated_snapshots_multiply(spark):
+    twice = entries(spark, shift(HOUR), shift(HOUR))
+    people = roster(spark, ("D1", "Ann", 20.0), ("D1", "Ann", 20.0))
+    assert rows(driver_hours(twice, people), "shifts", "hours") == [(4, 4.0)]
+
+
+def test_with_driver_joins_any_table_with_an_employee(spark):
+    loads = spark.createDataFrame([(1, "D1"), (2, "D9"), (3, None)], "id long, employee_id string")
+    assert rows(with_driver(loads, roster(spark)), "id", "driver") == [(1, "Ann")]
+
+
+def test_order_by_driver_nulls_last(spark):
+    people = roster(spark, ("D1", None, None), ("D2", "Bo", None), ("D3", "Al", None))
+    made = entries(spark, *[shift(HOUR, d) for d in ("D1", "D2", "D3")])
+    assert [r["driver"] for r in shift_anomalies(made, people).collect()] == ["Al", "Bo", None]
