@@ -66,9 +66,13 @@ def anomalies_all(stored: DataFrame) -> DataFrame:
 
 def anomalies_latest(stored: DataFrame, *, limit: int = schemas.FEED_TOP) -> DataFrame:
     """The first ``limit`` records of the newest run that has any."""
-    newest = latest_snapshot(stored, schemas.DETECT_KEY)
+    return first_records(latest_snapshot(stored, schemas.DETECT_KEY), limit=limit)
+
+
+def first_records(records: DataFrame, *, limit: int = schemas.FEED_TOP) -> DataFrame:
+    """The first ``limit`` records by category, type and entity."""
     # `detail` makes the cut at the limit definite.
-    return newest.select(*_SHOWN).orderBy(*ascending(*_SHOWN)).limit(limit)
+    return records.select(*_SHOWN).orderBy(*ascending(*_SHOWN)).limit(limit)
 
 
 def severity(anomaly_type: Column) -> Column:

@@ -76,10 +76,10 @@ def fuel_anomalies(
     max_unit_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Fills that break a rule, with the rule's label in ``anomaly``."""
-    deltas = fuel_deltas(reports, max_unit_rows=max_unit_rows, by_range=ordered)
+    deltas = fuel_deltas(reports, max_unit_rows=max_unit_rows)
     hits = deltas.withColumn("anomaly", fuel_label(low, high)).where(F.col("anomaly").isNotNull())
     if ordered:
-        hits = spread_sort(hits, *ascending("unit_no", *_order(reports)))
+        hits = spread_sort(hits, *ascending("unit_no", *_order(reports)), settle=True)
     return hits.select(*_FILL, "distance_km", "km_per_litre", "anomaly")
 
 

@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from convoy.functions.ordering import ascending, comparable
+from convoy.functions.ordering import ascending, comparable, row_hash
 from convoy.session import durable
 
 MAX_GROUP_ROWS = 4_000_000
 
+# More tasks than this only burden the scheduler; slices grow instead.
+_MAX_SLICES = 20_000
+
 # Below this many bytes per allowed row the table cannot hold a group that
 # large, and counting the groups is skipped.
 _MIN_ROW_BYTES = 4
@@ -55,7 +58,7 @@ def with_previous(
     match = F.col(group).eqNullSafe(F.col("_group"))
     ordinary = df.join(names, match, "left_anti")
     large = df.join(names, match, "left_semi")
-    slices = sum(ceil(rows / max_group_rows) for _, rows in oversized) + 1
+    slices = min(sum(ceil(rows / max_group_rows) for _, rows in oversized) + 1, _MAX_SLICES)
     return _by_window(ordinary, group, order, value, output, by_range).unionByName(
         _by_slices(large, group, order, value, output, slices)
     )
@@ -90,20 +93,22 @@ def _by_window(
 def _by_slices(
     df: DataFrame, group: str, order: list[str], value: str, output: str, slices: int
 ) -> DataFrame:
-    # The copy number lets the ranges cut through rows that are equal in full.
-    # The slice number is only meaningful once it is stored, hence `durable`.
+    # Ties are cut by a hash of the row, and exact copies by a number; see
+    # `spread_sort` for why in this order. The slice number is only meaningful
+    # once it is stored, hence `durable`.
+    order = [*order, "_hash", "_copy"]
     sliced = durable(
-        df.withColumn("_copy", F.monotonically_increasing_id())
-        .repartitionByRange(slices, *ascending(group, *order, "_copy"))
+        df.withColumns({"_hash": row_hash(df), "_copy": F.monotonically_increasing_id()})
+        .repartitionByRange(slices, *ascending(group, *order))
         .withColumn("_slice", F.spark_partition_id())
     )
     boxed = F.struct(F.col(value).alias("v"))
-    within = Window.partitionBy(group, "_slice").orderBy(*ascending(*order, "_copy"))
+    within = Window.partitionBy(group, "_slice").orderBy(*ascending(*order))
     marked = sliced.withColumn("_before", F.lag(boxed).over(within))
 
     # One row per slice and large group, whatever the number of data rows.
     ends = sliced.groupBy(F.col(group).alias("_g"), F.col("_slice").alias("_s")).agg(
-        F.max_by(boxed, comparable(*order, "_copy")).alias("_end")
+        F.max_by(boxed, comparable(*order)).alias("_end")
     )
     carried = ends.select(
         "_g", "_s", F.lag("_end").over(Window.partitionBy("_g").orderBy("_s")).alias("_carry")
@@ -114,5 +119,5 @@ def _by_slices(
         "left",
     )
     return joined.withColumn(output, F.coalesce("_before", "_carry")["v"]).drop(
-        "_copy", "_slice", "_before", "_g", "_s", "_carry"
+        "_hash", "_copy", "_slice", "_before", "_g", "_s", "_carry"
     )

@@ -115,7 +115,7 @@ def shift_anomalies(
         F.col("anomaly").isNotNull()
     )
     if ordered:
-        hits = spread_sort(hits, *ascending("driver", "clock_in", "unit_no"))
+        hits = spread_sort(hits, *ascending("driver", "clock_in", "unit_no"), settle=True)
     return hits.select(
         "driver",
         "unit_no",

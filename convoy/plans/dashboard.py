@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from convoy import schemas
-from convoy.operators.anomalies import anomalies_latest
+from convoy.operators.anomalies import anomalies_latest, first_records
 from convoy.operators.fuel import fuel_economy
 from convoy.operators.insights import stringify
 from convoy.operators.shifts import driver_hours
@@ -36,7 +36,7 @@ def lake_insights(spark: SparkSession, root: str) -> dict[str, Callable[[], Data
     return {
         "driver_hours": lambda: driver_hours(table("time_entries"), table("profiles")),
         "fuel_economy": lambda: fuel_economy(table("fuel_reports")),
-        "anomalies": lambda: anomalies_latest(read_anomalies(spark, root, LATEST)),
+        "anomalies": lambda: first_records(read_anomalies(spark, root, LATEST)),
     }
 
 

@@ -17,6 +17,7 @@ SETTINGS = {
     # Recording the Python line of every column call costs more than the calls.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

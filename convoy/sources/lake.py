@@ -111,35 +111,31 @@ def read_table(
     days = choose_days(partition_days(spark, path, schemas.INGEST_KEY), snapshot)
     if not days:
         raise FileNotFoundError(f"no snapshot of {table} for {snapshot!r} below {path}")
-    parts = [
-        _read_days(spark, path, root, table, schema, group)
-        for schema, group in _by_schema(spark, root, table, days)
-    ]
+    parts = [conform(df, table) for df in _by_schema(spark, root, table, days)]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     others = [c for c in merged.columns if c != schemas.INGEST_KEY]
     return merged.select(*[f"`{c}`" for c in others], schemas.INGEST_KEY)
 
 
-def _by_schema(
-    spark: SparkSession, root: str, table: str, days: list[str]
-) -> list[tuple[T.StructType, list[str]]]:
-    """Days grouped by the schema of their files; a table has few over its life."""
-
-    def schema_of(day: str) -> T.StructType:
-        return spark.read.parquet(day_path(root, table, day)).schema
-
+def _by_schema(spark: SparkSession, root: str, table: str, days: list[str]) -> list[DataFrame]:
+    """One scan per distinct file schema; a table has few over its life."""
     with ThreadPoolExecutor(max_workers=8) as pool:
-        found = list(pool.map(schema_of, days))
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for day, schema in zip(days, found):
-        groups.setdefault(schema.json(), (schema, []))[1].append(day)
-    return list(groups.values())
+        scans = list(pool.map(lambda d: spark.read.parquet(day_path(root, table, d)), days))
+    groups: dict[str, list[int]] = {}
+    for i, scan in enumerate(scans):
+        groups.setdefault(scan.schema.json(), []).append(i)
+    return [
+        scans[found[0]].withColumn(schemas.INGEST_KEY, F.lit(days[found[0]]))
+        if len(found) == 1
+        else _several(spark, root, table, scans[found[0]].schema, [days[i] for i in found])
+        for found in groups.values()
+    ]
 
 
-def _read_days(
-    spark: SparkSession, path: str, root: str, table: str, schema: T.StructType, days: list[str]
+def _several(
+    spark: SparkSession, root: str, table: str, schema: T.StructType, days: list[str]
 ) -> DataFrame:
     # The day is declared as text; Spark would otherwise infer a date.
     full = T.StructType([*schema.fields, T.StructField(schemas.INGEST_KEY, T.StringType(), True)])
-    reader = spark.read.schema(full).option("basePath", path)
-    return conform(reader.parquet(*[day_path(root, table, d) for d in days]), table)
+    reader = spark.read.schema(full).option("basePath", table_path(root, table))
+    return reader.parquet(*[day_path(root, table, d) for d in days])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from registry.fleet import DAY_1, DAY_2, TODAY
 from registry.spark_queries import READONLY_SQL
 
@@ -162,15 +164,16 @@ _SEVERITY = """
     from feed"""
 
 
-def _day_ctes(day: str, tag: str = "", hours: str = _EXACT) -> dict[str, str]:
+def _day_ctes(
+    day: str, tag: str = "", hours: str = _EXACT, tables: Mapping[str, Callable] = _TABLES
+) -> dict[str, str]:
     """Everything a day's results rest on, each name with an optional tag."""
 
     def t(name: str) -> str:
         return f"{name}{tag}"
 
-    tables = {t(name): make(day) for name, make in _TABLES.items()}
     return {
-        **tables,
+        **{t(name): make(day) for name, make in tables.items()},
         t("deltas"): _deltas(t("fuel_reports")),
         t("fuel_hits"): _fuel_hits(t("deltas")),
         t("closed"): _closed(t("time_entries"), t("profiles"), hours),
@@ -186,14 +189,6 @@ def _with(ctes: dict[str, str], query: str) -> str:
     return f"with {parts}\n{query}"
 
 
-def _today(query: str, **more: str) -> str:
-    return _with({**_day_ctes(TODAY), **more}, query)
-
-
-def _quantized(query: str) -> str:
-    return _with(_day_ctes(TODAY, hours=_TENTHS), query)
-
-
 def _both_days(query: str, **more: str) -> str:
     return _with({**_day_ctes(DAY_1, "_1"), **_day_ctes(DAY_2, "_2"), **more}, query)
 
@@ -239,7 +234,7 @@ def _insight_lines(join: str) -> str:
     for name, (source, columns) in _INSIGHT_COLUMNS.items():
         cells = ", ".join(f"coalesce(cast({c} as varchar), '')" for c in columns)
         branches.append(f"select '{name}' as insight, {join.format(cells=cells)} as line from {source}")
-    return _today(" union all ".join(branches), **_TOP)
+    return " union all ".join(branches)
 
 
 _BLANK = r"[\s\x1c-\x1f]+"
@@ -322,63 +317,82 @@ def _report() -> str:
     counts = " union all ".join(
         f"select '{t}' as \"table\", count(*) as rows from {t}" for t in _TABLES
     )
-    return _today(
+    return _with(
+        {**_day_ctes(TODAY), "counts": counts},
         f"select \"table\", '{TODAY}' as ingest_date, rows from counts "
         f"union all select 'total', '{TODAY}', sum(rows)::bigint from counts",
-        counts=counts,
     )
 
 
 _DELTA_COLUMNS = "unit_no, report_date, odometer, fuel_litres, distance_km, km_per_litre"
 _FILLS = "id, unit_no, report_date, created_at, odometer, fuel_litres, employee_id, ingest_date"
 
+
+def fleet_oracles(tables: Mapping[str, Callable] = _TABLES) -> dict[str, str]:
+    """SQL for the queries over fleet tables; ``tables`` says how to get each for a day."""
+    exact = _day_ctes(TODAY, tables=tables)
+    tenths = _day_ctes(TODAY, hours=_TENTHS, tables=tables)
+
+    def today(query: str, **more: str) -> str:
+        return _with({**exact, **more}, query)
+
+    return {
+        "fuel_deltas": today(
+            "select id, unit_no, prev_odometer, distance_km, economy, km_per_litre from deltas"
+        ),
+        "fuel_efficiency": today(f"select {_DELTA_COLUMNS} from deltas"),
+        "fuel_anomalies": today("select * from fuel_hits"),
+        "fuel_economy_top25": today(f"select * from economy {_ECONOMY_ORDER} limit 25"),
+        "fuel_economy_all": today("select * from economy"),
+        "completed_shifts": today("select * exclude (seconds) from closed"),
+        "driver_hours_top10": today(f"select * from labour {_LABOUR_ORDER} limit 10"),
+        "driver_hours_top25": today(f"select * from labour {_LABOUR_ORDER} limit 25"),
+        "driver_hours_all": today("select * from labour"),
+        "driver_hours_quantized": _with(tenths, _labour("closed", "cast(sum(hours) as double)")),
+        "loads_per_driver": today(
+            "select name as driver, count(*) as loads from loads l "
+            "join profiles p on p.id = l.employee_id group by name"
+        ),
+        "shift_anomalies": today("select * from shift_hits"),
+        "shift_anomalies_quantized": _with(tenths, "select * from shift_hits"),
+        "anomaly_feed": today("select * from feed"),
+        "detection_summary": today(
+            f"select '{TODAY}' as detect_date, count(*) as total, "
+            "count_if(category = 'fuel') as fuel, count_if(category = 'shift') as shift from feed"
+        ),
+        "severity_feed": today(_SEVERITY),
+        "severity_counts": today(
+            f"select severity, count(*) as records from ({_SEVERITY}) group by severity"
+        ),
+        "kpi_tiles": today(_tiles("top_labour", "top_economy", "top_feed"), **_TOP),
+        "kpi_tiles_uncapped": today(_tiles("labour", "economy", "feed")),
+        "driver_hours_share": today(_share("top_labour", "driver", "hours", "h"), **_TOP),
+        "fuel_economy_share": today(_share("economy", "unit_no", "avg_km_per_litre", " km/L")),
+        "stringified_insights": today(
+            _insight_lines("cast(to_json([{cells}]) as varchar)"), **_TOP
+        ),
+        "text_lines": today(_insight_lines("concat_ws(' | ', {cells})"), **_TOP),
+    }
+
+
+_LATEST = _both_days(f"select category, anomaly_type, entity, detail from feed_2 {_FEED_ORDER}")
+
 ORACLES: dict[str, str] = {
-    "fuel_deltas": _today(
-        "select id, unit_no, prev_odometer, distance_km, economy, km_per_litre from deltas"
-    ),
-    "fuel_efficiency": _today(f"select {_DELTA_COLUMNS} from deltas"),
-    "fuel_anomalies": _today("select * from fuel_hits"),
-    "fuel_economy_top25": _today(f"select * from economy {_ECONOMY_ORDER} limit 25"),
-    "fuel_economy_all": _today("select * from economy"),
-    "completed_shifts": _today("select * exclude (seconds) from closed"),
-    "driver_hours_top10": _today(f"select * from labour {_LABOUR_ORDER} limit 10"),
-    "driver_hours_top25": _today(f"select * from labour {_LABOUR_ORDER} limit 25"),
-    "driver_hours_all": _today("select * from labour"),
-    "driver_hours_quantized": _quantized(_labour("closed", "cast(sum(hours) as double)")),
+    **fleet_oracles(),
     "driver_hours_all_snapshots": _both_days(
         _labour("stacked"),
         all_entries="select * from time_entries_1 union all select * from time_entries_2",
         all_profiles="select * from profiles_1 union all select * from profiles_2",
         stacked=_closed("all_entries", "all_profiles", _EXACT),
     ),
-    "loads_per_driver": _today(
-        "select name as driver, count(*) as loads from loads l "
-        "join profiles p on p.id = l.employee_id group by name"
-    ),
-    "shift_anomalies": _today("select * from shift_hits"),
-    "shift_anomalies_quantized": _quantized("select * from shift_hits"),
-    "anomaly_feed": _today("select * from feed"),
-    "detection_summary": _today(
-        f"select '{TODAY}' as detect_date, count(*) as total, "
-        "count_if(category = 'fuel') as fuel, count_if(category = 'shift') as shift from feed"
-    ),
     "detection_runs": _runs(),
-    "severity_feed": _today(_SEVERITY),
-    "severity_counts": _today(
-        f"select severity, count(*) as records from ({_SEVERITY}) group by severity"
-    ),
     "anomalies_all": _both_days(
         "select category, anomaly_type, entity, detail from feed_1 "
         "union all select category, anomaly_type, entity, detail from feed_2"
     ),
-    "anomalies_latest": _both_days(
-        f"select category, anomaly_type, entity, detail from feed_2 {_FEED_ORDER}"
-    ),
-    "kpi_tiles": _today(_tiles("top_labour", "top_economy", "top_feed"), **_TOP),
-    "kpi_tiles_uncapped": _today(_tiles("labour", "economy", "feed")),
-    "driver_hours_share": _today(_share("top_labour", "driver", "hours", "h"), **_TOP),
-    "fuel_economy_share": _today(_share("economy", "unit_no", "avg_km_per_litre", " km/L")),
-    "profiles_minimized": _today("select * from profiles"),
+    "anomalies_latest": _LATEST,
+    "anomalies_latest_by_max": _LATEST,
+    "profiles_minimized": f"select * from ({_profiles(TODAY)})",
     "latest_snapshot": _both_days(
         f"select {_FILLS} from ({_snapshot('fuel_reports', '_2', DAY_2)})"
     ),
@@ -389,15 +403,14 @@ ORACLES: dict[str, str] = {
     "lake_as_of": _both_days(_snapshot("time_entries", "_1", DAY_1)),
     "extract_report": _report(),
     "evolved_table": _evolved(),
-    "stringified_insights": _insight_lines("cast(to_json([{cells}]) as varchar)"),
-    "text_lines": _insight_lines("concat_ws(' | ', {cells})"),
     "audit_sql": _audit(),
-    "readonly_query": _today(
+    "readonly_query": _with(
+        _day_ctes(TODAY),
         READONLY_SQL.replace("LIMIT 100", "LIMIT 59")
         .replace("date_diff", "date_sub")
         .replace("from_iso8601_timestamp(fr.created_at)", "fr.created_at::timestamptz")
         .replace(
             "from_iso8601_timestamp('2024-01-01T00:00:00Z')", "timestamptz '2024-01-01 00:00:00+00'"
-        )
+        ),
     ),
 }

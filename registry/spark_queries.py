@@ -12,6 +12,7 @@ from convoy.operators.anomalies import (
     anomalies_all,
     anomalies_latest,
     detection_summary,
+    first_records,
     severity_feed,
 )
 from convoy.operators.fuel import (
@@ -214,7 +215,10 @@ QUERIES: dict[str, Query] = {
     "detection_runs": _two_runs(lambda spark, root: read_runs(spark, root).drop("output")),
     "anomalies_all": _two_runs(lambda spark, root: anomalies_all(read_anomalies(spark, root))),
     "anomalies_latest": _two_runs(
-        lambda spark, root: anomalies_latest(read_anomalies(spark, root, LATEST))
+        lambda spark, root: first_records(read_anomalies(spark, root, LATEST))
+    ),
+    "anomalies_latest_by_max": _two_runs(
+        lambda spark, root: anomalies_latest(read_anomalies(spark, root))
     ),
     "audit_sql": lambda spark, sf: audit_sql(query_log(spark, sf)),
     "readonly_query": _ask,

@@ -41,9 +41,8 @@ def test_no_python_and_no_product(spark, name):
         assert bad not in text
 
 
-@pytest.mark.parametrize("query", [fuel_efficiency, fuel_anomalies])
-def test_window_and_sort_share_one_shuffle(landed, query):
-    text = plan(query(landed("fuel_reports")))
+def test_window_and_sort_share_one_shuffle(landed):
+    text = plan(fuel_efficiency(landed("fuel_reports")))
     assert text.count("Exchange") == 1 and "Exchange rangepartitioning(unit_no" in text
 
 
@@ -57,6 +56,16 @@ def test_unordered_anomalies_need_one_hash_shuffle(landed):
     assert text.count("Exchange") == 1 and "Exchange hashpartitioning(unit_no" in text
 
 
+def test_only_hits_are_sorted(landed):
+    """The sampling for the sort reads settled hits, not the scan."""
+    for hits in (
+        fuel_anomalies(landed("fuel_reports")),
+        shift_anomalies(landed("time_entries"), landed("profiles")),
+    ):
+        text = plan(hits)
+        assert text.index("rangepartitioning") < text.index("REBALANCE") < text.index("FileScan")
+
+
 def test_open_shifts_are_filtered_in_the_scan(landed):
     text = plan(completed_shifts(landed("time_entries"), landed("profiles")))
     assert re.search(r"PushedFilters: \[[^\]]*IsNotNull\(clock_out\)", text)
