@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from convoy import schemas
-from convoy.sources.lake import write_snapshot
+from convoy.sources.lake import write_report, write_snapshot
 
 
 def run_extract(
@@ -19,7 +19,7 @@ def run_extract(
 
     The tables do not depend on each other, so their jobs are submitted side by
     side and short ones fill the gaps of long ones. The report has one row per
-    table and one, named ``total``, for all.
+    table and one, named ``total``, for all; it is also kept in the lake.
     """
     day = run_date or date.today().isoformat()
     with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
@@ -28,6 +28,8 @@ def run_extract(
             for table, df in sources.items()
         }
         rows = {table: job.result() for table, job in pending.items()}
-    report = [(table, day, count) for table, count in rows.items()]
-    report.append(("total", day, sum(rows.values())))
-    return spark.createDataFrame(report, schemas.EXTRACT_REPORT)
+    found = [(table, day, count) for table, count in rows.items()]
+    found.append(("total", day, sum(rows.values())))
+    report = spark.createDataFrame(found, schemas.EXTRACT_REPORT)
+    write_report(report, root, day)
+    return report

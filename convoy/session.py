@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A roster below this size is broadcast; beyond it the join shuffles.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.scheduler.mode": "FAIR",
     # Recording the Python line of every column call costs more than the calls.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -21,12 +24,31 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "convoy", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings above; ``extra`` wins over them."""
+# What one shuffle task should hold, and how many tasks a scheduler takes well.
+_TASK_BYTES = 256 * 1024**2
+_MAX_TASKS = 20_000
+
+
+def shuffle_partitions(input_bytes: int, cores: int = 8) -> int:
+    """Shuffle partitions for an input size: enough to fit memory, at least one per core.
+
+    Erring high is cheap, since AQE joins small neighbours at run time; a
+    partition that is too large spills and cannot be split again.
+    """
+    return max(cores, min(ceil(input_bytes / _TASK_BYTES), _MAX_TASKS))
+
+
+def build_session(
+    app: str = "convoy", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with the settings above, sized for an input; ``extra`` wins over both."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    sized = {}
+    if input_bytes is not None:
+        sized["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    for key, value in {**SETTINGS, **sized, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

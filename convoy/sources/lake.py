@@ -25,6 +25,16 @@ def day_path(root: str, table: str, day: str) -> str:
     return f"{table_path(root, table)}/{schemas.INGEST_KEY}={day}"
 
 
+def report_path(root: str) -> str:
+    return f"{root}/extract_runs"
+
+
+def write_report(report: DataFrame, root: str, day: str) -> None:
+    """Keep the report of a day's extract; it marks the day as complete."""
+    target = f"{report_path(root)}/{schemas.INGEST_KEY}={day}"
+    report.coalesce(1).write.mode("overwrite").json(target)
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Declared columns in their declared types; missing ones as NULL, others kept."""
     present = set(df.columns)
@@ -41,12 +51,15 @@ def _cast_declared(df: DataFrame, table: str) -> DataFrame:
     return df.withColumns({n: F.col(f"`{n}`").cast(t) for n, t in kinds.items()}) if kinds else df
 
 
-def write_snapshot(df: DataFrame, root: str, table: str, day: str) -> int:
+def write_snapshot(
+    df: DataFrame, root: str, table: str, day: str, *, rows_per_file: int = 0
+) -> int:
     """Replace one day of one table and return its row count.
 
     Only the partition of ``day`` is swapped, and only when the job commits; a
     table without rows leaves the lake as it is. Rows are counted by the write
-    itself, so the source is read once.
+    itself, so the source is read once. A positive ``rows_per_file`` splits
+    the output of a large task over several files.
     """
     written = Observation(f"{table}-{day}")
     minimal = _cast_declared(drop_sensitive(df), table)
@@ -55,6 +68,7 @@ def write_snapshot(df: DataFrame, root: str, table: str, day: str) -> int:
         .withColumn(schemas.INGEST_KEY, F.lit(day))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(schemas.INGEST_KEY)
         .parquet(table_path(root, table))
     )

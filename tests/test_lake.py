@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 
 from convoy.plans.extract import run_extract
-from convoy.session import scratch_path, shared_folder
+from convoy.session import scratch_path, shared_folder, shuffle_partitions
 from convoy.sources.catalog import (
     catalog_text,
     describe_catalog,
@@ -178,6 +178,13 @@ def test_views_tables_and_description(spark, root):
     assert rows(described.orderBy("position"), "column", "type")[-1] == ("ingest_date", "string")
 
 
+@pytest.mark.parametrize(
+    "size, expected", [(0, 8), (10 * 1024**3, 40), (100 * 1024**4, 20_000)]
+)
+def test_shuffle_partitions_follow_the_input(size, expected):
+    assert shuffle_partitions(size) == expected
+
+
 def test_shared_folder_is_the_named_one(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_folder(spark) == named

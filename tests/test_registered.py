@@ -41,3 +41,30 @@ def test_comparison_sees_a_difference(spark, duck):
 def test_entry(spark):
     found = entry_points.entry(spark)
     assert found.columns[-1] == "anomaly" and not found.isEmpty()
+
+
+def test_known_counts(spark):
+    """Label counts at the smallest scale, as listed in FIXTURES.md."""
+    queries = entry_points.queries()
+
+    def labels(name):
+        return dict(queries[name](spark, SMALL).groupBy("anomaly").count().collect())
+
+    assert labels("fuel_anomalies") == {
+        "zero_or_missing_litres": 24,
+        "odometer_backwards": 25,
+        "implausible_low_economy": 249,
+        "implausible_high_economy": 238,
+    }
+    assert labels("shift_anomalies") == {
+        "nonpositive_duration": 11,
+        "excessive_shift": 247,
+        "odometer_backwards": 9,
+        "missing_hourly_rate": 138,
+    }
+    assert labels("shift_anomalies_quantized") == {
+        "nonpositive_duration": 14,
+        "excessive_shift": 243,
+        "odometer_backwards": 9,
+        "missing_hourly_rate": 138,
+    }
