@@ -26,8 +26,13 @@ def instant(text: Column) -> Column:
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    """Whole elapsed seconds, truncated toward zero (not second boundaries)."""
-    return F.timestamp_diff("SECOND", instant(start), instant(end))
+    """Whole elapsed seconds, truncated toward zero (not second boundaries).
+
+    Taken from the instants: ``timestamp_diff`` compares wall clocks of the
+    session's zone, which is an hour off across a change to summer time.
+    """
+    micros = F.unix_micros(instant(end)) - F.unix_micros(instant(start))
+    return F.call_function("div", micros, F.lit(1_000_000))
 
 
 def to_hours(seconds: Column, scale: int | None = None) -> Column:

@@ -7,12 +7,9 @@ kept, so the work grows with the given tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from convoy.sources.lake import LATEST, read_table
-
 DAY_1 = "2026-07-01"
 DAY_2 = "2026-07-02"
 TODAY = DAY_2
@@ -113,15 +110,6 @@ def derived(spark: SparkSession, sf_dir: str) -> Fleet:
     return lambda name: TABLES[name](spark, sf_dir)
 
 
-def landed(spark: SparkSession, root: str) -> Fleet:
-    """The latest snapshots of a lake."""
-    return partial(_landed, spark, root)
-
-
-def _landed(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return read_table(spark, root, name, LATEST)
-
-
 def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions with SQL texts of many kinds built around each whole message."""
     quoted = "concat('\\'', replace(text, '\\'', '\\'\\''), '\\'')"

@@ -52,6 +52,15 @@ def test_seconds_between(spark, start, end, expected):
     assert one(spark, seconds_between(F.lit(start), F.lit(end))) == expected
 
 
+def test_elapsed_time_does_not_follow_summer_time(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        night = F.lit("2026-03-08T05:00:00+00:00"), F.lit("2026-03-08T09:00:00+00:00")
+        assert one(spark, seconds_between(*night)) == 4 * 3600
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_malformed_time_raises(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         one(spark, seconds_between(F.lit("half past nine"), F.lit("2026-01-01T00:00:00Z")))

@@ -68,3 +68,13 @@ def test_known_counts(spark):
         "odometer_backwards": 9,
         "missing_hourly_rate": 138,
     }
+
+
+@pytest.mark.parametrize("name", ["completed_shifts", "driver_hours_all", "fuel_deltas"])
+def test_results_do_not_follow_the_session_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        query, sql = entry_points.queries()[name], entry_points.oracle_sql()[name]
+        assert differences(spark, duck, query, sql, SMALL) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
