@@ -37,12 +37,15 @@ def percent_of_max(rows: DataFrame, name: str, value: str, unit: str = "") -> Da
     """Bar list: each value as a percentage of the largest, with its label.
 
     A missing value has a bar of 0 and the label of a dash. The largest value
-    is one scalar subquery, so no window spans the whole set.
+    is one scalar subquery, so no window spans the whole set; the subquery
+    shares the shuffles of ``rows``.
     """
     number = parsed_or_zero(F.col(value))
     present = F.nanvl(F.col(value).try_cast("double"), F.lit(None).cast("double")).isNotNull()
     top = rows.select(F.max(number)).scalar()
-    measured = rows.select(F.col(name).alias("name"), F.col(value), number.alias("_n"), top.alias("_top"))
+    measured = rows.select(
+        F.col(name).alias("name"), F.col(value), number.alias("_n"), top.alias("_top")
+    )
     share = F.when(F.col("_top") != 0, F.col("_n") / F.col("_top") * 100).otherwise(F.lit(0.0))
     label = F.when(present, F.concat(trimmed_text(F.col("_n")), F.lit(unit))).otherwise(F.lit("—"))
     return measured.select("name", round_ieee(share, 6).alias("pct"), label.alias("label"))

@@ -33,7 +33,9 @@ def write_anomalies(feed: DataFrame, root: str, detect_date: str) -> dict:
 
     The rebalance evens out file sizes and splits an oversized partition. The
     counts are taken by the write, after that shuffle, so a lost executor
-    cannot count a record twice.
+    cannot count a record twice. The old records stay until the job commits; a
+    job without records replaces no partition by itself, so the day is then
+    emptied.
     """
     path = _day(feed_path(root), detect_date)
     counts = Observation(f"detect-{detect_date}")
@@ -41,11 +43,17 @@ def write_anomalies(feed: DataFrame, root: str, detect_date: str) -> dict:
         feed.select(*schemas.ANOMALY.names)
         .hint("rebalance")
         .observe(counts, *summary_columns())
+        .withColumn(schemas.DETECT_KEY, F.lit(detect_date))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "false")
-        .json(path)
+        .partitionBy(schemas.DETECT_KEY)
+        .json(feed_path(root))
     )
     totals = {"total": 0, "fuel": 0, "shift": 0, **counts.get}
+    if not totals["total"]:
+        nothing = feed.sparkSession.createDataFrame([], schemas.ANOMALY)
+        nothing.coalesce(1).write.mode("overwrite").json(path)
     return {schemas.DETECT_KEY: detect_date, **totals, "output": path}
 
 

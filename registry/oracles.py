@@ -209,8 +209,7 @@ def _share(source: str, name: str, value: str, unit: str) -> str:
     shown = f"regexp_replace(cast(cast({value} as decimal(38, 2)) as varchar), '\\.?0+$', '')"
     return f"""
     select {name} as name,
-           coalesce(round(case when top <> 0 then coalesce({value}, 0) / top * 100 else 0 end, 6), 0)
-             as pct,
+           round(case when top <> 0 then coalesce({value}, 0) / top * 100 else 0 end, 6) as pct,
            case when {value} is null then '—' else {shown} || '{unit}' end as label
     from {source}, (select max(coalesce({value}, 0)) as top from {source})"""
 
@@ -233,7 +232,8 @@ def _insight_lines(join: str) -> str:
     branches = []
     for name, (source, columns) in _INSIGHT_COLUMNS.items():
         cells = ", ".join(f"coalesce(cast({c} as varchar), '')" for c in columns)
-        branches.append(f"select '{name}' as insight, {join.format(cells=cells)} as line from {source}")
+        line = join.format(cells=cells)
+        branches.append(f"select '{name}' as insight, {line} as line from {source}")
     return " union all ".join(branches)
 
 

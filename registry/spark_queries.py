@@ -74,8 +74,10 @@ def _shifts(hour_scale: int | None) -> FleetQuery:
 
 
 def _tiles(fleet: Fleet) -> DataFrame:
-    feed = _feed(fleet).limit(schemas.FEED_TOP)
-    return kpi_tiles(_hours(schemas.DASHBOARD_TOP)(fleet), _economy(schemas.DASHBOARD_TOP)(fleet), feed)
+    top = schemas.DASHBOARD_TOP
+    return kpi_tiles(
+        _hours(top)(fleet), _economy(top)(fleet), _feed(fleet).limit(schemas.FEED_TOP)
+    )
 
 
 def _tiles_uncapped(fleet: Fleet) -> DataFrame:

@@ -142,7 +142,8 @@ def test_latest_snapshot(spark):
 
 
 def test_percent_of_max(spark):
-    df = spark.createDataFrame([("a", 12.5), ("b", 50.0), ("c", None), ("d", 0.0)], "n string, v double")
+    made = [("a", 12.5), ("b", 50.0), ("c", None), ("d", 0.0)]
+    df = spark.createDataFrame(made, "n string, v double")
     assert rows(percent_of_max(df, "n", "v", "h")) == [
         ("a", 25.0, "12.5h"),
         ("b", 100.0, "50h"),

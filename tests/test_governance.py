@@ -89,7 +89,8 @@ def test_files_are_out_of_reach(spark, tmp_path):
 
 def test_rows_are_text_and_capped(spark):
     spark.range(200).createOrReplaceTempView("numbers")
-    found = run_readonly(spark, "```sql\nSELECT n.id, null AS none FROM numbers n ORDER BY n.id;\n```")
+    fenced = "```sql\nSELECT n.id, null AS none FROM numbers n ORDER BY n.id;\n```"
+    found = run_readonly(spark, fenced)
     assert found["row_count"] == 59 and found["columns"] == ["id", "none"]
     assert found["rows"][:2] == [["0", ""], ["1", ""]]
     joined = "SELECT count(*) AS c FROM numbers a JOIN numbers b USING (id)"

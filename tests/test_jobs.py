@@ -10,8 +10,8 @@ from convoy.operators.anomalies import anomalies_all, anomalies_latest
 from convoy.plans.dashboard import collect_insights, lake_insights
 from convoy.plans.detect import detect
 from convoy.plans.extract import run_extract
-from convoy.sources.anomaly_store import feed_path, read_anomalies, read_runs
-from convoy.sources.lake import read_table
+from convoy.sources.anomaly_store import feed_path, read_anomalies, read_runs, write_anomalies
+from convoy.sources.lake import read_table, write_snapshot
 from tests.helpers import ENTRIES, PROFILES, reports, rows, shift
 
 DAY_1, DAY_2 = "2026-07-01", "2026-07-02"
@@ -132,3 +132,21 @@ def test_a_missing_table_is_an_error(spark, root, table):
     land(spark, root, DAY_1, *SOUND)
     with pytest.raises(FileNotFoundError):
         read_table(spark, root, table, "2026-06-01")
+
+
+def test_a_failing_job_leaves_the_old_day(spark, root):
+    land(spark, root, DAY_1, *FAULTY)
+    detect(spark, root, DAY_1)
+    broken = read_anomalies(spark, root).withColumn(
+        "detail", F.when(F.col("category") == "fuel", F.raise_error(F.lit("lost")))
+    )
+    with pytest.raises(Exception, match="lost"):
+        write_anomalies(broken, root, DAY_1)
+    assert read_anomalies(spark, root).count() == 2
+
+    broken = read_table(spark, root, "fuel_reports").drop("ingest_date").withColumn(
+        "unit_no", F.raise_error(F.lit("lost")).cast("string")
+    )
+    with pytest.raises(Exception, match="lost"):
+        write_snapshot(broken, root, "fuel_reports", DAY_1)
+    assert read_table(spark, root, "fuel_reports").count() == 4

@@ -145,7 +145,9 @@ def test_extract_dates_itself(spark, root):
     assert report.first()["ingest_date"] == date.today().isoformat()
 
 
-@pytest.mark.parametrize("format, options", [("parquet", {}), ("json", {}), ("csv", {"header": True})])
+@pytest.mark.parametrize(
+    "format, options", [("parquet", {}), ("json", {}), ("csv", {"header": True})]
+)
 def test_file_sources(spark, tmp_path, format, options):
     path = str(tmp_path / format)
     df = spark.createDataFrame([("D1", "s")], "id string, otp_secret string")

@@ -62,10 +62,14 @@ def expected_reason(text: str) -> str | None:
     return WRITE_KEYWORD if words & set(FORBIDDEN) else None
 
 
+TEXT = st.lists(st.sampled_from(PIECES), max_size=8).map("".join)
+
+
 @FEW
-@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=8).map("".join), min_size=200, max_size=300))
+@given(st.lists(TEXT, min_size=200, max_size=300))
 def test_guard_agrees_with_its_rules(spark, texts):
-    df = spark.createDataFrame([(i, "q", t) for i, t in enumerate(texts)], "id long, question string, sql string")
+    log = [(i, "q", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(log, "id long, question string, sql string")
     for row in audit_sql(df).collect():
         assert row["clean_sql"] == expected_clean(row["sql"])
         why = expected_reason(row["clean_sql"])
