@@ -21,7 +21,10 @@ _DESCRIPTION = T.StructType(
 
 
 def register_views(spark: SparkSession, root: str, snapshot: str = LATEST) -> list[str]:
-    """One temporary view per table folder, plus ``anomalies``; returns their names."""
+    """One temporary view per table folder, plus ``anomalies``; returns their names.
+
+    A view stays on the snapshot found now; register again after an extract.
+    """
     made = []
     for table in schemas.TABLES:
         if partition_days(spark, table_path(root, table), schemas.INGEST_KEY):

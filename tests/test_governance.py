@@ -2,13 +2,16 @@ from __future__ import annotations
 
 import pytest
 
+from convoy.operators.fuel import fuel_efficiency
 from convoy.operators.governance import (
     NOT_A_QUERY,
     SEVERAL_STATEMENTS,
     WRITE_KEYWORD,
     audit_sql,
 )
+from convoy.operators.shifts import driver_hours
 from convoy.plans.ask import Blocked, guard, readonly_query, run_file, run_readonly
+from tests.helpers import ENTRIES, PROFILES, reports, rows, shift
 
 CASES = [
     ("SELECT 1", None),
@@ -112,6 +115,35 @@ def test_time_functions_of_stored_queries(spark):
     assert run_readonly(spark, sql)["rows"] == [["7200"]]
 
 
+def test_stored_style_queries_agree_with_the_operators(spark):
+    entries = spark.createDataFrame(
+        [shift(3600), shift(5400.7), shift(17 * 3600), shift(0, "D2")], ENTRIES
+    )
+    people = spark.createDataFrame([("D1", "Ann", 20.0), ("D2", "Bo", 0.0)], PROFILES)
+    fills = reports(spark, (0.0, 50.0), (300.0, 50.0), (250.0, 0.0), (600.0, 100.0))
+    for name, df in (("time_entries", entries), ("profiles", people), ("fuel_reports", fills)):
+        df.createOrReplaceTempView(name)
+    labour = """
+        SELECT p.name AS driver, count(*) AS shifts,
+               round(sum(date_diff('second', from_iso8601_timestamp(t.clock_in),
+                         from_iso8601_timestamp(t.clock_out)) / 3600.0), 1) AS hours
+        FROM profiles p JOIN time_entries t ON p.id = t.employee_id
+        WHERE t.clock_out IS NOT NULL GROUP BY p.name, p.hourly_rate ORDER BY hours DESC LIMIT 10
+    """
+    expected = rows(driver_hours(entries, people), "driver", "shifts", "hours")
+    found = run_readonly(spark, labour)["rows"]
+    assert [(d, int(n), float(h)) for d, n, h in found] == expected
+    distances = """
+        WITH f AS (SELECT fr.*, lag(fr.odometer) OVER (
+                     PARTITION BY fr.unit_no ORDER BY fr.report_date, fr.created_at) AS before
+                   FROM fuel_reports fr)
+        SELECT f.report_date, f.odometer - f.before AS distance_km FROM f ORDER BY f.report_date
+    """
+    expected = rows(fuel_efficiency(fills), "report_date", "distance_km")
+    found = run_readonly(spark, distances)["rows"]
+    assert [(d, float(km) if km else None) for d, km in found] == expected
+
+
 def test_query_files(spark, tmp_path):
     file = tmp_path / "q.sql"
     file.write_text("-- a comment\nSELECT id FROM range(2000);\n")
