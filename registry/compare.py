@@ -33,14 +33,26 @@ def _bag(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
     )
 
 
+# How DuckDB calls the Spark types that results use.
+_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def differences(spark: SparkSession, con, query, sql: str, sf_dir: str) -> str | None:
-    """None when both sides agree on columns and on the exact bag of rows."""
+    """None when both sides agree on columns, types and the exact bag of rows."""
     df = query(spark, sf_dir)
+    kinds = {name: _TYPES.get(kind, kind) for name, kind in df.dtypes}
+    expected = {row[0]: row[1] for row in con.execute(f"describe {sql}").fetchall()}
+    if kinds != expected:
+        return f"types {kinds} != {expected}"
     ours = _bag(df.columns, df.collect())
     cursor = con.execute(sql)
     theirs = _bag([d[0] for d in cursor.description], cursor.fetchall())
-    if ours[0] != theirs[0]:
-        return f"columns {ours[0]} != {theirs[0]}"
     if len(ours[1]) != len(theirs[1]):
         return f"{len(ours[1])} rows != {len(theirs[1])}"
     wrong = [(a, b) for a, b in zip(ours[1], theirs[1]) if a != b]

@@ -306,8 +306,9 @@ def _evolved() -> str:
 def _runs() -> str:
     def one(day: str, tag: str) -> str:
         return (
-            f"select count(*) as total, count_if(category = 'fuel') as fuel, "
-            f"count_if(category = 'shift') as shift, '{day}' as detect_date from feed{tag}"
+            f"select count(*) as total, count(*) filter (category = 'fuel') as fuel, "
+            f"count(*) filter (category = 'shift') as shift, '{day}' as detect_date "
+            f"from feed{tag}"
         )
 
     return _both_days(f"{one(DAY_1, '_1')} union all {one(DAY_2, '_2')}")
@@ -358,7 +359,8 @@ def fleet_oracles(tables: Mapping[str, Callable] = _TABLES) -> dict[str, str]:
         "anomaly_feed": today("select * from feed"),
         "detection_summary": today(
             f"select '{TODAY}' as detect_date, count(*) as total, "
-            "count_if(category = 'fuel') as fuel, count_if(category = 'shift') as shift from feed"
+            "count(*) filter (category = 'fuel') as fuel, "
+            "count(*) filter (category = 'shift') as shift from feed"
         ),
         "severity_feed": today(_SEVERITY),
         "severity_counts": today(

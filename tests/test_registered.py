@@ -33,6 +33,7 @@ def test_comparison_sees_a_difference(spark, duck):
         return session.createDataFrame([(1, 0.1)], "a int, b double")
 
     assert differences(spark, duck, query, "select 1 as a, 0.1::double as b", SMALL) is None
+    assert differences(spark, duck, query, "select 1::bigint as a, 0.1::double as b", SMALL)
     assert differences(spark, duck, query, "select 1 as a, 0.2::double as b", SMALL)
     assert differences(spark, duck, query, "select 1 as a, 0.1::double as c", SMALL)
     assert differences(spark, duck, query, "select 1 as a, 0.1::double as b where false", SMALL)
