@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from convoy.llm import minhash, suffixes
+from convoy.llm import licenses, minhash, suffixes
 from convoy.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_minhash": lambda spark, sf: minhash.near_duplicates(documents(spark, sf)),
+    "op3_license_scan": lambda spark, sf: licenses.license_digest(
+        licenses.license_scan(documents(spark, sf))
+    ),
     "op5_suffix_array": lambda spark, sf: suffixes.removal_digest(
         suffixes.without_repeats(documents(spark, sf))
     ),
