@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from convoy.llm import licenses, minhash, suffixes
+from convoy.llm import licenses, minhash, packing, suffixes, token_counts
 from convoy.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,5 +19,9 @@ QUERIES: dict[str, Query] = {
     "op5_suffix_array": lambda spark, sf: suffixes.removal_digest(
         suffixes.without_repeats(documents(spark, sf))
     ),
+    "op6_token_counts": lambda spark, sf: token_counts.limit_table(
+        token_counts.length_histogram(documents(spark, sf))
+    ),
+    "op8_packing": lambda spark, sf: packing.pack(documents(spark, sf)).drop("ids"),
 }
 ORACLES: dict[str, str] = {}
