@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from convoy.llm import licenses, minhash, packing, suffixes, token_counts
+from convoy.llm import licenses, minhash, packing, suffixes, token_counts, vectors
 from convoy.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,5 +23,8 @@ QUERIES: dict[str, Query] = {
         token_counts.length_histogram(documents(spark, sf))
     ),
     "op8_packing": lambda spark, sf: packing.pack(documents(spark, sf)).drop("ids"),
+    "op4_embedding_dedup": lambda spark, sf: vectors.near_vectors(
+        spark.read.parquet(f"{sf}/embeddings.parquet")
+    ),
 }
 ORACLES: dict[str, str] = {}
