@@ -15,6 +15,10 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+# Everything in ASCII but digits and letters stands between words.
+MARKS = np.ones(256, bool)
+MARKS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -54,10 +58,13 @@ def spans_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return (prefix[end] - prefix[start]) * down[start]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SPACE, head: int | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased words of every text, and the offsets of each text's words.
 
-    Words are runs of anything but ASCII white space; A-Z is lower-cased. The
+    Words are runs of anything but ASCII white space, or but the bytes marked in
+    ``gaps``; A-Z is lower-cased. With ``head`` only a word's first bytes count. The
     buffer is worked through in blocks that end at white space or between texts,
     so one very long text needs no more memory than many short ones.
     """
@@ -69,7 +76,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         if end < total:
             end = _cut(data, offsets, at, end)
         block = _LOWER[data[at:end]]
-        word = ~_SPACE[block]
+        word = ~gaps[block]
         first = word.copy()
         first[1:] &= ~word[:-1]
         edges = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, end)] - at
@@ -77,6 +84,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         last = word.copy()
         last[:-1] &= ~word[1:] | first[1:]
         begin, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
+        stop = stop if head is None else np.minimum(stop, begin + head)
         hashes.append(mix(spans_hash(prefix_hashes(block), begin, stop)))
         starts.append(begin + at)
         at = end

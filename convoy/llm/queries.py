@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from convoy.llm import licenses, minhash, packing, suffixes, token_counts, vectors
+from convoy.llm import (
+    language,
+    licenses,
+    minhash,
+    packing,
+    quality,
+    suffixes,
+    token_counts,
+    vectors,
+)
 from convoy.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,5 +35,9 @@ QUERIES: dict[str, Query] = {
     "op4_embedding_dedup": lambda spark, sf: vectors.near_vectors(
         spark.read.parquet(f"{sf}/embeddings.parquet")
     ),
+    "op7_quality": lambda spark, sf: quality.quality_scores(
+        documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
+    ),
+    "op10_language": lambda spark, sf: language.identify(documents(spark, sf)),
 }
 ORACLES: dict[str, str] = {}
