@@ -14,6 +14,7 @@ from convoy.llm import (
     quality,
     suffixes,
     token_counts,
+    toxicity,
     vectors,
 )
 from convoy.llm.tables import documents
@@ -22,6 +23,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_minhash": lambda spark, sf: minhash.near_duplicates(documents(spark, sf)),
+    "op2_toxicity": lambda spark, sf: toxicity.toxicity_scores(
+        documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
+    ),
     "op3_license_scan": lambda spark, sf: licenses.license_digest(
         licenses.license_scan(documents(spark, sf))
     ),

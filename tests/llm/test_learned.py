@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from convoy.llm.language import identify
 from convoy.llm.quality import quality_scores
+from convoy.llm.toxicity import toxicity_scores, without_toxic
 
 DATA = "/root/testdata/sf0.1"
 SCHEMA = "doc_id long, text string, lang string, score double, y int, x long"
@@ -57,3 +58,25 @@ def test_language_odd_rows(spark):
     nothing = odd_rows(spark).withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in identify(nothing).collect()} == {"und"}
     assert identify(odd_rows(spark).limit(0)).collect() == []
+
+
+def test_toxicity_of_unseen_rows(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    unseen = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    rows = toxicity_scores(docs, labels.filter(~unseen)).join(
+        labels.filter(unseen).select("doc_id", "toxic"), "doc_id"
+    ).collect()
+    clean = [r.predicted for r in rows if r.toxic == 0]
+    bad = [r.predicted for r in rows if r.toxic == 1]
+    print(sum(clean), len(clean), sum(bad), len(bad))
+    assert sum(clean) <= 0.01 * len(clean) and sum(bad) >= 0.85 * len(bad)
+
+
+def test_toxicity_odd_rows(spark):
+    labels = spark.createDataFrame([(7, 1), (1, 0), (2, 0), (5, 0), (8, 9), (9, 1)], "doc_id long, toxic int")
+    rows = toxicity_scores(odd_rows(spark), labels).collect()
+    assert len(rows) == len(ODD) and all(0 <= r.score <= 1 for r in rows)
+    kept = without_toxic(odd_rows(spark), labels)
+    assert kept.columns == odd_rows(spark).columns and kept.count() <= len(ODD)
+    assert {r.score for r in toxicity_scores(odd_rows(spark), labels.limit(0)).collect()} == {0.0}
+    assert toxicity_scores(odd_rows(spark).limit(0), labels).collect() == []
