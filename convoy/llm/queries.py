@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from convoy.llm import (
+    decontamination,
     language,
     licenses,
     minhash,
@@ -43,5 +44,8 @@ QUERIES: dict[str, Query] = {
         documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
     ),
     "op10_language": lambda spark, sf: language.identify(documents(spark, sf)),
+    "op9_decontamination": lambda spark, sf: decontamination.contaminated(
+        documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")
+    ),
 }
 ORACLES: dict[str, str] = {}

@@ -6,11 +6,67 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from convoy.llm.decontamination import without_benchmark
+from convoy.llm.minhash import near_duplicates
+from convoy.llm.packing import pack
+from convoy.llm.suffixes import without_repeats
 from convoy.llm.tables import documents, landed
+from convoy.llm.toxicity import without_toxic
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain learned from ``labels`` does not reject."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each class of near duplicates.
+
+    Rows without a doc_id go, and rows that repeat one stay with it.
+    """
+    classes = near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    return docs.join(classes, "doc_id", "left_semi").select(*docs.columns)
+
+
+def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without strings of 100 bytes that stand earlier; ``n_chars`` follows.
+
+    A document all of whose text stands earlier goes; one that was empty stays.
+    """
+    trimmed = without_repeats(docs, as_text=True).dropDuplicates(["doc_id"])
+    trimmed = trimmed.select(
+        F.col("doc_id").alias("trimmed_id"), F.col("kept").alias("trimmed_text"), F.size("spans").alias("cut")
+    )
+    rest = docs.drop("text").join(trimmed, F.col("doc_id") == F.col("trimmed_id"))
+    rest = rest.filter((F.col("cut") == 0) | (F.length("trimmed_text") > 0))
+    changed = {"text": F.col("trimmed_text")}
+    if "n_chars" in docs.columns:
+        length = F.length("trimmed_text").cast("long")
+        changed["n_chars"] = F.when(F.col("cut") > 0, length).otherwise(F.col("n_chars"))
+    return rest.withColumns(changed).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, placed in sequences."""
+    return pack(docs).drop("ids")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicate),
+    ("suffix_array", repeated_text),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 # Similarity of sketches, learned models and suffix sorting have no SQL form.
 ORACLE_SQL = None
