@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SECONDS_PER_HOUR = 3600.0
+# Doubles from here on are whole numbers.
+_WHOLE = float(2**52)
 
 
 def round_ieee(value: Column, digits: int) -> Column:
@@ -14,10 +16,23 @@ def round_ieee(value: Column, digits: int) -> Column:
 
     Spark's own ``round`` goes through the shortest decimal text, so 1.005
     becomes 1.01 there; scaling the double first gives 1.0, which is what the
-    reference engine returns.
+    reference engine returns. Values that are so large that no fraction is left,
+    and those that are not finite, stay as they are.
     """
     scale = F.lit(float(10**digits))
-    return F.signum(value) * F.floor(F.abs(value) * scale + F.lit(0.5)) / scale
+    scaled = F.abs(value) * scale
+    rounded = F.signum(value) * F.floor(scaled + F.lit(0.5)) / scale
+    return F.when(scaled < F.lit(_WHOLE), rounded).otherwise(value)
+
+
+def exact_sum(value: Column) -> Column:
+    """The sum of doubles, taken in decimals so that any order gives the same.
+
+    A group with a value that has no such decimal is summed as doubles.
+    """
+    exact = value.try_cast(T.DecimalType(30, 12))
+    total = F.try_sum(exact).cast("double")
+    return F.when(F.count(exact) == F.count(value), total).otherwise(F.sum(value))
 
 
 def instant(text: Column) -> Column:
@@ -54,14 +69,18 @@ def guarded_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def fixed_text(value: Column, digits: int, missing: str = "None") -> Column:
-    """Plain decimal text with a fixed number of digits; NULL as ``missing``."""
-    text = value.cast(T.DecimalType(18, digits)).cast("string")
-    return F.coalesce(text, F.lit(missing))
+    """Plain decimal text with a fixed number of digits; NULL as ``missing``.
+
+    A number beyond 38 digits, or one that is not finite, is shown as the double's own text.
+    """
+    text = value.try_cast(T.DecimalType(38, digits)).cast("string")
+    return F.coalesce(text, value.cast("string"), F.lit(missing))
 
 
 def trimmed_text(value: Column, digits: int = 2) -> Column:
     """Decimal text without trailing zeros: 12.50 -> 12.5, 100.00 -> 100."""
-    return F.regexp_replace(value.cast(T.DecimalType(38, digits)).cast("string"), r"\.?0+$", "")
+    text = value.try_cast(T.DecimalType(38, digits)).cast("string")
+    return F.coalesce(F.regexp_replace(text, r"\.?0+$", ""), value.cast("string"))
 
 
 def parsed_or_zero(value: Column) -> Column:

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convoy import schemas
-from convoy.functions.numeric import guarded_ratio, round_ieee
+from convoy.functions.numeric import exact_sum, guarded_ratio, round_ieee
 from convoy.functions.ordering import ascending, descending, spread_sort
-from convoy.operators.previous import MAX_GROUP_ROWS, with_previous
+from convoy.operators.previous import with_previous
 
 _CHRONOLOGY = ["report_date", "created_at"]
 _FILL = ["unit_no", "report_date", "odometer", "fuel_litres"]
@@ -20,9 +20,7 @@ def _order(reports: DataFrame) -> list[str]:
     return _CHRONOLOGY + ties
 
 
-def fuel_deltas(
-    reports: DataFrame, *, max_unit_rows: int = MAX_GROUP_ROWS, by_range: bool = False
-) -> DataFrame:
+def fuel_deltas(reports: DataFrame) -> DataFrame:
     """Each fill with ``prev_odometer``, ``distance_km``, ``economy`` and ``km_per_litre``.
 
     ``economy`` is the unrounded ratio that averages use, ``km_per_litre`` the
@@ -31,15 +29,7 @@ def fuel_deltas(
     """
     order = _order(reports)
     kept = reports.select(*dict.fromkeys(_FILL + order))
-    previous = with_previous(
-        kept,
-        "unit_no",
-        order,
-        "odometer",
-        "prev_odometer",
-        max_group_rows=max_unit_rows,
-        by_range=by_range,
-    )
+    previous = with_previous(kept, "unit_no", order, "odometer", "prev_odometer")
     # A missing previous odometer makes the distance, and with it the ratio, NULL.
     measured = previous.withColumn("distance_km", F.col("odometer") - F.col("prev_odometer"))
     economy = guarded_ratio(F.col("distance_km"), F.col("fuel_litres"))
@@ -48,10 +38,9 @@ def fuel_deltas(
     )
 
 
-def fuel_efficiency(reports: DataFrame, *, max_unit_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def fuel_efficiency(reports: DataFrame) -> DataFrame:
     """Every fill with distance and km/L, by unit and date."""
-    deltas = fuel_deltas(reports, max_unit_rows=max_unit_rows, by_range=True)
-    ordered = spread_sort(deltas, *ascending("unit_no", *_order(reports)))
+    ordered = spread_sort(fuel_deltas(reports), *ascending("unit_no", *_order(reports)))
     return ordered.select(*_FILL, "distance_km", "km_per_litre")
 
 
@@ -73,30 +62,27 @@ def fuel_anomalies(
     low: float = schemas.LOW_KM_PER_LITRE,
     high: float = schemas.HIGH_KM_PER_LITRE,
     ordered: bool = True,
-    max_unit_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Fills that break a rule, with the rule's label in ``anomaly``."""
-    deltas = fuel_deltas(reports, max_unit_rows=max_unit_rows)
+    deltas = fuel_deltas(reports)
     hits = deltas.withColumn("anomaly", fuel_label(low, high)).where(F.col("anomaly").isNotNull())
     if ordered:
         hits = spread_sort(hits, *ascending("unit_no", *_order(reports)), settle=True)
     return hits.select(*_FILL, "distance_km", "km_per_litre", "anomaly")
 
 
-def fuel_economy(
-    reports: DataFrame,
-    *,
-    limit: int | None = schemas.DASHBOARD_TOP,
-    max_unit_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Fills, litres and mean km/L per unit, best first; ``limit=None`` for all units."""
+def fuel_economy(reports: DataFrame, *, limit: int | None = None) -> DataFrame:
+    """Fills, litres and mean km/L per unit, best first; all units unless ``limit`` is given.
+
+    Sums are taken in exact decimals, so they do not depend on the order of tasks.
+    """
     per_unit = (
-        fuel_deltas(reports, max_unit_rows=max_unit_rows)
+        fuel_deltas(reports)
         .groupBy("unit_no")
         .agg(
             F.count(F.lit(1)).alias("fills"),
-            F.sum("fuel_litres").alias("litres"),
-            F.avg("economy").alias("mean_economy"),
+            exact_sum(F.col("fuel_litres")).alias("litres"),
+            (exact_sum(F.col("economy")) / F.count("economy")).alias("mean_economy"),
         )
     )
     shown = per_unit.select(

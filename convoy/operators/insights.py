@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from convoy import schemas
 from convoy.functions.numeric import parsed_or_zero, round_ieee, trimmed_text
 
 
@@ -58,7 +57,14 @@ def stringify(df: DataFrame) -> DataFrame:
     )
 
 
-def text_lines(df: DataFrame, *, limit: int = schemas.SUMMARY_ROWS) -> DataFrame:
-    """The first ``limit`` rows as one line of text each, cells parted by a bar."""
-    cells = stringify(df.limit(limit))
+def text_rows(df: DataFrame, max_rows: int | None = None) -> tuple[list[list[str]], bool]:
+    """The rows as lists of text, and whether ``max_rows`` left any out."""
+    text = stringify(df if max_rows is None else df.limit(max_rows + 1))
+    rows = [list(r) for r in text.collect()]
+    return rows[:max_rows], max_rows is not None and len(rows) > max_rows
+
+
+def text_lines(df: DataFrame, *, limit: int | None = None) -> DataFrame:
+    """Rows as one line of text each, cells parted by a bar; all unless ``limit`` is given."""
+    cells = stringify(df if limit is None else df.limit(limit))
     return cells.select(F.concat_ws(" | ", *[F.col(f"`{c}`") for c in cells.columns]).alias("line"))

@@ -1,123 +1,61 @@
 """The value of the preceding row in a group, also when one group is huge.
 
-A window puts a whole group into one task. That is the plan for ordinary
-groups. Groups above ``max_group_rows`` are cut into consecutive slices by a
-range shuffle over the full order, so their sort is spread over many tasks, and
-the last value of each slice is carried to the first row of the next.
+A window over a whole group would put it into one task. Here rows are windowed by
+group and period: the first order column, and the second to the hour. The last value of
+each period is carried into the group's next one. Periods per group are bounded by the
+calendar, whatever a group's number of rows, so a group that holds a third of the table spreads
+over as many tasks as it has hours. The plan is lazy and the same for every size.
 """
 
 from __future__ import annotations
 
-from math import ceil
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from convoy.functions.ordering import ascending, comparable, row_hash
-from convoy.session import durable
-
-MAX_GROUP_ROWS = 4_000_000
-
-# More tasks than this only burden the scheduler; slices grow instead.
-_MAX_SLICES = 20_000
+from convoy.functions.ordering import ascending, comparable
 
-# Below this many bytes per allowed row the table cannot hold a group that
-# large, and counting the groups is skipped.
-_MIN_ROW_BYTES = 4
+# Characters of an ISO-8601 text up to the hour. A prefix sorts like the text itself.
+_TO_THE_HOUR = 13
 
 
 def with_previous(
-    df: DataFrame,
-    group: str,
-    order: list[str],
-    value: str,
-    output: str,
-    *,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    by_range: bool = False,
+    df: DataFrame, group: str, order: list[str], value: str, output: str
 ) -> DataFrame:
     """Add ``output``: the ``value`` of the row before, within ``group``.
 
     The first row of a group gets NULL, and a NULL ``value`` is passed on as
-    NULL. Rows are ordered by ``order`` with NULLs last. With ``by_range`` the
-    groups are range-partitioned, so a following sort that starts with
-    ``group`` needs no second shuffle.
+    NULL. Rows are ordered by ``order`` with NULLs last.
     """
-    oversized = _oversized_groups(df, group, max_group_rows)
-    if not oversized:
-        return _by_window(df, group, order, value, output, by_range)
-
-    names = df.sparkSession.createDataFrame(
-        [(key,) for key, _ in oversized],
-        T.StructType([T.StructField("_group", df.schema[group].dataType, True)]),
-    )
-    # At most (rows of the table / max_group_rows) names: bounded by construction.
-    names = F.broadcast(names)
-    match = F.col(group).eqNullSafe(F.col("_group"))
-    ordinary = df.join(names, match, "left_anti")
-    large = df.join(names, match, "left_semi")
-    slices = min(sum(ceil(rows / max_group_rows) for _, rows in oversized) + 1, _MAX_SLICES)
-    return _by_window(ordinary, group, order, value, output, by_range).unionByName(
-        _by_slices(large, group, order, value, output, slices)
+    coarse = [F.col(order[0]), *[_coarse(df, name) for name in order[1:2]]]
+    key = F.concat(*[_part(c) for c in (F.col(group), *coarse)])
+    keyed = df.withColumn("_key", key)
+    boxed = F.struct(F.col(value).alias("v"))
+    within = Window.partitionBy("_key").orderBy(*ascending(*order))
+    marked = keyed.withColumn("_before", F.lag(boxed).over(within))
+
+    # One narrow row per group and period; summed before it is shuffled.
+    periods = {f"_p{i}": c for i, c in enumerate(coarse)}
+    ends = keyed.withColumns(periods).groupBy(F.col("_key").alias("_at")).agg(
+        F.max_by(boxed, comparable(*order)).alias("_end"),
+        F.first(group).alias("_g"),
+        *[F.first(name).alias(name) for name in periods],
     )
+    onward = Window.partitionBy("_g").orderBy(*ascending(*periods))
+    carried = ends.select("_at", F.lag("_end").over(onward).alias("_carry"))
+    joined = marked.join(carried, F.col("_key") == F.col("_at"), "left")
+    found = F.coalesce("_before", "_carry")["v"]
+    return joined.withColumn(output, found).drop("_key", "_before", "_at", "_carry")
 
 
-def _oversized_groups(df: DataFrame, group: str, max_group_rows: int) -> list[tuple]:
-    """Groups above the limit with their sizes; one narrow, pre-aggregated pass."""
-    if _estimated_bytes(df) < max_group_rows * _MIN_ROW_BYTES:
-        return []
-    counts = df.groupBy(F.col(group).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
-    return [(r["key"], r["rows"]) for r in counts.where(F.col("rows") > max_group_rows).collect()]
-
-
-def _estimated_bytes(df: DataFrame) -> float:
-    """The optimizer's size estimate; unknown counts as unbounded."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return float(str(stats.sizeInBytes()))
-    except AttributeError:
-        return float("inf")
+def _coarse(df: DataFrame, name: str) -> Column:
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return F.substring(name, 1, _TO_THE_HOUR)
+    return F.col(name)
 
 
-def _by_window(
-    df: DataFrame, group: str, order: list[str], value: str, output: str, by_range: bool
-) -> DataFrame:
-    if by_range:
-        df = df.repartitionByRange(*ascending(group))
-    frame = Window.partitionBy(group).orderBy(*ascending(*order))
-    return df.withColumn(output, F.lag(value).over(frame))
-
-
-def _by_slices(
-    df: DataFrame, group: str, order: list[str], value: str, output: str, slices: int
-) -> DataFrame:
-    # Ties are cut by a hash of the row, and exact copies by a number; see
-    # `spread_sort` for why in this order. The slice number is only meaningful
-    # once it is stored, hence `durable`.
-    order = [*order, "_hash", "_copy"]
-    sliced = durable(
-        df.withColumns({"_hash": row_hash(df), "_copy": F.monotonically_increasing_id()})
-        .repartitionByRange(slices, *ascending(group, *order))
-        .withColumn("_slice", F.spark_partition_id())
-    )
-    boxed = F.struct(F.col(value).alias("v"))
-    within = Window.partitionBy(group, "_slice").orderBy(*ascending(*order))
-    marked = sliced.withColumn("_before", F.lag(boxed).over(within))
-
-    # One row per slice and large group, whatever the number of data rows.
-    ends = sliced.groupBy(F.col(group).alias("_g"), F.col("_slice").alias("_s")).agg(
-        F.max_by(boxed, comparable(*order)).alias("_end")
-    )
-    carried = ends.select(
-        "_g", "_s", F.lag("_end").over(Window.partitionBy("_g").orderBy("_s")).alias("_carry")
-    )
-    joined = marked.join(
-        F.broadcast(carried),
-        F.col(group).eqNullSafe(F.col("_g")) & (F.col("_slice") == F.col("_s")),
-        "left",
-    )
-    return joined.withColumn(output, F.coalesce("_before", "_carry")["v"]).drop(
-        "_hash", "_copy", "_slice", "_before", "_g", "_s", "_carry"
-    )
+def _part(value: Column) -> Column:
+    """One part of a text key: never NULL, and told apart from its neighbours by its length."""
+    text = value.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))

@@ -50,7 +50,7 @@ def driver_hours(
     entries: DataFrame,
     profiles: DataFrame,
     *,
-    limit: int | None = schemas.DASHBOARD_TOP,
+    limit: int | None = None,
     hour_scale: int | None = None,
 ) -> DataFrame:
     """Shifts, hours and estimated pay per (name, rate), most hours first.

@@ -1,20 +1,15 @@
-"""Guarded, capped, read-only SQL over the registered tables."""
+"""Guarded, read-only SQL over the registered tables."""
 
 from __future__ import annotations
 
 import re
-from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convoy import schemas
 from convoy.operators.governance import clean_sql, rejection
-from convoy.operators.insights import stringify
-
-_FILES_SWITCH = "spark.sql.runSQLOnFiles"
-
+from convoy.operators.insights import text_rows
 
 class Blocked(ValueError):
     """The guard refused a query."""
@@ -28,20 +23,29 @@ def register_functions(spark: SparkSession) -> None:
     )
 
 
+# Quoted text and comments, which stay as they are, or the start of a date difference.
+_DATE_DIFF = re.compile(
+    r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/"""
+    r"""|\bdate_diff\s*\(\s*'(\w+)'\s*,""",
+    re.IGNORECASE | re.DOTALL,
+)
+
+
 def _plain_units(sql: str) -> str:
     """Spark names the unit of a date difference by a bare word, not a string."""
-    return re.sub(r"(?i)\bdate_diff\s*\(\s*'(\w+)'\s*,", r"timestampdiff(\1,", sql)
+    return _DATE_DIFF.sub(lambda m: f"timestampdiff({m[1]}," if m[1] else m[0], sql)
 
 
-@contextmanager
-def _tables_only(spark: SparkSession):
-    """No ``FROM parquet.`path```: a query sees registered names and nothing else."""
-    before = spark.conf.get(_FILES_SWITCH, "true")
-    spark.conf.set(_FILES_SWITCH, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(_FILES_SWITCH, before)
+def _refuse_files(spark: SparkSession, sql: str) -> None:
+    """No ``FROM parquet.`path```: a query sees registered names and nothing else.
+
+    Looks at the parsed query, before any name is resolved, and changes no setting.
+    """
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+    for names in re.findall(r"UnresolvedRelation \[([^\]]*)\]", plan):
+        parts = [p.strip() for p in names.split(",")]
+        if len(parts) > 1 and not spark.catalog.databaseExists(parts[0]):
+            raise Blocked(f"only registered tables can be read, not {parts[0]}.*")
 
 
 def guard(spark: SparkSession, sql: str) -> str:
@@ -58,30 +62,43 @@ def guard(spark: SparkSession, sql: str) -> str:
     return text
 
 
-def readonly_query(
-    spark: SparkSession, sql: str, max_rows: int | None = schemas.API_ROWS
-) -> DataFrame:
-    """A guarded query as a DataFrame with at most ``max_rows`` rows."""
-    text = guard(spark, sql)
+def readonly_query(spark: SparkSession, sql: str, max_rows: int | None = None) -> DataFrame:
+    """A guarded query as a DataFrame with all of its rows, or the first ``max_rows``."""
+    text = _plain_units(guard(spark, sql))
     register_functions(spark)
-    with _tables_only(spark):
-        result = spark.sql(_plain_units(text))
+    _refuse_files(spark, text)
+    result = spark.sql(text)
     return result if max_rows is None else result.limit(max_rows)
 
 
-def run_readonly(spark: SparkSession, sql: str, max_rows: int = schemas.API_ROWS) -> dict:
-    """Run a guarded query; a refusal or failure comes back as ``error``, never raised."""
+def run_readonly(spark: SparkSession, sql: str, max_rows: int | None = None) -> dict:
+    """Run a guarded query; a refusal or failure comes back as ``error``, never raised.
+
+    With ``max_rows``, ``truncated`` tells whether rows are left out. Large results
+    belong into ``save_readonly``, which does not pass them through the driver.
+    """
     try:
-        result = readonly_query(spark, sql, max_rows)
-        rows = [list(r) for r in stringify(result).collect()]
+        result = readonly_query(spark, sql)
+        rows, truncated = text_rows(result, max_rows)
     except Blocked as refusal:
         return {"sql": sql, "error": f"blocked: {refusal}"}
     except PySparkException as problem:
         return {"sql": sql, "error": f"the query failed to run: {problem}"}
-    return {"sql": sql, "row_count": len(rows), "columns": result.columns, "rows": rows}
+    return {
+        "sql": sql,
+        "row_count": len(rows),
+        "columns": result.columns,
+        "rows": rows,
+        "truncated": truncated,
+    }
+
+
+def save_readonly(spark: SparkSession, sql: str, path: str) -> None:
+    """Write the whole result of a guarded query to ``path`` as parquet."""
+    readonly_query(spark, sql).write.parquet(path)
 
 
 def run_file(spark: SparkSession, path: str) -> DataFrame:
-    """A query kept in a ``.sql`` file, one console page of it."""
+    """A query kept in a ``.sql`` file, with all of its rows."""
     with open(path, encoding="utf-8") as file:
-        return spark.sql(_plain_units(file.read().strip().rstrip(";"))).limit(schemas.CONSOLE_ROWS)
+        return spark.sql(_plain_units(file.read().strip().rstrip(";")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +10,7 @@ from convoy.operators.anomalies import anomaly_feed
 from convoy.operators.fuel import fuel_anomalies
 from convoy.operators.shifts import shift_anomalies
 from convoy.sources.anomaly_store import write_anomalies, write_run
-from convoy.sources.lake import LATEST, read_table
+from convoy.sources.lake import LATEST, finished_day, read_table
 
 
 def detection_feed(
@@ -32,9 +32,14 @@ def detect(
 ) -> dict:
     """Check the whole history in one snapshot and replace the day's records.
 
+    The latest snapshot is the newest day whose extract has finished, for all tables;
+    a lake without extract reports is read at each table's newest day.
+
     Returns the run's summary. Running a day again gives the same partition.
     """
-    day = run_date or date.today().isoformat()
+    day = run_date or datetime.now(UTC).date().isoformat()
+    if snapshot == LATEST:
+        snapshot = finished_day(spark, root) or LATEST
     feed = detection_feed(
         read_table(spark, root, "fuel_reports", snapshot),
         read_table(spark, root, "time_entries", snapshot),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +21,7 @@ def run_extract(
     side and short ones fill the gaps of long ones. The report has one row per
     table and one, named ``total``, for all; it is also kept in the lake.
     """
-    day = run_date or date.today().isoformat()
+    day = run_date or datetime.now(UTC).date().isoformat()
     with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
         pending = {
             table: pool.submit(write_snapshot, df, root, table, day)

@@ -74,6 +74,3 @@ DEFAULT_SEVERITY = "info"
 EXAMPLE_TOP = 10
 DASHBOARD_TOP = 25
 FEED_TOP = 50
-API_ROWS = 59
-SUMMARY_ROWS = 50
-CONSOLE_ROWS = 999

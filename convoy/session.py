@@ -24,9 +24,8 @@ SETTINGS = {
 }
 
 
-# What one shuffle task should hold, and how many tasks a scheduler takes well.
+# What one shuffle task should hold.
 _TASK_BYTES = 256 * 1024**2
-_MAX_TASKS = 20_000
 
 
 def shuffle_partitions(input_bytes: int, cores: int = 8) -> int:
@@ -35,7 +34,7 @@ def shuffle_partitions(input_bytes: int, cores: int = 8) -> int:
     Erring high is cheap, since AQE joins small neighbours at run time; a
     partition that is too large spills and cannot be split again.
     """
-    return max(cores, min(ceil(input_bytes / _TASK_BYTES), _MAX_TASKS))
+    return max(cores, ceil(input_bytes / _TASK_BYTES))
 
 
 def build_session(
@@ -68,7 +67,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
+    # Executors of a local cluster are processes of their own, like those of any other.
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="convoy-"))
     return context.getCheckpointDir().rstrip("/")

@@ -72,13 +72,18 @@ def read_anomalies(spark: SparkSession, root: str, run: str = ALL, *, by_run: bo
     """Stored records of all runs, of the latest run, or of one day.
 
     ``latest`` means the newest day that has records, as a maximum over the
-    rows would give; it is found from folder listings alone. With ``by_run`` it
-    is the newest day that ran, which may have no records.
+    rows would give; it is found from the stored totals of the runs, one row per day, or
+    from folder listings where no run is stored. With ``by_run`` it is the newest day
+    that ran, which may have no records.
     """
     path = feed_path(root)
     if run == LATEST:
-        days = partition_days(spark, runs_path(root), schemas.DETECT_KEY) if by_run else []
-        run = days[-1] if days else newest_filled_day(spark, path, schemas.DETECT_KEY)
+        days = partition_days(spark, runs_path(root), schemas.DETECT_KEY)
+        if days and not by_run:
+            filled = read_runs(spark, root).filter("total > 0")
+            run = filled.agg(F.max(schemas.DETECT_KEY)).first()[0]
+        else:
+            run = days[-1] if days else newest_filled_day(spark, path, schemas.DETECT_KEY)
         if run is None:
             return spark.createDataFrame([], _WITH_DAY)
     target = path if run == ALL else _day(path, run)

@@ -94,6 +94,12 @@ def _partitions(spark: SparkSession, path: str, key: str) -> list[tuple[str, obj
     return sorted(found)
 
 
+def finished_day(spark: SparkSession, root: str) -> str | None:
+    """The newest day whose extract has written its report, which comes after all tables."""
+    days = partition_days(spark, report_path(root), schemas.INGEST_KEY)
+    return days[-1] if days else None
+
+
 def newest_filled_day(spark: SparkSession, path: str, key: str) -> str | None:
     """The newest day whose folder holds any bytes."""
     files = None

@@ -137,7 +137,10 @@ _ECONOMY_ORDER = "order by avg_km_per_litre desc nulls last, unit_no"
 
 
 def _text(column: str, digits: int) -> str:
-    return f"coalesce(cast(cast({column} as decimal(18, {digits})) as varchar), 'None')"
+    # By way of the shortest text of the double, which is what Spark's decimals come from.
+    return (
+        f"coalesce(cast(cast(cast({column} as varchar) as decimal(38, {digits})) as varchar), 'None')"
+    )
 
 
 def _records(fuel: str, shift: str) -> str:
@@ -157,9 +160,12 @@ _FEED_ORDER = "order by category, anomaly_type, entity, detail limit 50"
 
 _SEVERITY = """
     select case anomaly_type when 'missing_hourly_rate' then 'critical'
+                             when 'odometer_backwards' then 'serious'
+                             when 'implausible_low_economy' then 'serious'
+                             when 'implausible_high_economy' then 'serious'
+                             when 'zero_or_missing_litres' then 'serious'
                              when 'excessive_shift' then 'warning'
-                             when 'nonpositive_duration' then 'info'
-                             else 'serious' end as severity,
+                             else 'info' end as severity,
            replace(anomaly_type, '_', ' ') as type, category, entity, detail
     from feed"""
 
@@ -193,6 +199,27 @@ def _both_days(query: str, **more: str) -> str:
     return _with({**_day_ctes(DAY_1, "_1"), **_day_ctes(DAY_2, "_2"), **more}, query)
 
 
+def _hot_ctes() -> dict[str, str]:
+    unit = "case when id % 3 <> 0 then 'U1' else unit_no end as unit_no"
+    return {
+        **_day_ctes(TODAY),
+        "hot_fills": f"select * replace ({unit}) from fuel_reports",
+        "hot_deltas": _deltas("hot_fills"),
+    }
+
+
+def _extreme_ctes() -> dict[str, str]:
+    odometer = "case when id % 101 = 0 then 1e17::double else odometer end as odometer"
+    litres = "case when id % 103 = 0 then 1e-12::double else fuel_litres end as fuel_litres"
+    return {
+        **_day_ctes(TODAY),
+        "extreme_fills": f"select * replace ({odometer}, {litres}) from fuel_reports",
+        "extreme_deltas": _deltas("extreme_fills"),
+        "extreme_hits": _fuel_hits("extreme_deltas"),
+        "extreme_feed": _records("extreme_hits", "shift_hits"),
+    }
+
+
 def _snapshot(table: str, tag: str, day: str) -> str:
     return f"select *, '{day}' as ingest_date from {table}{tag}"
 
@@ -237,6 +264,7 @@ def _insight_lines(join: str) -> str:
     return " union all ".join(branches)
 
 
+# Words that a read-only query may not hold.
 _BLANK = r"[\s\x1c-\x1f]+"
 _KEYWORDS = "insert|update|delete|drop|create|alter|grant|revoke|truncate|merge|call"
 
@@ -394,6 +422,20 @@ ORACLES: dict[str, str] = {
     ),
     "anomalies_latest": _LATEST,
     "anomalies_latest_by_max": _LATEST,
+    "fuel_deltas_hot_unit": _with(
+        _hot_ctes(),
+        "select id, unit_no, prev_odometer, distance_km, economy, km_per_litre from hot_deltas",
+    ),
+    "fuel_economy_hot_unit": _with(
+        {**_hot_ctes(), "hot_economy": _economy("hot_deltas")}, "select * from hot_economy"
+    ),
+    "anomaly_feed_extremes": _with(_extreme_ctes(), "select * from extreme_feed"),
+    "insights_isolated": _with(
+        _day_ctes(DAY_2),
+        "select 'anomalies' as insight, 0::bigint as n_rows, false as failed union all "
+        "select 'driver_hours', least(count(*), 25), false from labour union all "
+        "select 'fuel_economy', 0, true",
+    ),
     "profiles_minimized": f"select * from ({_profiles(TODAY)})",
     "latest_snapshot": _both_days(
         f"select {_FILLS} from ({_snapshot('fuel_reports', '_2', DAY_2)})"
@@ -408,8 +450,7 @@ ORACLES: dict[str, str] = {
     "audit_sql": _audit(),
     "readonly_query": _with(
         _day_ctes(TODAY),
-        READONLY_SQL.replace("LIMIT 100", "LIMIT 59")
-        .replace("date_diff", "date_sub")
+        READONLY_SQL.replace("date_diff", "date_sub")
         .replace("from_iso8601_timestamp(fr.created_at)", "fr.created_at::timestamptz")
         .replace(
             "from_iso8601_timestamp('2024-01-01T00:00:00Z')", "timestamptz '2024-01-01 00:00:00+00'"

@@ -26,13 +26,14 @@ from convoy.operators.insights import kpi_tiles, percent_of_max, stringify, text
 from convoy.operators.shifts import completed_shifts, driver_hours, shift_anomalies, with_driver
 from convoy.operators.snapshots import as_of_snapshot, latest_snapshot
 from convoy.plans.ask import readonly_query
-from convoy.plans.dashboard import insights
+from convoy.plans.dashboard import collect_insights, insights, lake_insights
 from convoy.plans.detect import detect, detection_feed
 from convoy.plans.extract import run_extract
 from convoy.session import scratch_path
 from convoy.sources.anomaly_store import read_anomalies, read_runs
 from convoy.sources.lake import ALL, LATEST, day_path, read_table
-from convoy.sources.operational import drop_sensitive
+from convoy.sources.catalog import register_views
+from convoy.sources.operational import read_files
 from registry.fleet import DAY_1, DAY_2, TABLES, TODAY, Fleet, derived, query_log, snapshot
 
 # Over operational tables, wherever they come from.
@@ -97,14 +98,14 @@ def _loads_per_driver(fleet: Fleet) -> DataFrame:
 
 def _result_text(form: Callable[[DataFrame], DataFrame], fleet: Fleet) -> DataFrame:
     """The dashboard's three result sets as one table of (insight, line)."""
-    feed = _feed(fleet).withColumn(schemas.DETECT_KEY, F.lit(TODAY))
-    sets = insights(fleet("time_entries"), fleet("profiles"), fleet("fuel_reports"), feed)
+    entries, roster, reports = (fleet(t) for t in ("time_entries", "profiles", "fuel_reports"))
+    sets = insights(entries, roster, reports, _feed(fleet))
     parts = [form(df).select(F.lit(name).alias("insight"), "line") for name, df in sets.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def _cells(df: DataFrame) -> DataFrame:
-    text = stringify(df.limit(schemas.API_ROWS))
+    text = stringify(df)
     return text.select(F.to_json(F.array(*text.columns)).alias("line"))
 
 
@@ -194,19 +195,62 @@ def _extract_report(spark: SparkSession, sf: str) -> DataFrame:
     return run_extract(spark, snapshot(spark, sf, TODAY), scratch_path(spark, "lake"), TODAY)
 
 
+def _read_minimized(spark: SparkSession, sf: str) -> DataFrame:
+    """The roster through the file source, which drops sensitive columns."""
+    path = scratch_path(spark, "source")
+    TABLES["profiles"](spark, sf).write.parquet(path)
+    return read_files(spark, path)
+
+
 def _ask(spark: SparkSession, sf: str) -> DataFrame:
-    for name, df in snapshot(spark, sf, TODAY).items():
-        drop_sensitive(df).createOrReplaceTempView(name)
+    """A guarded question over the extracted and registered tables."""
+    root = scratch_path(spark, "lake")
+    run_extract(spark, snapshot(spark, sf, TODAY), root, TODAY)
+    register_views(spark, root)
     return readonly_query(spark, READONLY_SQL)
 
 
+def _isolated(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per result set of a lake without fuel reports: its rows, and whether it failed."""
+    found = collect_insights(lake_insights(spark, _two_days(spark, sf, "profiles", "time_entries")))
+    rows = [(name, len(one["rows"]), "error" in one) for name, one in sorted(found.items())]
+    return spark.createDataFrame(rows, "insight string, n_rows long, failed boolean")
+
+
+def _hot_unit(query: Callable[[DataFrame], DataFrame]) -> FleetQuery:
+    """Two of three fills belong to one unit, all rows kept."""
+
+    def run(fleet: Fleet) -> DataFrame:
+        unit = F.when(F.col("id") % 3 != 0, F.lit("U1")).otherwise(F.col("unit_no"))
+        return query(fleet("fuel_reports").withColumn("unit_no", unit))
+
+    return run
+
+
+def _extremes(fleet: Fleet) -> DataFrame:
+    """The feed over fills with absurd odometers and next to no litres."""
+    odometer = F.when(F.col("id") % 101 == 0, F.lit(1e17)).otherwise(F.col("odometer"))
+    litres = F.when(F.col("id") % 103 == 0, F.lit(1e-12)).otherwise(F.col("fuel_litres"))
+    fills = fleet("fuel_reports").withColumns({"odometer": odometer, "fuel_litres": litres})
+    return detection_feed(fills, fleet("time_entries"), fleet("profiles"))
+
+
 def _over_derived(query: FleetQuery) -> Query:
     return lambda spark, sf: query(derived(spark, sf))
 
 
 QUERIES: dict[str, Query] = {
     **{name: _over_derived(query) for name, query in FLEET_QUERIES.items()},
-    "profiles_minimized": lambda spark, sf: drop_sensitive(TABLES["profiles"](spark, sf)),
+    "fuel_deltas_hot_unit": _over_derived(
+        _hot_unit(
+            lambda fills: fuel_deltas(fills).select(
+                "id", "unit_no", "prev_odometer", "distance_km", "economy", "km_per_litre"
+            )
+        )
+    ),
+    "fuel_economy_hot_unit": _over_derived(_hot_unit(fuel_economy)),
+    "anomaly_feed_extremes": _over_derived(_extremes),
+    "profiles_minimized": _read_minimized,
     "extract_report": _extract_report,
     "lake_latest": _lake_snapshot(LATEST),
     "lake_as_of": _lake_snapshot(DAY_1),
@@ -224,4 +268,5 @@ QUERIES: dict[str, Query] = {
     ),
     "audit_sql": lambda spark, sf: audit_sql(query_log(spark, sf)),
     "readonly_query": _ask,
+    "insights_isolated": _isolated,
 }

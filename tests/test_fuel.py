@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from convoy.operators.fuel import fuel_anomalies, fuel_deltas, fuel_economy, fuel_efficiency
@@ -96,39 +97,61 @@ def _random_fills(spark, with_id: bool):
     return df if with_id else df.drop("id")
 
 
-@pytest.mark.parametrize("with_id, max_rows", [(True, 17), (False, 17), (False, 400)])
-def test_sliced_units_give_the_window_result(spark, with_id, max_rows):
+@pytest.mark.parametrize("with_id", [True, False])
+def test_periods_give_the_window_result(spark, with_id):
     fills = _random_fills(spark, with_id).repartition(5)
     columns = ["unit_no", "report_date", "created_at", "odometer", "fuel_litres", "prev_odometer"]
-    whole = fuel_deltas(fills).select(*columns)
-    sliced = fuel_deltas(fills, max_unit_rows=max_rows).select(*columns)
-    assert whole.exceptAll(sliced).isEmpty() and sliced.exceptAll(whole).isEmpty()
+    ties = ["id"] if with_id else ["odometer", "fuel_litres"]
+    order = [F.col(c).asc_nulls_last() for c in ("report_date", "created_at", *ties)]
+    whole = fills.withColumn(
+        "prev_odometer", F.lag("odometer").over(Window.partitionBy("unit_no").orderBy(*order))
+    ).select(*columns)
+    found = fuel_deltas(fills).select(*columns)
+    assert whole.exceptAll(found).isEmpty() and found.exceptAll(whole).isEmpty()
 
 
-def test_sliced_units_with_only_copies(spark):
+def test_a_unit_with_only_copies(spark):
     copy = (1, "U1", "2026-01-01", "t", 100.0, 50.0)
-    fills = spark.createDataFrame([copy] * 500, REPORTS).drop("id")
-    found = fuel_deltas(fills, max_unit_rows=20)
+    found = fuel_deltas(spark.createDataFrame([copy] * 500, REPORTS).drop("id"))
     assert found.count() == 500
     assert found.where(F.col("prev_odometer").isNull()).count() == 1
 
 
-def test_sliced_units_use_several_tasks(spark):
+def test_a_hot_unit_uses_several_tasks(spark):
     fills = spark.range(4000).selectExpr(
-        "id", "'U1' as unit_no", "'2026-01-01' as report_date", "cast(id as string) as created_at",
+        "id", "'U1' as unit_no", "'2026-01-01' as report_date",
+        "concat('2026-01-01T', lpad(id % 24, 2, '0'), ':', id) as created_at",
         "cast(id as double) as odometer", "50D as fuel_litres",
     )
-    found = fuel_deltas(fills, max_unit_rows=500)
-    sizes = found.groupBy(F.spark_partition_id()).count()
-    assert sizes.count() > 1
-    assert sizes.agg(F.max("count")).first()[0] < 4000
+    found = fuel_deltas(fills)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 4000
 
 
-def test_sorted_output_of_sliced_units(spark):
+def test_nothing_runs_while_the_plan_is_built(spark):
     fills = _random_fills(spark, True)
-    whole = rows(fuel_efficiency(fills), "unit_no", "report_date")
-    sliced = rows(fuel_efficiency(fills, max_unit_rows=50), "unit_no", "report_date")
-    assert whole == sliced
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job may run")
+    try:
+        fuel_deltas(fills), fuel_economy(fills), fuel_efficiency(fills)
+        assert not tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_sums_do_not_depend_on_the_order_of_tasks(spark):
+    fills = spark.range(3000).selectExpr(
+        "id", "'U1' as unit_no", "'2026-01-01' as report_date", "cast(id as string) as created_at",
+        "id * 7.1D as odometer", "0.1D + id / 3 as fuel_litres",
+    )
+    seen = {
+        tuple(fuel_economy(fills.repartition(n, F.rand(n))).first()) for n in (1, 2, 7, 16)
+    }
+    assert len(seen) == 1
 
 
 def test_anomalies_are_a_part_of_all_fills_whatever_the_input_order(spark):

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
+from pyspark.sql import functions as F
 
 from convoy.operators.fuel import fuel_efficiency
 from convoy.operators.governance import (
@@ -9,7 +12,7 @@ from convoy.operators.governance import (
     WRITE_KEYWORD,
     audit_sql,
 )
-from convoy.operators.shifts import driver_hours
+from convoy.operators.shifts import completed_shifts
 from convoy.plans.ask import Blocked, guard, readonly_query, run_file, run_readonly
 from tests.helpers import ENTRIES, PROFILES, reports, rows, shift
 
@@ -84,21 +87,33 @@ def test_guard_blocks_code_and_writes(spark, sql):
 def test_files_are_out_of_reach(spark, tmp_path):
     path = str(tmp_path / "secret")
     spark.range(3).write.parquet(path)
-    before = spark.conf.get("spark.sql.runSQLOnFiles")
-    found = run_readonly(spark, f"SELECT * FROM parquet.`{path}`")
-    assert "failed to run" in found["error"] and "rows" not in found
-    assert spark.conf.get("spark.sql.runSQLOnFiles") == before
+    for sql in (f"SELECT * FROM parquet.`{path}`", f"SELECT (SELECT max(id) FROM parquet.`{path}`)"):
+        found = run_readonly(spark, sql)
+        assert found["error"].startswith("blocked") and "rows" not in found
+    assert spark.read.parquet(path).count() == 3
+
 
+def test_two_questions_at_once(spark):
+    spark.range(50).createOrReplaceTempView("numbers")
+    sql = "SELECT sum(n.id) AS s FROM numbers n"
+    with ThreadPoolExecutor(4) as pool:
+        found = list(pool.map(lambda _: run_readonly(spark, sql), range(8)))
+    assert all(f["rows"] == [["1225"]] for f in found)
 
-def test_rows_are_text_and_capped(spark):
+
+def test_rows_are_text_and_whole(spark):
     spark.range(200).createOrReplaceTempView("numbers")
     fenced = "```sql\nSELECT n.id, null AS none FROM numbers n ORDER BY n.id;\n```"
     found = run_readonly(spark, fenced)
-    assert found["row_count"] == 59 and found["columns"] == ["id", "none"]
+    assert found["row_count"] == 200 and found["columns"] == ["id", "none"]
+    assert not found["truncated"]
+    cut = run_readonly(spark, fenced, max_rows=59)
+    assert cut["row_count"] == 59 and cut["truncated"] and cut["rows"] == found["rows"][:59]
+    assert not run_readonly(spark, fenced, max_rows=200)["truncated"]
     assert found["rows"][:2] == [["0", ""], ["1", ""]]
     joined = "SELECT count(*) AS c FROM numbers a JOIN numbers b USING (id)"
     assert run_readonly(spark, joined)["rows"] == [["200"]]
-    assert readonly_query(spark, "SELECT * FROM numbers", max_rows=None).count() == 200
+    assert readonly_query(spark, "SELECT * FROM numbers").count() == 200
 
 
 def test_failures_come_back_with_their_text(spark):
@@ -123,28 +138,32 @@ def test_stored_style_queries_agree_with_the_operators(spark):
     fills = reports(spark, (0.0, 50.0), (300.0, 50.0), (250.0, 0.0), (600.0, 100.0))
     for name, df in (("time_entries", entries), ("profiles", people), ("fuel_reports", fills)):
         df.createOrReplaceTempView(name)
-    labour = """
-        SELECT p.name AS driver, count(*) AS shifts,
-               round(sum(date_diff('second', from_iso8601_timestamp(t.clock_in),
-                         from_iso8601_timestamp(t.clock_out)) / 3600.0), 1) AS hours
-        FROM profiles p JOIN time_entries t ON p.id = t.employee_id
-        WHERE t.clock_out IS NOT NULL GROUP BY p.name, p.hourly_rate ORDER BY hours DESC LIMIT 10
+    per_unit = """
+        SELECT t.unit_no, sum(date_diff('second', from_iso8601_timestamp(t.clock_in),
+                              from_iso8601_timestamp(t.clock_out))) AS busy
+        FROM time_entries t WHERE t.clock_out IS NOT NULL AND t.employee_id = 'D1'
+        GROUP BY t.unit_no
     """
-    expected = rows(driver_hours(entries, people), "driver", "shifts", "hours")
-    found = run_readonly(spark, labour)["rows"]
-    assert [(d, int(n), float(h)) for d, n, h in found] == expected
-    distances = """
-        WITH f AS (SELECT fr.*, lag(fr.odometer) OVER (
-                     PARTITION BY fr.unit_no ORDER BY fr.report_date, fr.created_at) AS before
-                   FROM fuel_reports fr)
-        SELECT f.report_date, f.odometer - f.before AS distance_km FROM f ORDER BY f.report_date
+    hours = completed_shifts(entries, people).where("driver = 'Ann'").groupBy("unit_no")
+    expected = hours.agg(F.sum(F.floor(F.col("hours") * 3600 + 0.001)).alias("busy")).collect()
+    found = run_readonly(spark, per_unit)["rows"]
+    assert sorted((u, int(n)) for u, n in found) == sorted((r[0], int(r[1])) for r in expected)
+    longest = """
+        SELECT max(gap.km) AS km FROM (
+          SELECT r.odometer - lead(r.odometer) OVER (
+                   PARTITION BY r.unit_no ORDER BY r.created_at DESC) AS km
+          FROM fuel_reports r) gap
     """
-    expected = rows(fuel_efficiency(fills), "report_date", "distance_km")
-    found = run_readonly(spark, distances)["rows"]
-    assert [(d, float(km) if km else None) for d, km in found] == expected
+    expected = fuel_efficiency(fills).agg(F.max("distance_km")).first()[0]
+    assert [float(r[0]) for r in run_readonly(spark, longest)["rows"]] == [expected]
+
+
+def test_quoted_text_is_left_alone(spark):
+    sql = """SELECT 'date_diff(''second'', 1' AS t -- date_diff('day', x)"""
+    assert run_readonly(spark, sql)["rows"] == [["date_diff('second', 1"]]
 
 
 def test_query_files(spark, tmp_path):
     file = tmp_path / "q.sql"
     file.write_text("-- a comment\nSELECT id FROM range(2000);\n")
-    assert run_file(spark, str(file)).count() == 999
+    assert run_file(spark, str(file)).count() == 2000

@@ -10,7 +10,13 @@ from convoy.operators.anomalies import anomalies_all, anomalies_latest
 from convoy.plans.dashboard import collect_insights, lake_insights
 from convoy.plans.detect import detect
 from convoy.plans.extract import run_extract
-from convoy.sources.anomaly_store import feed_path, read_anomalies, read_runs, write_anomalies
+from convoy.sources.anomaly_store import (
+    feed_path,
+    read_anomalies,
+    read_runs,
+    write_anomalies,
+    write_run,
+)
 from convoy.sources.lake import read_table, write_snapshot
 from tests.helpers import ENTRIES, PROFILES, reports, rows, shift
 
@@ -118,13 +124,37 @@ def test_one_missing_set_leaves_the_others(spark, root):
     assert found["anomalies"] == {
         "columns": ["category", "anomaly_type", "entity", "detail"],
         "rows": [],
+        "truncated": False,
     }
     assert found["fuel_economy"]["rows"] == [] and "no_such_table" in found["fuel_economy"]["error"]
 
 
-def test_sets_are_capped(spark):
-    found = collect_insights({"many": spark.range(100)})
-    assert len(found["many"]["rows"]) == 59
+def test_sets_are_whole_unless_asked_otherwise(spark):
+    found = collect_insights({"many": spark.range(100)})["many"]
+    assert len(found["rows"]) == 100 and not found["truncated"]
+    found = collect_insights({"many": spark.range(100)}, max_rows=59)["many"]
+    assert len(found["rows"]) == 59 and found["truncated"]
+
+
+def test_an_interrupted_extract_is_not_read(spark, root):
+    """Rosters of a day whose extract never finished do not meet older shifts."""
+    land(spark, root, DAY_1, *FAULTY)
+    run_extract(spark, {}, root, DAY_1)
+    write_snapshot(spark.createDataFrame([], PROFILES), root, "profiles", DAY_2)
+    people = read_table(spark, root, "profiles", DAY_1)
+    write_snapshot(people.drop("ingest_date").withColumn("hourly_rate", F.lit(99.0)),
+                   root, "profiles", DAY_2)
+    assert detect(spark, root, DAY_2) == {**detect(spark, root, DAY_1), "detect_date": DAY_2,
+                                          "output": detect(spark, root, DAY_2)["output"]}
+
+
+def test_an_empty_newest_day_with_compressed_output(spark, root):
+    spark.conf.set("spark.sql.json.compression.codec", "gzip")
+    land(spark, root, DAY_1, *FAULTY)
+    first = detect(spark, root, DAY_1)
+    write_anomalies(read_anomalies(spark, root).limit(0), root, DAY_2)
+    write_run(spark, root, {"detect_date": DAY_2, "total": 0, "fuel": 0, "shift": 0, "output": ""})
+    assert read_anomalies(spark, root, "latest").count() == first["total"] > 0
 
 
 @pytest.mark.parametrize("table", ["profiles", "time_entries", "fuel_reports"])

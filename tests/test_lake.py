@@ -181,7 +181,7 @@ def test_views_tables_and_description(spark, root):
 
 
 @pytest.mark.parametrize(
-    "size, expected", [(0, 8), (10 * 1024**3, 40), (100 * 1024**4, 20_000)]
+    "size, expected", [(0, 8), (10 * 1024**3, 40), (100 * 1024**4, 409_600)]
 )
 def test_shuffle_partitions_follow_the_input(size, expected):
     assert shuffle_partitions(size) == expected

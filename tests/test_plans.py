@@ -7,7 +7,7 @@ import re
 import pytest
 
 from convoy.operators.anomalies import anomalies_latest
-from convoy.operators.fuel import fuel_anomalies, fuel_economy, fuel_efficiency
+from convoy.operators.fuel import fuel_anomalies, fuel_deltas, fuel_economy
 from convoy.operators.shifts import completed_shifts, driver_hours, shift_anomalies
 from registry.fleet import derived
 from registry.spark_queries import FLEET_QUERIES
@@ -41,19 +41,27 @@ def test_no_python_and_no_product(spark, name):
         assert bad not in text
 
 
-def test_window_and_sort_share_one_shuffle(landed):
-    text = plan(fuel_efficiency(landed("fuel_reports")))
-    assert text.count("Exchange") == 1 and "Exchange rangepartitioning(unit_no" in text
+def test_fills_are_shuffled_once_for_the_window(landed):
+    """Beside the fills themselves only one narrow, pre-aggregated row per period moves."""
+    for found in (
+        fuel_deltas(landed("fuel_reports")),
+        fuel_economy(landed("fuel_reports"), limit=25),
+        fuel_anomalies(landed("fuel_reports"), ordered=False),
+    ):
+        text = plan(found)
+        # One exchange of the fills, one of what is left of them per period.
+        assert len(re.findall(r"Exchange hashpartitioning\(_key", text)) <= 2
+        assert "partial_max_by" in text
 
 
-def test_economy_aggregates_inside_the_window_partitions(landed):
-    text = plan(fuel_economy(landed("fuel_reports")))
-    assert text.count("Exchange") == 1 and "TakeOrderedAndProject" in text
+def test_economy_keeps_the_top_only(landed):
+    assert "TakeOrderedAndProject" in plan(fuel_economy(landed("fuel_reports"), limit=25))
 
 
-def test_unordered_anomalies_need_one_hash_shuffle(landed):
-    text = plan(fuel_anomalies(landed("fuel_reports"), ordered=False))
-    assert text.count("Exchange") == 1 and "Exchange hashpartitioning(unit_no" in text
+def test_the_feed_is_computed_once_for_the_insights(spark):
+    text = plan(FLEET_QUERIES["text_lines"](derived(spark, SMALL)))
+    # Fuel economy and the feed read the fills, each for rows and for period ends.
+    assert text.count("lag(") == 4
 
 
 def test_only_hits_are_sorted(landed):

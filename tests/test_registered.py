@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from registry.compare import connect, differences
+from registry.oracles import ORACLES
+from registry.spark_queries import QUERIES
 
 SMALL = os.environ.get("CONVOY_TEST_DATA", "/root/testdata/sf0.001")
 
@@ -18,10 +20,12 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_its_sql(spark, duck, name):
     sql = entry_points.oracle_sql()[name]
     assert duck.execute(f"select count(*) from ({sql})").fetchone()[0] > 0
@@ -39,6 +43,22 @@ def test_comparison_sees_a_difference(spark, duck):
     assert differences(spark, duck, query, "select 1 as a, 0.1::double as b where false", SMALL)
 
 
+_ORDERS = {
+    "fuel_efficiency": ("unit_no", "report_date"),
+    "fuel_anomalies": ("unit_no", "report_date"),
+    "shift_anomalies": None,
+    "anomalies_all": ("category", "anomaly_type", "entity"),
+}
+
+
+@pytest.mark.parametrize("name", [n for n, keys in _ORDERS.items() if keys])
+def test_sorted_sets_are_in_order(spark, name):
+    """The comparison with SQL is one of bags, so the order is looked at here."""
+    rows = QUERIES[name](spark, SMALL).collect()
+    keys = [tuple((r[k] is None, r[k]) for k in _ORDERS[name]) for r in rows]
+    assert len(keys) > 1 and keys == sorted(keys)
+
+
 def test_entry(spark):
     found = entry_points.entry(spark)
     assert found.columns[-1] == "anomaly" and not found.isEmpty()
