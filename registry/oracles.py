@@ -209,11 +209,15 @@ def _hot_ctes() -> dict[str, str]:
 
 
 def _extreme_ctes() -> dict[str, str]:
-    odometer = "case when id % 101 = 0 then 1e17::double else odometer end as odometer"
-    litres = "case when id % 103 = 0 then 1e-12::double else fuel_litres end as fuel_litres"
+    unit = "case when id % 101 = 0 then 'FAR' else unit_no end as unit_no"
+    odometer = "case when id % 101 = 0 then id % 7 * 1e17::double else odometer end as odometer"
+    litres = (
+        "case when id % 101 = 0 then 100.0::double when id % 103 = 0 then pow(2, -30) "
+        "else fuel_litres end as fuel_litres"
+    )
     return {
         **_day_ctes(TODAY),
-        "extreme_fills": f"select * replace ({odometer}, {litres}) from fuel_reports",
+        "extreme_fills": f"select * replace ({unit}, {odometer}, {litres}) from fuel_reports",
         "extreme_deltas": _deltas("extreme_fills"),
         "extreme_hits": _fuel_hits("extreme_deltas"),
         "extreme_feed": _records("extreme_hits", "shift_hits"),

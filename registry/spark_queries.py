@@ -228,10 +228,19 @@ def _hot_unit(query: Callable[[DataFrame], DataFrame]) -> FleetQuery:
 
 
 def _extremes(fleet: Fleet) -> DataFrame:
-    """The feed over fills with absurd odometers and next to no litres."""
-    odometer = F.when(F.col("id") % 101 == 0, F.lit(1e17)).otherwise(F.col("odometer"))
-    litres = F.when(F.col("id") % 103 == 0, F.lit(1e-12)).otherwise(F.col("fuel_litres"))
-    fills = fleet("fuel_reports").withColumns({"odometer": odometer, "fuel_litres": litres})
+    """The feed over fills with absurd odometers, in a unit of their own, and next to no litres.
+
+    All figures are doubles without a rounding error, so every engine writes them alike.
+    """
+    far, dry = F.col("id") % 101 == 0, F.col("id") % 103 == 0
+    columns = {
+        "unit_no": F.when(far, F.lit("FAR")).otherwise(F.col("unit_no")),
+        "odometer": F.when(far, F.col("id") % 7 * F.lit(1e17)).otherwise(F.col("odometer")),
+        "fuel_litres": F.when(far, F.lit(100.0))
+        .when(dry, F.lit(2.0**-30))
+        .otherwise(F.col("fuel_litres")),
+    }
+    fills = fleet("fuel_reports").withColumns(columns)
     return detection_feed(fills, fleet("time_entries"), fleet("profiles"))
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from convoy.functions.numeric import (
+    exact_sum,
     fixed_text,
     guarded_ratio,
     nan_to_null,
@@ -38,6 +39,30 @@ def test_round_ieee(spark, value, digits, expected):
     assert one(spark, round_ieee(F.lit(value).cast("double"), digits)) == expected
 
 
+@pytest.mark.parametrize("value", [1e18, -1e17, 4.6e15, 1e303, math.inf, -math.inf, 2.0**52])
+def test_large_values_have_no_fraction_to_round(spark, value):
+    assert one(spark, round_ieee(F.lit(value), 2)) == value
+
+
+def test_any_number_has_a_text(spark):
+    assert one(spark, fixed_text(F.lit(1e17), 1)) == "100000000000000000.0"
+    assert one(spark, fixed_text(F.lit(1e300), 2)) == "1.0E300"
+    assert one(spark, fixed_text(F.lit(math.inf), 2)) == "Infinity"
+    assert one(spark, fixed_text(F.lit(None).cast("double"), 2)) == "None"
+    assert one(spark, trimmed_text(F.lit(1e300))) == "1.0E300"
+
+
+def test_sums_are_exact_or_else_doubles(spark):
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(
+            exact_sum(F.col("v"))
+        ).first()[0]
+
+    assert total(0.1, 0.2, 0.3) == 0.6
+    assert total(1e300, 1.0) == 1e300
+    assert total(None, 2.5) == 2.5 and total(None) is None
+
+
 @pytest.mark.parametrize(
     "start, end, expected",
     [
