@@ -7,9 +7,10 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from convoy import schemas
-from convoy.sources.lake import write_report, write_snapshot
+from convoy.sources.lake import file_schema, write_report, write_snapshot
 
 
 def run_extract(
@@ -31,5 +32,7 @@ def run_extract(
     found = [(table, day, count) for table, count in rows.items()]
     found.append(("total", day, sum(rows.values())))
     report = spark.createDataFrame(found, schemas.EXTRACT_REPORT)
-    write_report(report, root, day)
+    kinds = [(table, file_schema(df, table)) for table, df in sources.items()]
+    stored = spark.createDataFrame(kinds, "table string, file_schema string")
+    write_report(report.join(F.broadcast(stored), "table", "left"), root, day)
     return report

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -35,6 +36,16 @@ def write_report(report: DataFrame, root: str, day: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(target)
 
 
+def known_schemas(spark: SparkSession, root: str, table: str) -> dict[str, str]:
+    """The file schema of each day that an extract has written, from the stored reports."""
+    if not partition_days(spark, report_path(root), schemas.INGEST_KEY):
+        return {}
+    kept = f"table string, file_schema string, {schemas.INGEST_KEY} string"
+    rows = spark.read.schema(kept).json(report_path(root))
+    rows = rows.filter((F.col("table") == table) & F.col("file_schema").isNotNull())
+    return {r[schemas.INGEST_KEY]: r["file_schema"] for r in rows.collect()}
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Declared columns in their declared types; missing ones as NULL, others kept."""
     present = set(df.columns)
@@ -45,6 +56,11 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return nan_to_null(df.withColumns(declared) if declared else df)
 
 
+def file_schema(df: DataFrame, table: str) -> str:
+    """The schema, as JSON, of the files that ``write_snapshot`` makes of ``df``."""
+    return _cast_declared(drop_sensitive(df), table).schema.json()
+
+
 def _cast_declared(df: DataFrame, table: str) -> DataFrame:
     """Declared columns that the source has, in their declared types."""
     kinds = {f.name: f.dataType for f in schemas.TABLES[table].fields if f.name in df.columns}
@@ -123,7 +139,7 @@ def read_table(
 ) -> DataFrame:
     """One table of the lake at one snapshot, or over all of them.
 
-    Days outside the choice are not even listed. Days whose files differ in
+    Days outside the choice are not even listed. Files that differ in
     physical types are read apart and cast to the declared types, since one
     parquet scan cannot read a column both as integers and as doubles.
     """
@@ -138,24 +154,44 @@ def read_table(
 
 
 def _by_schema(spark: SparkSession, root: str, table: str, days: list[str]) -> list[DataFrame]:
-    """One scan per distinct file schema; a table has few over its life."""
+    """One scan per distinct file schema; a table has few over its life.
+
+    Days that an extract has reported are grouped without opening a file. Of other days
+    every footer is read, since their files may differ from each other.
+    """
+    known = known_schemas(spark, root, table)
+    groups: dict[str, list[str]] = {}
+    for day in days:
+        if day in known:
+            groups.setdefault(known[day], []).append(day_path(root, table, day))
+    foreign = [
+        file for day in days if day not in known for file in _files(spark, root, table, day)
+    ]
     with ThreadPoolExecutor(max_workers=8) as pool:
-        scans = list(pool.map(lambda d: spark.read.parquet(day_path(root, table, d)), days))
-    groups: dict[str, list[int]] = {}
-    for i, scan in enumerate(scans):
-        groups.setdefault(scan.schema.json(), []).append(i)
+        found = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), foreign))
+    for file, schema in zip(foreign, found, strict=True):
+        groups.setdefault(schema, []).append(file)
+    return [
+        _several(spark, root, table, T.StructType.fromJson(json.loads(schema)), paths)
+        for schema, paths in groups.items()
+    ]
+
+
+def _files(spark: SparkSession, root: str, table: str, day: str) -> list[str]:
+    """The data files of one day."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(day_path(root, table, day))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(folder)]
     return [
-        scans[found[0]].withColumn(schemas.INGEST_KEY, F.lit(days[found[0]]))
-        if len(found) == 1
-        else _several(spark, root, table, scans[found[0]].schema, [days[i] for i in found])
-        for found in groups.values()
+        f"{day_path(root, table, day)}/{n}" for n in sorted(names) if not n.startswith(("_", "."))
     ]
 
 
 def _several(
-    spark: SparkSession, root: str, table: str, schema: T.StructType, days: list[str]
+    spark: SparkSession, root: str, table: str, schema: T.StructType, paths: list[str]
 ) -> DataFrame:
     # The day is declared as text; Spark would otherwise infer a date.
-    full = T.StructType([*schema.fields, T.StructField(schemas.INGEST_KEY, T.StringType(), True)])
+    own = [f for f in schema.fields if f.name != schemas.INGEST_KEY]
+    full = T.StructType([*own, T.StructField(schemas.INGEST_KEY, T.StringType(), True)])
     reader = spark.read.schema(full).option("basePath", table_path(root, table))
-    return reader.parquet(*[day_path(root, table, d) for d in days])
+    return reader.parquet(*paths)

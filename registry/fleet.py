@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 DAY_1 = "2026-07-01"
 DAY_2 = "2026-07-02"
+DAY_3 = "2026-07-03"
 TODAY = DAY_2
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from registry.fleet import DAY_1, DAY_2, TODAY
+from registry.fleet import DAY_1, DAY_2, DAY_3, TODAY
 from registry.spark_queries import READONLY_SQL
 
 # ---------------------------------------------------------------- fleet tables
@@ -331,7 +331,8 @@ def _evolved() -> str:
     new = columns.format(entry="created_at")
     return _both_days(
         f"select {old}, '{DAY_1}' as ingest_date from fuel_reports_1 "
-        f"union all select {new}, '{DAY_2}' from fuel_reports_2"
+        f"union all select {new}, '{DAY_2}' from fuel_reports_2 "
+        f"union all select {new}, '{DAY_3}' from fuel_reports_2"
     )
 
 

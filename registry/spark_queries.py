@@ -34,7 +34,7 @@ from convoy.sources.anomaly_store import read_anomalies, read_runs
 from convoy.sources.lake import ALL, LATEST, day_path, read_table
 from convoy.sources.catalog import register_views
 from convoy.sources.operational import read_files
-from registry.fleet import DAY_1, DAY_2, TABLES, TODAY, Fleet, derived, query_log, snapshot
+from registry.fleet import DAY_1, DAY_2, DAY_3, TABLES, TODAY, Fleet, derived, query_log, snapshot
 
 # Over operational tables, wherever they come from.
 FleetQuery = Callable[[Fleet], DataFrame]
@@ -181,13 +181,19 @@ def _lake_snapshot(snapshot: str) -> Query:
 
 
 def _evolved(spark: SparkSession, sf: str) -> DataFrame:
-    """One day with whole-number odometers and no entry time, one day as declared."""
+    """One day with whole-number odometers and no entry time, one day as declared, and
+    one with files of both kinds."""
     root = scratch_path(spark, "lake")
     old = TABLES["fuel_reports"](spark, sf, DAY_1).drop("created_at")
     old.withColumn("odometer", F.col("odometer").cast("long")).write.parquet(
         day_path(root, "fuel_reports", DAY_1)
     )
-    TABLES["fuel_reports"](spark, sf).write.parquet(day_path(root, "fuel_reports", DAY_2))
+    fills = TABLES["fuel_reports"](spark, sf)
+    fills.write.parquet(day_path(root, "fuel_reports", DAY_2))
+    whole = fills.withColumn("odometer", F.col("odometer").cast("long"))
+    for i, part in enumerate((fills, whole)):
+        part = part.filter(F.col("id") % 2 == i)
+        part.write.mode("append").parquet(day_path(root, "fuel_reports", DAY_3))
     return read_table(spark, root, "fuel_reports", ALL)
 
 
