@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from convoy.llm.graph import components
@@ -25,6 +25,7 @@ _EMPTY = np.iinfo(_U).max
 BANDS, ROWS = 24, 6
 # Of 128 one-bit coordinates a pair at 0.85 differs in 9.6 +- 3; one in 32 is never that similar.
 BITS, MAX_DIFFERENT = 128, 32
+PIVOT_ROUNDS = 2
 
 
 def fast_sketch(elements: np.ndarray, owner: np.ndarray, n_sets: int, size: int) -> np.ndarray:
@@ -124,10 +125,10 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): classes of documents joined by similar sets.
 
-    Documents with equal sets are one from the start. In a band's bucket every
-    member is compared with two pivots, which is linear; members that are then
-    still in different classes meet each other, unless their sizes or their sketches
-    rule out the similarity or both are in the bucket's largest class.
+    Documents with equal sets are one from the start. In each round every document is
+    compared with the nearest pivot, by sketch, of its buckets that is in another class:
+    as many pairs as documents. Documents in buckets that still hold several classes
+    then meet in an exact prefix join.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.filter(F.col("doc_id").isNotNull())
@@ -148,50 +149,28 @@ def near_duplicates(
         .select("rep", "n_shingles", "s1", "s2", F.explode("bands").alias("band")),
         "bands",
     )
-    draw = F.struct(F.xxhash64("rep", "band").alias("h"), "rep")
-    buckets = landed(
-        banded.groupBy("band")
-        .agg(
-            F.count(F.lit(1)).alias("members"), F.min("rep").alias("p1"), F.min(draw).alias("draw")
-        )
-        .filter("members > 1")
-        .select("band", F.col("p1"), F.col("draw.rep").alias("p2"), "members"),
-        "buckets",
-    )
-    shared = banded.join(buckets, "band")
-    first = shared.select(F.explode(F.array("p1", "p2")).alias("p"), "rep").filter("p <> rep")
-    tried = landed(_pairs(first, "p", "rep"), "pairs")
-    links = landed(confirmed(tried, texts, percent, shingle), "links")
-    classes = landed(components(links), "classes")
-
-    # Members that the pivots left in different classes of a bucket.
-    larger = shared.filter("members > 2")
-    placed = larger.join(classes, larger["rep"] == classes["node"], "left").select(
-        "band", "rep", "n_shingles", "s1", "s2", "p1", "p2",
-        F.coalesce("component", "rep").alias("component"),
-    )
-    per_class = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("members"))
-    mixed = per_class.groupBy("band").agg(
-        F.count(F.lit(1)).alias("classes"), F.max_by("component", "members").alias("main")
-    )
-    mixed = mixed.filter("classes > 1").select("band", "main")
-    open_members = landed(placed.join(mixed, "band"), "members")
-    x, y = open_members.filter("component <> main").alias("x"), open_members.alias("y")
-    near = (
-        (F.col("x.band") == F.col("y.band"))
-        & (F.col("x.component") != F.col("y.component"))
-        & ~F.col("y.rep").isin(F.col("x.p1"), F.col("x.p2"))
-        & ~F.col("x.rep").isin(F.col("x.p1"), F.col("x.p2"))
-        & (100 * F.col("x.n_shingles") >= percent * F.col("y.n_shingles"))
-        & (100 * F.col("y.n_shingles") >= percent * F.col("x.n_shingles"))
-        & (
-            F.bit_count(F.col("x.s1").bitwiseXOR(F.col("y.s1")))
-            + F.bit_count(F.col("x.s2").bitwiseXOR(F.col("y.s2")))
-            <= MAX_DIFFERENT
-        )
+    pivot = F.min(F.struct("rep", "n_shingles", "s1", "s2")).alias("pivot")
+    buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"), pivot)
+    shared = landed(banded.join(buckets.filter("members > 1"), "band"), "buckets")
+    tried, links, classes = None, None, None
+    for _ in range(PIVOT_ROUNDS):
+        nearest = _nearest_pivots(_placed(shared, classes), percent)
+        if tried is not None:
+            nearest = nearest.join(tried, ["a", "b"], "left_anti")
+        nearest = landed(nearest, "pairs")
+        found = confirmed(nearest, texts, percent, shingle)
+        tried = nearest if tried is None else tried.unionByName(nearest)
+        links = landed(found if links is None else links.unionByName(found), "links")
+        classes = landed(components(links), "classes")
+
+    placed = _placed(shared.filter("members > 2"), classes)
+    spread = placed.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
     )
-    met = x.join(y, near).select(F.col("x.rep").alias("p"), F.col("y.rep").alias("rep"))
-    rest = landed(_pairs(met, "p", "rep").join(tried, ["a", "b"], "left_anti"), "pairs")
+    mixed = placed.join(spread.filter("low < high").select("band"), "band", "left_semi")
+    open_ = landed(mixed.select("rep", "component").distinct(), "members")
+    rest = _similar_pairs(open_, texts, percent, shingle).join(tried, ["a", "b"], "left_anti")
+    rest = landed(rest, "pairs")
     if not rest.isEmpty():
         links = landed(links.unionByName(confirmed(rest, texts, percent, shingle)), "links")
         classes = landed(components(links), "classes")
@@ -207,5 +186,82 @@ def near_duplicates(
     )
 
 
+def _placed(shared: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """Bucket members with the class that the links so far put them in."""
+    if classes is None:
+        return shared.withColumn("component", F.col("rep"))
+    known = classes.select(F.col("node").alias("rep"), "component")
+    both = shared.join(known, "rep", "left")
+    return both.withColumn("component", F.coalesce("component", "rep"))
+
+
+def _nearest_pivots(placed: DataFrame, percent: int) -> DataFrame:
+    """One pair for each member: the pivot of another class whose sketch is nearest to its own."""
+    differ = F.bit_count(F.col("s1").bitwiseXOR(F.col("pivot.s1"))) + F.bit_count(
+        F.col("s2").bitwiseXOR(F.col("pivot.s2"))
+    )
+    n, m = F.col("n_shingles"), F.col("pivot.n_shingles")
+    possible = (100 * n >= percent * m) & (100 * m >= percent * n) & (differ <= MAX_DIFFERENT)
+    # The pivot has the smallest id, so it is in its own class only if that class reaches it.
+    elsewhere = (F.col("pivot.rep") != F.col("rep")) & (F.col("component") != F.col("pivot.rep"))
+    best = placed.filter(elsewhere & possible).groupBy("rep")
+    best = best.agg(F.min_by(F.col("pivot.rep"), F.struct(differ, F.col("pivot.rep"))).alias("p"))
+    return _pairs(best, "p", "rep")
+
+
+def _shingles(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 18):
+                sets = shingle_sets(*flat(part.column("text")), shingle)
+                counts = np.array([len(s) for s in sets])
+                row = np.repeat(np.arange(len(sets)), counts)
+                tokens = np.concatenate(sets).view(np.int64)
+                own = [pa.array(part.column(c).to_numpy()[row]) for c in ("rep", "component")]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array(counts[row]), pa.array(tokens)],
+                    names=["rep", "component", "n", "token"],
+                )
+
+    return run
+
+
+def _similar_pairs(open_: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Candidate pairs of different classes among ``open_``, by an exact prefix join.
+
+    Shingles are ordered from rare to frequent among these documents. Similar sets share
+    one of their first n - ceil(percent * n) + 1 shingles, at places that leave room for
+    the overlap that the similarity needs; no pair is lost, and texts that differ from the others in
+    more places than that meet nothing.
+    """
+    own = open_.join(texts, open_["rep"] == texts["doc_id"]).select("rep", "component", "text")
+    rows = landed(
+        own.mapInArrow(_shingles(shingle), "rep long, component long, n long, token long")
+        .dropDuplicates(["rep", "token"]),
+        "shingles",
+    )
+    often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    ranked = rows.join(often, "token", "left")
+    order = Window.partitionBy("rep").orderBy(F.coalesce("often", F.lit(1)), "token")
+    ranked = ranked.withColumn("at", F.row_number().over(order) - 1)
+    prefix = ranked.filter(
+        (F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100)) & (F.col("often") > 1)
+    )
+    prefix = landed(prefix.select("rep", "component", "n", "token", "at"), "prefixes")
+    x, y = prefix.alias("x"), prefix.alias("y")
+    size = F.col("x.n") + F.col("y.n")
+    room = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    met = x.join(
+        y,
+        (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.rep") < F.col("y.rep"))
+        & (F.col("x.component") != F.col("y.component"))
+        & (100 * F.col("x.n") >= percent * F.col("y.n"))
+        & (100 * F.col("y.n") >= percent * F.col("x.n"))
+        & (room * (100 + percent) >= percent * size),
+    )
+    return met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+
+
 def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
