@@ -21,15 +21,17 @@ document. Further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from zstandard import ZstdCompressor, ZstdDecompressor
 
 from convoy.llm.hashing import BLOCK, mix, prefix_hashes, powers, spans_hash
-from convoy.llm.tables import flat, landed, slices
+from convoy.llm.tables import SLICE_BYTES, flat, landed, released, slices
 
 _U = np.uint64
 _POSITION = _U((1 << 21) - 1)
@@ -128,32 +130,91 @@ def _paired(row: np.ndarray, value: np.ndarray) -> np.ndarray:
     return mix(value.view(_U) + _U(0x9E3779B97F4A7C15) * (row.astype(_U) + _U(1)))
 
 
-def _occurrences(length: int, gram: int):
-    """(h, segment, anchor, place) of every repeated anchor; place orders (doc_id, position)."""
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the shuffle, which is most of what this job moves."""
+    tool = ZstdCompressor(level=1)
+    for batch in batches:
+        for part in slices(batch, "text"):
+            packed = [tool.compress(t.encode()) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(packed, pa.binary()), part.column("others")],
+                names=["doc_id", "packed", "others"],
+            )
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of rows with their texts unpacked."""
+    tool = ZstdDecompressor()
+    for batch in batches:
+        for part in slices(batch, "packed", SLICE_BYTES // 4):
+            raw = [tool.decompress(z) for z in part.column("packed").to_pylist()]
+            yield part.append_column("text", pa.array(raw, pa.binary()))
+
+
+def _places(length: int, gram: int):
+    """(h, anchor, e1, e2, n, doc_id, start): where segments with repeated anchors stand.
+
+    e1 and e2 are a digest of the segment's bytes; the bytes stay where they are.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                data, offsets, h, first, count, anchor, owner = _repeated(part, length, gram)
-                ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-                sizes = count + length - 1
-                ends = np.concatenate(([0], np.cumsum(sizes)))
-                index = np.arange(ends[-1]) + np.repeat(first - ends[:-1], sizes)
-                text = pa.Array.from_buffers(
-                    pa.binary(),
-                    len(h),
-                    [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[index])],
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(h),
-                        text,
-                        pa.array(anchor.astype(np.int32)),
-                        pa.array(ids[owner]),
-                        pa.array(first - offsets[owner]),
-                    ],
-                    names=["h", "segment", "anchor", "doc_id", "start"],
-                )
+        for part in _texts(batches):
+            data, offsets, h, first, count, anchor, owner = _repeated(part, length, gram)
+            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+            raw = data.tobytes()
+            stop = first + count + length - 1
+            digest = b"".join(
+                [
+                    blake2b(raw[a:b], digest_size=16).digest()
+                    for a, b in zip(first.tolist(), stop.tolist(), strict=True)
+                ]
+            )
+            e = np.frombuffer(digest, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(h),
+                    pa.array(anchor.astype(np.int32)),
+                    pa.array(e[:, 0]),
+                    pa.array(e[:, 1]),
+                    pa.array(count.astype(np.int32)),
+                    pa.array(ids[owner]),
+                    pa.array(first - offsets[owner]),
+                ],
+                names=["h", "anchor", "e1", "e2", "n", "doc_id", "start"],
+            )
+
+    return run
+
+
+def _bytes(length: int, gram: int):
+    """(h, segment, anchor, doc_id, start, many) of the segments listed for each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _texts(batches):
+            data, offsets, h, first, count, anchor, owner = _repeated(part, length, gram)
+            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+            listed = part.column("several")
+            sizes = pc.list_value_length(listed).to_numpy(zero_copy_only=False)
+            several = listed.flatten()
+            starts, many = several.field(0).to_numpy(), several.field(1).to_numpy(False)
+            rows = np.repeat(np.arange(part.num_rows), sizes)
+            wanted = {(r, s): m for r, s, m in zip(*(x.tolist() for x in (rows, starts, many)), strict=True)}
+            raw = data.tobytes()
+            at = (first - offsets[owner]).tolist()
+            keep = [k for k, key in enumerate(zip(owner.tolist(), at, strict=True)) if key in wanted]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(h[keep]),
+                    pa.array(
+                        [raw[first[k] : first[k] + count[k] + length - 1] for k in keep], pa.binary()
+                    ),
+                    pa.array(anchor[keep].astype(np.int32)),
+                    pa.array(ids[owner[keep]]),
+                    pa.array([at[k] for k in keep], pa.int64()),
+                    pa.array([wanted[int(owner[k]), at[k]] for k in keep], pa.bool_()),
+                ],
+                names=["h", "segment", "anchor", "doc_id", "start", "many"],
+            )
 
     return run
 
@@ -372,120 +433,154 @@ def _removal(length: int, gram: int, as_text: bool):
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                data, offsets, _, first, count, _, owner = _repeated(part, length, gram)
-                gone = np.zeros(len(data) + 1, np.int32)
-                np.add.at(gone, first, 1)
-                np.add.at(gone, first + count, -1)
-                listed = part.column("kept")
-                sizes = pc.fill_null(pc.list_value_length(listed), 0).to_numpy(zero_copy_only=False)
-                pairs = listed.flatten()
-                base = np.repeat(offsets[:-1], sizes)
-                start, n = (pairs.field(k).to_numpy() for k in (0, 1))
-                # Other texts under the same doc_id may be shorter.
-                fits = start + n + length - 1 <= np.repeat(np.diff(offsets), sizes)
-                np.add.at(gone, (base + start)[fits], -1)
-                np.add.at(gone, (base + start + n)[fits], 1)
-                windows = np.cumsum(gone[:-1]) > 0
-                edge = np.diff(windows.astype(np.int8), prepend=0, append=0)
-                begin = np.flatnonzero(edge == 1)
-                stop = np.flatnonzero(edge == -1) + length - 1
-                # Runs of windows that overlap or touch are one removed span.
-                row = np.searchsorted(offsets, begin, side="right") - 1
-                new = np.ones(len(begin), bool)
-                new[1:] = (begin[1:] > stop[:-1]) | (row[1:] != row[:-1])
-                at = np.flatnonzero(new)
-                begin, row = begin[at], row[at]
-                stop = stop[np.append(at[1:], len(new)) - 1] if len(at) else stop
-                spans: list[list[dict]] = [[] for _ in range(part.num_rows)]
-                kept = []
-                raw = data.tobytes()
-                ends = offsets[:-1].copy()
-                pieces: list[list[bytes]] = [[] for _ in range(part.num_rows)]
-                for r, a, b in zip(row.tolist(), begin.tolist(), stop.tolist(), strict=True):
-                    base = int(offsets[r])
-                    spans[r].append({"start": a - base, "stop": b - base})
-                    pieces[r].append(raw[ends[r] : a])
-                    ends[r] = b
-                for r in range(part.num_rows):
-                    left = b"".join([*pieces[r], raw[ends[r] : offsets[r + 1]]])
-                    kept.append(left.decode("utf-8", "ignore") if as_text else left)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array(np.diff(offsets)),
-                        pa.array(spans, span),
-                        pa.array(kept, kind),
-                    ],
-                    names=["doc_id", "n_bytes", "spans", "kept"],
-                )
+        for part in _texts(batches):
+            data, offsets, _, first, count, _, owner = _repeated(part, length, gram)
+            gone = np.zeros(len(data) + 1, np.int32)
+            np.add.at(gone, first, 1)
+            np.add.at(gone, first + count, -1)
+            listed = part.column("kept")
+            sizes = pc.fill_null(pc.list_value_length(listed), 0).to_numpy(zero_copy_only=False)
+            pairs = listed.flatten()
+            base = np.repeat(offsets[:-1], sizes)
+            start, n = (pairs.field(k).to_numpy() for k in (0, 1))
+            # Other texts under the same doc_id may be shorter.
+            fits = start + n + length - 1 <= np.repeat(np.diff(offsets), sizes)
+            np.add.at(gone, (base + start)[fits], -1)
+            np.add.at(gone, (base + start + n)[fits], 1)
+            windows = np.cumsum(gone[:-1]) > 0
+            edge = np.diff(windows.astype(np.int8), prepend=0, append=0)
+            begin = np.flatnonzero(edge == 1)
+            stop = np.flatnonzero(edge == -1) + length - 1
+            # Runs of windows that overlap or touch are one removed span.
+            row = np.searchsorted(offsets, begin, side="right") - 1
+            new = np.ones(len(begin), bool)
+            new[1:] = (begin[1:] > stop[:-1]) | (row[1:] != row[:-1])
+            at = np.flatnonzero(new)
+            begin, row = begin[at], row[at]
+            stop = stop[np.append(at[1:], len(new)) - 1] if len(at) else stop
+            spans: list[list[dict]] = [[] for _ in range(part.num_rows)]
+            kept = []
+            raw = data.tobytes()
+            ends = offsets[:-1].copy()
+            pieces: list[list[bytes]] = [[] for _ in range(part.num_rows)]
+            for r, a, b in zip(row.tolist(), begin.tolist(), stop.tolist(), strict=True):
+                base = int(offsets[r])
+                spans[r].append({"start": a - base, "stop": b - base})
+                pieces[r].append(raw[ends[r] : a])
+                ends[r] = b
+            for r in range(part.num_rows):
+                left = b"".join([*pieces[r], raw[ends[r] : offsets[r + 1]]])
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    pa.array(np.diff(offsets)),
+                    pa.array(spans, span),
+                    pa.array(kept, kind),
+                    part.column("others"),
+                ],
+                names=["doc_id", "n_bytes", "spans", "kept", "others"],
+            )
 
     return run
 
 
 def without_repeats(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, as_text: bool = False
+    docs: DataFrame,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    as_text: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, n_bytes, spans, kept): each text without bytes that stand earlier.
+    """(doc_id, n_bytes, spans, kept, others): each text without bytes that stand earlier.
 
     A byte goes if a string of ``length`` bytes around it also starts at a smaller
     doc_id, or earlier in the same document. ``spans`` are the maximal removed runs in
     the text's UTF-8 bytes. ``kept`` holds the bytes left or, with ``as_text``, their
-    text, without characters of which only a part is left.
+    text, without characters of which only a part is left. ``others`` holds the columns
+    to ``carry`` along.
     """
+    nothing = F.lit(None).cast("struct<none:int>")
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        (F.struct(*carry) if carry else nothing).alias("others"),
     ).filter(F.col("doc_id").isNotNull())
-    anchors = landed(
-        texts.mapInArrow(_anchors(length, gram), "h long, doc_id long, n int"), "anchors"
-    )
-    copies = F.count(F.lit(1)).alias("copies")
-    common = anchors.groupBy("h").agg(F.sum("n").alias("n"), copies).filter("n > 1").select("h")
-    listed = anchors.select("h", "doc_id").join(common, "h")
-    listed = listed.groupBy("doc_id").agg(F.collect_set("h").alias("hashes"))
-    marked = texts.join(listed, "doc_id", "left")
-
-    found = marked.filter(F.col("hashes").isNotNull()).mapInArrow(
-        _occurrences(length, gram), "h long, segment binary, anchor int, doc_id long, start long"
-    )
-    # One number per place, so that the first is a plain minimum.
-    wide = F.lit(1 << 40).cast("decimal(13,0)")
-    place = F.col("doc_id").cast("decimal(19,0)") * wide + F.col("start")
-    single = found.groupBy("h", "segment", "anchor").agg(F.min(place).alias("place"))
-    start = F.pmod("place", wide)
-    single = landed(
-        single.select(
-            "h", "segment", "anchor",
-            ((F.col("place") - start) / wide).cast("long").alias("doc_id"),
-            start.cast("long").alias("start"),
-        ),
-        "segments",
-    )
+    others = texts.schema["others"].dataType.simpleString()
+    plain = texts.drop("others")
+    listed = released(landed(_repeated_anchors(plain, length, gram), "listed"))
+    packed = texts.mapInArrow(_squeezed, f"doc_id long, packed binary, others {others}")
+    # Texts move once for each of three steps; each step's files go before the next.
+    single = released(landed(_first_places(packed.join(listed, "doc_id"), length, gram), "places"))
     sizes = single.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
     counted = single.join(sizes, "h")
-    windows = (F.length("segment") - length + 1).cast("long")
-    alone = counted.filter("kinds = 1").select("doc_id", "start", windows.alias("n"))
-    sort = counted.filter((F.col("kinds") > 1) & (F.col("kinds") <= GROUP)).drop("kinds")
-    sort = sort.repartition("h").sortWithinPartitions("h")
-    sort = sort.mapInArrow(_sorted_groups(length), "doc_id long, start long, n long")
-    large = counted.filter(F.col("kinds") > GROUP).drop("kinds")
-    large = large.mapInArrow(_windows(length), "window binary, doc_id long, start long")
-    large = large.groupBy("window").agg(F.min(place).alias("place"))
-    large = large.select(
-        ((F.col("place") - start) / wide).cast("long").alias("doc_id"),
-        start.cast("long").alias("start"),
-        F.lit(1).cast("long").alias("n"),
+    several = counted.filter("kinds > 1").groupBy("doc_id")
+    several = several.agg(
+        F.collect_list(F.struct("start", (F.col("kinds") > GROUP).alias("many"))).alias("several")
+    )
+    differing = packed.join(listed, "doc_id").join(several, "doc_id").mapInArrow(
+        _bytes(length, gram),
+        "h long, segment binary, anchor int, doc_id long, start long, many boolean",
     )
+    differing = released(landed(differing, "segments"))
+    groups = differing.filter("not many").repartition("h").sortWithinPartitions("h")
+    sort = groups.mapInArrow(_sorted_groups(length), "doc_id long, start long, n long")
+    rows = differing.filter("many").mapInArrow(
+        _windows(length), "window binary, doc_id long, start long"
+    )
+    large = rows.groupBy("window").agg(_place().alias("place"))
+    large = large.select(*_from_place(), F.lit(1).cast("long").alias("n"))
+    alone = counted.filter("kinds = 1").select("doc_id", "start", F.col("n").cast("long"))
     first = alone.unionByName(sort).unionByName(large)
     first = first.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("kept"))
-    return marked.join(first, "doc_id", "left").mapInArrow(
-        _removal(length, gram, as_text),
-        "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, "
-        + f"kept {'string' if as_text else 'binary'}",
+    first = released(landed(first, "kept"))
+    return (
+        packed.join(listed, "doc_id", "left")
+        .join(first, "doc_id", "left")
+        .mapInArrow(
+            _removal(length, gram, as_text),
+            "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, "
+            + f"kept {'string' if as_text else 'binary'}, others {others}",
+        )
     )
 
 
+def _repeated_anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """(doc_id, hashes): the anchors of each document that stand in the corpus more than once."""
+    anchors = texts.mapInArrow(_anchors(length, gram), "h long, doc_id long, n int")
+    often = anchors.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
+    both = anchors.select("h", "doc_id").join(often, "h")
+    return both.groupBy("doc_id").agg(F.collect_set("h").alias("hashes"))
+
+
+def _first_places(marked: DataFrame, length: int, gram: int) -> DataFrame:
+    """(h, n, doc_id, start): the first place of every distinct segment."""
+    found = marked.mapInArrow(
+        _places(length, gram),
+        "h long, anchor int, e1 long, e2 long, n int, doc_id long, start long",
+    )
+    first = found.groupBy("h", "anchor", "e1", "e2").agg(
+        _place().alias("place"), F.min("n").alias("n")
+    )
+    return first.select("h", "n", *_from_place())
+
+
+# One number per place, so that the first is a plain minimum; texts are shorter than this.
+_LONGEST = 1 << 40
+
+
+def _place() -> Column:
+    wide = F.lit(_LONGEST).cast("decimal(13,0)")
+    return F.min(F.col("doc_id").cast("decimal(19,0)") * wide + F.col("start"))
+
+
+def _from_place() -> list[Column]:
+    wide = F.lit(_LONGEST).cast("decimal(13,0)")
+    start = F.pmod("place", wide)
+    doc_id = ((F.col("place") - start) / wide).cast("long")
+    return [doc_id.alias("doc_id"), start.cast("long").alias("start")]
+
+
 def removal_digest(result: DataFrame) -> DataFrame:
     """What ``without_repeats`` did to each document, in four numbers and a digest."""
     removed = F.aggregate(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,17 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(df: DataFrame) -> DataFrame:
+    """``df``, once the shuffle files of finished steps are given back.
+
+    Spark's cleaner removes them when the driver collects its garbage, which a long job
+    may not do before the disks hold the files of all of its steps.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
