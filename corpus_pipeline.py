@@ -26,10 +26,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class of near duplicates.
 
-    Rows without a doc_id go, and rows that repeat one stay with it.
+    Rows without a doc_id go, and of rows that repeat one a single one stays.
     """
     classes = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(classes, "doc_id", "left_semi").select(*docs.columns)
+    kept = docs.join(classes, "doc_id", "left_semi").select(*docs.columns)
+    return kept.dropDuplicates(["doc_id"])
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,17 +38,17 @@ def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A document all of whose text stands earlier goes; one that was empty stays.
     """
-    trimmed = without_repeats(docs, as_text=True).dropDuplicates(["doc_id"])
-    trimmed = trimmed.select(
-        F.col("doc_id").alias("trimmed_id"), F.col("kept").alias("trimmed_text"), F.size("spans").alias("cut")
+    carried = [c for c in docs.columns if c not in ("doc_id", "text")]
+    trimmed = without_repeats(docs, as_text=True, carry=tuple(carried))
+    cut = F.size("spans") > 0
+    columns = {c: F.col("others").getField(c) for c in carried}
+    columns |= {"doc_id": F.col("doc_id"), "text": F.col("kept")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(cut, F.length("kept")).otherwise(columns["n_chars"])
+    left = trimmed.filter(~cut | (F.length("kept") > 0))
+    return left.select(
+        *[columns[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
     )
-    rest = docs.drop("text").join(trimmed, F.col("doc_id") == F.col("trimmed_id"))
-    rest = rest.filter((F.col("cut") == 0) | (F.length("trimmed_text") > 0))
-    changed = {"text": F.col("trimmed_text")}
-    if "n_chars" in docs.columns:
-        length = F.length("trimmed_text").cast("long")
-        changed["n_chars"] = F.when(F.col("cut") > 0, length).otherwise(F.col("n_chars"))
-    return rest.withColumns(changed).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
