@@ -18,6 +18,7 @@ from convoy.llm import (
     toxicity,
     vectors,
 )
+from convoy.llm.oracles import ORACLES
 from convoy.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,4 +49,5 @@ QUERIES: dict[str, Query] = {
         documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")
     ),
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
