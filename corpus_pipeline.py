@@ -26,9 +26,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class of near duplicates.
 
-    Rows without a doc_id go, and of rows that repeat one a single one stays.
+    Shingle sets are linked from a similarity of 0.8. 32 bands of 5 miss a pair there
+    with probability 3e-6. Rows without a doc_id go, and of rows that repeat one a single one stays.
     """
-    classes = near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    classes = near_duplicates(docs, percent=80, bands=32, rows=5).filter("kept").select("doc_id").distinct()
     kept = docs.join(classes, "doc_id", "left_semi").select(*docs.columns)
     return kept.dropDuplicates(["doc_id"])
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from convoy.llm.tables import landed
+from tests.llm.test_minhash import edited, shingles
 from tests.llm.test_suffixes import expected
 
 DATA = "/root/testdata/sf0.01"
@@ -78,3 +79,20 @@ def test_odd_rows_and_an_empty_table(spark):
             table = landed(stage(spark, table, DATA), name)
         found = {r.doc_id for r in table.collect()}
     assert found == set()
+
+
+def test_near_copies_go_from_a_similarity_of_080(spark):
+    rng = random.Random(12)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
+    rows, wanted, between = [], set(), 0
+    for k in range(120):
+        words = [f"v{rng.randint(0, 10**6)}" for _ in range(rng.randint(120, 300))]
+        copy = edited(rng, words, max(1, round(len(words) * rng.uniform(0.01, 0.035))))
+        rows += [(2 * k, " ".join(words), "en", "s", 1), (2 * k + 1, copy, "en", "s", 1)]
+        one, other = shingles(rows[-2][1]), shingles(copy)
+        similar = 100 * len(one & other) >= 80 * len(one | other)
+        between += similar and 100 * len(one & other) < 85 * len(one | other)
+        wanted |= {2 * k} if similar else {2 * k, 2 * k + 1}
+    table = spark.createDataFrame(rows, docs.schema)
+    left = {r.doc_id for r in corpus_pipeline.near_duplicate(spark, table, DATA).collect()}
+    assert between > 10 and left == wanted
