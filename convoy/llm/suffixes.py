@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from zstandard import ZstdCompressor, ZstdDecompressor
 
 from convoy.llm.hashing import BLOCK, mix, prefix_hashes, powers, spans_hash
-from convoy.llm.tables import SLICE_BYTES, flat, landed, released, slices
+from convoy.llm.tables import flat, landed, released, slices
 
 _U = np.uint64
 _POSITION = _U((1 << 21) - 1)
@@ -50,14 +50,12 @@ def segments(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(anchor hash, first window, number of windows, anchor's offset in the first window).
 
-    Windows that would cross the end of a text do not exist. Blocks of a long
-    text begin at multiples of the block size, so its segments never depend on
-    the texts around it.
+    Windows that would cross the end of a text do not exist. A text is never cut but
+    at multiples of the block size from its own beginning, so its segments never
+    depend on the texts around it.
     """
     found = []
-    n_windows = len(data) - length + 1
-    for at in range(0, max(n_windows, 0), BLOCK):
-        end = min(at + BLOCK, n_windows)
+    for at, end in _blocks(offsets, length):
         chunk = data[at : end + length - 1]
         prefix = prefix_hashes(chunk)
         _, down = powers(len(prefix))
@@ -89,6 +87,18 @@ def segments(
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def _blocks(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
+    """(first window, end of the windows) of blocks: runs of whole texts, or parts of a long one."""
+    text, n = 0, len(offsets) - 1
+    while text < n:
+        begin = int(offsets[text])
+        until = int(np.searchsorted(offsets, begin + BLOCK, side="right")) - 1
+        text = max(until, text + 1)
+        stop = int(offsets[text]) - length + 1
+        for at in range(begin, stop, BLOCK):
+            yield at, min(at + BLOCK, stop)
+
+
 def _anchors(length: int, gram: int):
     """(h, doc_id, n): how often each anchor stands in each document."""
 
@@ -137,16 +147,21 @@ def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "text"):
             packed = [tool.compress(t.encode()) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(packed, pa.binary()), part.column("others")],
-                names=["doc_id", "packed", "others"],
+                [
+                    part.column("doc_id"),
+                    pa.array(packed, pa.binary()),
+                    pc.binary_length(part.column("text")).cast(pa.int64()),
+                    part.column("others"),
+                ],
+                names=["doc_id", "packed", "size", "others"],
             )
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of rows with their texts unpacked."""
+    """Slices of rows with their texts unpacked, by the size of those."""
     tool = ZstdDecompressor()
     for batch in batches:
-        for part in slices(batch, "packed", SLICE_BYTES // 4):
+        for part in slices(batch, "size"):
             raw = [tool.decompress(z) for z in part.column("packed").to_pylist()]
             yield part.append_column("text", pa.array(raw, pa.binary()))
 
@@ -509,7 +524,7 @@ def without_repeats(
     others = texts.schema["others"].dataType.simpleString()
     plain = texts.drop("others")
     listed = released(landed(_repeated_anchors(plain, length, gram), "listed"))
-    packed = texts.mapInArrow(_squeezed, f"doc_id long, packed binary, others {others}")
+    packed = texts.mapInArrow(_squeezed, f"doc_id long, packed binary, size long, others {others}")
     # Texts move once for each of three steps; each step's files go before the next.
     single = released(landed(_first_places(packed.join(listed, "doc_id"), length, gram), "places"))
     sizes = single.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))

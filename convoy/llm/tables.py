@@ -56,8 +56,14 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """``batch`` in runs of rows whose texts have about ``size`` bytes, one row at least."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    """``batch`` in runs of rows whose texts have about ``size`` bytes, one row at least.
+
+    ``column`` holds the texts or, as numbers, their lengths.
+    """
+    lengths = batch.column(column)
+    if not pa.types.is_integer(lengths.type):
+        lengths = pc.binary_length(lengths)
+    lengths = pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths)
     start = 0
     while start < batch.num_rows:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from convoy.llm import suffixes
-from convoy.llm.suffixes import Suffixes, removal_digest, without_repeats
+from convoy.llm.suffixes import GRAM, Suffixes, removal_digest, segments, without_repeats
 
 SCHEMA = "doc_id long, text string, h long, start string"
 
@@ -90,3 +90,34 @@ def test_sort_falls_back_on_collisions():
     strings.prefix = np.zeros_like(strings.prefix)
     order, shared = strings.sort(group)
     assert (order == plain).all() and (shared == plain_shared).all()
+
+
+def compressible(rng, n):
+    lines = [f"row {rng.randint(0, 999)} of a table | {'=' * rng.randint(5, 60)} |\n" for _ in range(60)]
+    return lambda size: "".join(rng.choice(lines) for _ in range(size // 40))[:size] + f"end {n}"
+
+
+def test_segments_do_not_depend_on_the_texts_around():
+    rng = random.Random(8)
+    text = compressible(rng, 0)
+    texts = [text(n).encode() for n in (500_000, 20, 520_000, 500_000, 0, 2_200_000, 90_000, 700_000)]
+
+    def found(some):
+        ends = np.concatenate(([0], np.cumsum([len(t) for t in some])))
+        h, first, count, anchor = segments(np.frombuffer(b"".join(some), np.uint8), ends, 100, GRAM)
+        owner = np.searchsorted(ends, first, side="right") - 1
+        return list(zip(owner.tolist(), (first - ends[owner]).tolist(), count.tolist(), h.tolist(), strict=True))
+
+    alone = [(k, *row[1:]) for k, t in enumerate(texts) for row in found([t])]
+    assert len(alone) > 1000 and found(texts) == alone
+
+
+def test_compressible_texts_over_partitionings(spark):
+    rng = random.Random(9)
+    text = compressible(rng, 1)
+    rows = [(i, text(300_000)) for i in range(6)]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA)
+    wanted = expected(rows, 100)
+    for n in (1, 5):
+        result = removal_digest(without_repeats(docs.repartition(n, "doc_id"))).collect()
+        assert {r[0]: tuple(r[1:]) for r in result} == wanted
