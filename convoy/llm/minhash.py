@@ -126,9 +126,10 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept): classes of documents joined by similar sets.
 
     Documents with equal sets are one from the start. In each round every document is
-    compared with the nearest pivot, by sketch, of its buckets that is in another class:
-    as many pairs as documents. Documents in buckets that still hold several classes
-    then meet in an exact prefix join.
+    compared with the nearest pivot, by sketch, of its buckets that is in another class and
+    that it has not met: as many pairs as documents. Of buckets that still hold several
+    classes, those of two documents give their pair, and the documents of
+    the others meet in an exact prefix join.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.filter(F.col("doc_id").isNotNull())
@@ -152,12 +153,10 @@ def near_duplicates(
     pivot = F.min(F.struct("rep", "n_shingles", "s1", "s2")).alias("pivot")
     buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"), pivot)
     shared = landed(banded.join(buckets.filter("members > 1"), "band"), "buckets")
+    near = landed(_pivot_pairs(shared, percent), "pivots")
     tried, links, classes = None, None, None
     for _ in range(PIVOT_ROUNDS):
-        nearest = _nearest_pivots(_placed(shared, classes), percent)
-        if tried is not None:
-            nearest = nearest.join(tried, ["a", "b"], "left_anti")
-        nearest = landed(nearest, "pairs")
+        nearest = landed(_nearest_pivots(near, tried, classes), "pairs")
         found = confirmed(nearest, texts, percent, shingle)
         tried = nearest if tried is None else tried.unionByName(nearest)
         links = landed(found if links is None else links.unionByName(found), "links")
@@ -169,8 +168,9 @@ def near_duplicates(
     )
     mixed = placed.join(spread.filter("low < high").select("band"), "band", "left_semi")
     open_ = landed(mixed.select("rep", "component").distinct(), "members")
-    rest = _similar_pairs(open_, texts, percent, shingle).join(tried, ["a", "b"], "left_anti")
-    rest = landed(rest, "pairs")
+    rest = _similar_pairs(open_, texts, percent, shingle)
+    rest = rest.unionByName(_apart(near.filter("two"), classes).select("a", "b")).distinct()
+    rest = landed(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
         links = landed(links.unionByName(confirmed(rest, texts, percent, shingle)), "links")
         classes = landed(components(links), "classes")
@@ -186,27 +186,46 @@ def near_duplicates(
     )
 
 
-def _placed(shared: DataFrame, classes: DataFrame | None) -> DataFrame:
+def _placed(shared: DataFrame, classes: DataFrame) -> DataFrame:
     """Bucket members with the class that the links so far put them in."""
-    if classes is None:
-        return shared.withColumn("component", F.col("rep"))
     known = classes.select(F.col("node").alias("rep"), "component")
     both = shared.join(known, "rep", "left")
     return both.withColumn("component", F.coalesce("component", "rep"))
 
 
-def _nearest_pivots(placed: DataFrame, percent: int) -> DataFrame:
-    """One pair for each member: the pivot of another class whose sketch is nearest to its own."""
+def _pivot_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """(a, b, differ, two): members with the pivots of their buckets that can be similar.
+
+    ``a`` is the pivot, which has the smallest id of its bucket, and ``two`` tells that some
+    bucket holds nothing else.
+    """
     differ = F.bit_count(F.col("s1").bitwiseXOR(F.col("pivot.s1"))) + F.bit_count(
         F.col("s2").bitwiseXOR(F.col("pivot.s2"))
     )
     n, m = F.col("n_shingles"), F.col("pivot.n_shingles")
     possible = (100 * n >= percent * m) & (100 * m >= percent * n) & (differ <= MAX_DIFFERENT)
-    # The pivot has the smallest id, so it is in its own class only if that class reaches it.
-    elsewhere = (F.col("pivot.rep") != F.col("rep")) & (F.col("component") != F.col("pivot.rep"))
-    best = placed.filter(elsewhere & possible).groupBy("rep")
-    best = best.agg(F.min_by(F.col("pivot.rep"), F.struct(differ, F.col("pivot.rep"))).alias("p"))
-    return _pairs(best, "p", "rep")
+    met = shared.filter((F.col("pivot.rep") != F.col("rep")) & possible)
+    pairs = met.groupBy(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"))
+    return pairs.agg(F.min(differ).alias("differ"), F.max(F.col("members") == 2).alias("two"))
+
+
+def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose documents are not in one class by the links so far."""
+    out = pairs
+    for x in ("a", "b"):
+        known = classes.select(F.col("node").alias(x), F.col("component").alias(f"class_{x}"))
+        out = out.join(known, x, "left").withColumn(f"class_{x}", F.coalesce(f"class_{x}", x))
+    return out.filter("class_a <> class_b").select(*pairs.columns)
+
+
+def _nearest_pivots(
+    near: DataFrame, tried: DataFrame | None, classes: DataFrame | None
+) -> DataFrame:
+    """One pair for each member: the pivot of another class, not tried, with the nearest sketch."""
+    if tried is not None:
+        near = _apart(near.join(tried, ["a", "b"], "left_anti"), classes)
+    best = near.groupBy("b").agg(F.min_by("a", F.struct("differ", "a")).alias("a"))
+    return best.select("a", "b").distinct()
 
 
 def _shingles(shingle: int):
@@ -261,7 +280,3 @@ def _similar_pairs(open_: DataFrame, texts: DataFrame, percent: int, shingle: in
         & (room * (100 + percent) >= percent * size),
     )
     return met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-
-
-def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()

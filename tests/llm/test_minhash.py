@@ -99,3 +99,19 @@ def test_sketches_fill_and_estimate_the_similarity():
         )
         shares.append((both[0] == both[1]).mean())
     assert abs(np.mean(shares) - 240 / 300) < 0.02
+
+
+@pytest.mark.parametrize("rounds", [1, 2])
+def test_a_failed_pivot_does_not_hide_a_link(spark, monkeypatch, rounds):
+    """Texts with one link and one neighbour that is not quite similar, both with smaller ids."""
+    monkeypatch.setattr(minhash, "PIVOT_ROUNDS", rounds)
+    rng = random.Random(21)
+    rows = []
+    for k in range(300):
+        words = [f"v{rng.randint(0, 10**6)}" for _ in range(300)]
+        rows += [(3 * k, edited(rng, words, 6)), (3 * k + 1, edited(rng, words, 4)), (3 * k + 2, " ".join(words))]
+    found = got(spark, rows)
+    sets = {i: shingles(t) for i, t in rows}
+    similar = lambda a, b: 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    alone = [i for i in range(2, 900, 3) if similar(i, i - 1) and not similar(i, i - 2)]
+    assert len(alone) > 100 and all(found[i][1] == found[i - 1][1] for i in alone)
