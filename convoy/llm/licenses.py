@@ -44,6 +44,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # A text block is a sentence or a line.
 _BLOCK_END = r"\n+|(?<=[.!?;])[ \t]+"
+# A sentence may also go on over line breaks, up to a blank line. So many times the
+# notice's words of such a sentence are looked at together.
+_SENTENCE_END = r"\n[ \t\r]*\n\s*|(?<=[.!?;])\s+"
+WIDTH = 2
 
 
 def lowered(text: Column) -> Column:
@@ -91,9 +95,13 @@ def phrase_places(all_words: Column, joined: Column, phrase: str) -> Column:
     return F.when(joined.contains(f" {phrase} "), found).otherwise(none)
 
 
-def containment(blocks: Column, ordered: list[str], threshold: float) -> Column:
+def containment(
+    blocks: Column, wrapped: Column, ordered: list[str], threshold: float
+) -> Column:
     """The largest share of a notice's words that one block holds, null below the threshold.
 
+    A block is one of ``blocks``, or some consecutive words of a sentence of ``wrapped``.
+
     ``ordered`` has the notice's words from rare to frequent. A block that reaches the
     threshold has enough words (length filter), one of the rarest words (prefix
     filter), and enough of them that the rest can still make up for those it lacks
@@ -111,10 +119,21 @@ def containment(blocks: Column, ordered: list[str], threshold: float) -> Column:
             & (F.size(F.array_intersect(prefix, block)) + (len(ordered) - len(rare)) >= need)
         )
 
-    shared = F.transform(
-        F.filter(blocks, possible), lambda block: F.size(F.array_intersect(notice, block))
-    )
-    best = F.array_max(shared)
+    def held(block: Column) -> Column:
+        return F.size(F.array_intersect(notice, block))
+
+    def nearby(block: Column) -> Column:
+        """The most words of the notice that stand together in a long block."""
+        begins = F.filter(
+            F.sequence(F.lit(1), F.size(block)),
+            lambda i: F.array_contains(notice, F.element_at(block, i)),
+        )
+        width = F.lit(WIDTH * len(ordered))
+        return F.array_max(F.transform(begins, lambda i: held(F.slice(block, i, width))))
+
+    lines = F.transform(F.filter(blocks, possible), held)
+    whole = F.filter(wrapped, lambda block: possible(block) & (held(block) >= need))
+    best = F.array_max(F.concat(lines, F.transform(whole, nearby)))
     return F.when(best >= need, best / F.lit(float(len(ordered))))
 
 
@@ -152,17 +171,25 @@ def license_scan(
             lambda b: F.array_distinct(F.array_remove(F.split(b, _BETWEEN), "")),
         ),
     )
+    wrapped = F.when(
+        candidate,
+        F.transform(
+            F.filter(F.split("lower", _SENTENCE_END), lambda b: b.contains("\n")),
+            lambda b: F.array_remove(F.split(b, _BETWEEN), ""),
+        ),
+    )
     found = base.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
         F.struct(*[c.alias(label) for label, c in places.items()]).alias("by_phrase"),
         blocks.alias("blocks"),
+        wrapped.alias("wrapped"),
     )
     held = F.create_map(
         *[
             x
             for label, o in ordered.items()
-            for x in (F.lit(label), containment(F.col("blocks"), o, threshold))
+            for x in (F.lit(label), containment(F.col("blocks"), F.col("wrapped"), o, threshold))
         ]
     )
     found_notices = F.map_filter(held, lambda _, share: share.isNotNull())

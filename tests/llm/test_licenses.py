@@ -81,3 +81,27 @@ def test_no_python_and_no_shuffle(spark):
     plan = license_scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", text)
+
+
+WRAPPED = {
+    "bsd": """/* Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:
+ *
+ * 1. Redistributions of source code must retain the above copyright notice""",
+    "mpl-2.0": """# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0. If a copy of the MPL was not distributed with this""",
+    "mit-grant": """Copyright (c) 2020\n
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights""",
+}
+
+
+def test_notices_with_line_breaks(spark):
+    rows = [(i, text) for i, text in enumerate(WRAPPED.values())]
+    # The notice's words far from one another, or with a blank line between, are no notice.
+    rows += [(10, WRAPPED["mpl-2.0"].replace(" ", "\n" + "word " * 20)), (11, WRAPPED["bsd"].replace("without\n", "without\n\n"))]
+    docs = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], SCHEMA)
+    got = {r.doc_id: r.labels for r in license_digest(license_scan(docs)).collect()}
+    assert got == {0: "bsd", 1: "mpl-2.0", 2: "mit-grant", 10: "", 11: ""}
