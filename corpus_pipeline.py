@@ -27,17 +27,32 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """The document with the smallest id of each class of near duplicates.
 
     Shingle sets are linked from a similarity of 0.8. 32 bands of 5 miss a pair there
-    with probability 3e-6. Rows without a doc_id go, and of rows that repeat one a single one stays.
+    with probability 3e-6. Of equal rows with an id one stays, different rows under one id
+    are documents of their own, and rows without a doc_id are linked with nothing.
     """
-    classes = near_duplicates(docs, percent=80, bands=32, rows=5).filter("kept").select("doc_id").distinct()
-    kept = docs.join(classes, "doc_id", "left_semi").select(*docs.columns)
-    return kept.dropDuplicates(["doc_id"])
+    rows = docs.filter("doc_id IS NOT NULL").distinct()
+    digest = F.xxhash64(*docs.columns)
+    shared = rows.groupBy("doc_id").agg(F.min(digest).alias("first"), F.count(F.lit(1)).alias("n"))
+    shared = shared.filter("n > 1").select("doc_id", "first")
+    # Further rows under an id get a key beyond the ids.
+    other = F.shiftrightunsigned(digest, 2) + F.lit(1 << 62)
+    own = F.col("first").isNull() | (F.col("first") == digest)
+    keyed = rows.join(shared, "doc_id", "left").select(
+        *docs.columns, F.when(own, F.col("doc_id").cast("long")).otherwise(other).alias("_key")
+    )
+    keyed = landed(keyed, "keyed")
+    texts = keyed.select(F.col("_key").alias("doc_id"), "text")
+    found = near_duplicates(texts, percent=80, bands=32, rows=5)
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_key"))
+    left = keyed.join(gone, "_key", "left_anti").select(*docs.columns)
+    return left.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without strings of 100 bytes that stand earlier; ``n_chars`` follows.
 
-    A document all of whose text stands earlier goes; one that was empty stays.
+    A document all of whose text stands earlier goes; one that was empty stays, and so
+    do rows without a doc_id, as they are.
     """
     carried = [c for c in docs.columns if c not in ("doc_id", "text")]
     trimmed = without_repeats(docs, as_text=True, carry=tuple(carried))
@@ -47,9 +62,10 @@ def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     if "n_chars" in columns:
         columns["n_chars"] = F.when(cut, F.length("kept")).otherwise(columns["n_chars"])
     left = trimmed.filter(~cut | (F.length("kept") > 0))
-    return left.select(
+    left = left.select(
         *[columns[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
     )
+    return left.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

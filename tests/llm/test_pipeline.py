@@ -96,3 +96,12 @@ def test_near_copies_go_from_a_similarity_of_080(spark):
     table = spark.createDataFrame(rows, docs.schema)
     left = {r.doc_id for r in corpus_pipeline.near_duplicate(spark, table, DATA).collect()}
     assert between > 10 and left == wanted
+
+
+def test_rows_without_an_id_and_texts_under_one_id_stay(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
+    rows = [(None, "a b c d e f g", "en", "s", 13), (1, "a b c d e f g", "en", "s", 13), (1, "h i j k l m n", "en", "s", 13),
+            (1, "a b c d e f g", "en", "s", 13), (2, "h i j k l m n", "en", "s", 13)]
+    left = corpus_pipeline.near_duplicate(spark, spark.createDataFrame(rows, docs.schema), DATA)
+    texts = sorted((r.doc_id or 0, r.text) for r in left.collect())
+    assert texts[:2] == [(0, rows[0][1]), (1, rows[0][1])] and len(texts) == 3 and texts[2][1] == rows[2][1]
