@@ -9,13 +9,14 @@ from tokenizers import Tokenizer
 
 from convoy.llm.packing import CAPACITY, cuts, pack
 from convoy.llm.token_counts import length_histogram, limit_table, quantiles, totals_within
-from convoy.llm.tokens import Encoder, default_path
+from convoy.llm.tokens import Encoder, default_path, public_path
 
 SCHEMA = "doc_id long, text string, k int, n long"
 ODD = [
     "", " ", "a", "Word, WORD. word.. don't I'll ÉTÉ été é Ⅷ ½ 12345", "x" * 5000, "a\x1cb\x1f c",
     "tab\tnew\nline\x0b\x0c\r nbsp em sep　", "<|endoftext|> <|ENDOFTEXT|>x<|startoftext|>",
     "word.,!? #word. (word) a.b, 中文，测试。 ß ẞ İ ǅ ΑΣ ΣΑΣ 😀👍🏽 ‍﻿", "1,000.5; a1. 1a. ... ,",
+    "Wort*** ÉTÉ*'_ İx! don't' l'été' '' a's 'S we'LL  x   \n\n  y \x85z \u3000 ", "\u0958 \u1e9b\u0323 ﬁ. e\u0301!! \ud7a3",
 ]
 
 
@@ -40,6 +41,24 @@ def test_chunks_give_the_ids_of_whole_texts(spark, plain):
     assert got == 2 * [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_pieces_give_the_ids_of_whole_texts(spark):
+    path = public_path("byte_bpe_50k.json")
+    texts = [t or "" for _, t in documents(spark)]
+    tool, direct = Encoder(path, known=50), Tokenizer.from_file(path)
+    assert tool.byte_level
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in tool.encode(texts)]
+    assert got == [direct.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_characters_of_all_kinds_give_the_ids_of_whole_texts():
+    letters = [chr(c) for c in range(0x80, 0x30000, 37) if not 0xD800 <= c < 0xE000]
+    texts = [f"{a}{b} 1{a} {b}.{a}  {b}" for a, b in zip(letters, letters[1:], strict=False)]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        tool, direct = Encoder(public_path(name)), Tokenizer.from_file(public_path(name))
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in tool.encode(texts)]
+        assert got == [direct.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_limits(spark, plain):
     rows = documents(spark)
     lengths = [len(plain.encode(t or "", add_special_tokens=False).ids) for _, t in rows]
