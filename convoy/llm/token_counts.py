@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from convoy.llm.tables import slices
+from convoy.llm.tables import landed, slices
 from convoy.llm.tokens import default_path, encoder
 
 # Lengths that one window holds when sums are carried from the longest to the shortest.
@@ -49,9 +49,12 @@ def limit_table(histogram: DataFrame) -> DataFrame:
     total if every document is cut to the limit, ``docs_cut`` how many are cut, and
     ``share_within`` the share of documents that fit. Between two lengths the total
     grows by the next ``docs_at_least`` a token, so the rows answer every limit.
+
+    The histogram, one row per distinct length, is landed first: two sums read it, and
+    texts are to be encoded once.
     """
     block = F.floor(F.col("length") / _BLOCK)
-    base = histogram.withColumn("n_tokens", F.col("length") * F.col("n_docs"))
+    base = landed(histogram, "lengths").withColumn("n_tokens", F.col("length") * F.col("n_docs"))
     base = base.withColumn("block", block)
     totals = base.groupBy("block").agg(
         F.sum("n_docs").alias("docs"), F.sum("n_tokens").alias("tokens")
