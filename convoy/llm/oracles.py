@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from math import ceil
 
+from convoy.llm.clusters import CENTROIDS, DIMS, SALT
+from convoy.llm.clusters import ROUNDS as CLUSTER_ROUNDS
+from convoy.llm.clusters import SCALE as CLUSTER_SCALE
+from convoy.llm.codes import ENTRIES, PARTS
+from convoy.llm.codes import ROUNDS as CODE_ROUNDS
+from convoy.llm.codes import SCALE as CODE_SCALE
 from convoy.llm.licenses import CONTAINED, NOTICES, PHRASES, notice_tokens
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -66,4 +72,111 @@ def license_sql(threshold: float = CONTAINED) -> str:
     from named"""
 
 
-ORACLES: dict[str, str] = {"op3_license_scan": license_sql()}
+def _floor_mean(value: str) -> str:
+    """The exact floor of a mean of whole numbers."""
+    total, count = f"sum({value})::hugeint", "count(*)"
+    return f"(({total} - (({total} % {count}) + {count}) % {count}) // {count})::bigint"
+
+
+def _finite(vector: str) -> str:
+    bad = "x is null or isnan(x) or isinf(x)"
+    return f"{vector} is not null and len(list_filter({vector}, lambda x: {bad})) = 0"
+
+
+def _grid(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: floor({scale} * x::double))"
+
+
+# A squared distance in whole numbers, which doubles hold exactly here.
+_GAP = """(list_inner_product(v.p, v.p) - 2 * list_inner_product(v.p, c.p)
+          + list_inner_product(c.p, c.p))::bigint"""
+
+
+def cluster_sql(
+    centroids: int = CENTROIDS, rounds: int = CLUSTER_ROUNDS, dims: int = DIMS
+) -> str:
+    """Rounds of a full scan: every vector with every centroid."""
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""
+    a{t} as materialized (
+      select vec_id, any_value(p) as p, min(key) // 1000 as d, min(key) % 1000 as c
+      from (select v.vec_id, v.p, {_GAP} * 1000 + c.c as key from v, c{t} c)
+      group by vec_id)""")
+        if t < rounds:
+            steps.append(f"""
+    m{t} as materialized (
+      select c, list(m::double order by place) as p
+      from (select c, place, {_floor_mean('p[place]::bigint')} as m
+            from a{t}, range(1, {dims + 1}) r(place) group by c, place)
+      group by c),
+    c{t + 1} as materialized (
+      select c.c, coalesce(m.p, c.p) as p from c{t} c left join m{t} m on c.c = m.c)""")
+    last = rounds
+    return f"""
+    with v as materialized (
+      select vec_id, {_grid(CLUSTER_SCALE)} as p from embeddings
+      where {_finite('embedding')} and len(embedding) = {dims}),
+    c0 as materialized (
+      select row_number() over (order by h) - 1 as c, p
+      from (select sha256('{SALT}:' || vec_id) as h, p from v order by h limit {centroids})),
+    {','.join(steps)}
+    select vec_id, a.c::int as cluster, d as distance,
+           sum(d) over (partition by a.c)::bigint as cluster_inertia,
+           sum(d) over ()::bigint as inertia,
+           sha256(array_to_string(list_transform(c.p, lambda x: x::bigint), ','))
+             as centroid_sha256
+    from a{last} a join c{last} c on a.c = c.c"""
+
+
+def code_sql(parts: int = PARTS, entries: int = ENTRIES, rounds: int = CODE_ROUNDS) -> str:
+    """Rounds of a full scan: every part with every entry of its position."""
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""
+    a{t} as materialized (
+      select vec_id, part, any_value(label) as label, any_value(p) as p,
+             min(key) // 1000 as d, min(key) % 1000 as c
+      from (select v.*, {_GAP} * 1000 + c.c as key from v join c{t} c using (part))
+      group by vec_id, part)""")
+        if t < rounds:
+            steps.append(f"""
+    m{t} as materialized (
+      select part, c, list(m::double order by place) as p
+      from (select part, c, place, {_floor_mean('p[place]::bigint')} as m
+            from a{t}, range(1, {DIMS // parts + 1}) r(place) group by part, c, place)
+      group by part, c),
+    c{t + 1} as materialized (
+      select c.part, c.c, coalesce(m.p, c.p) as p
+      from c{t} c left join m{t} m on c.c = m.c and c.part = m.part)""")
+    width = DIMS // parts
+    return f"""
+    with whole as materialized (
+      select vec_id, label, {_grid(CODE_SCALE)} as p from embeddings
+      where {_finite('embedding')}),
+    v as materialized (
+      select vec_id, label, part, p[part * {width} + 1:part * {width} + {width}] as p
+      from whole, range({parts}) r(part)),
+    c0 as materialized (
+      select part, c, p[part * {width} + 1:part * {width} + {width}] as p
+      from (select row_number() over (order by vec_id) - 1 as c, p
+            from (select * from whole order by vec_id limit {entries})),
+           range({parts}) r(part)),
+    {','.join(steps)},
+    coded as (
+      select vec_id, any_value(label) as label,
+             string_agg(format('{{:02x}}', c), '' order by part) as code,
+             sum(d)::bigint as error
+      from a{rounds} group by vec_id)
+    select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error,
+           (select sha256(string_agg(array_to_string(
+              list_transform(p, lambda x: x::bigint), ','), ',' order by part, c))
+            from c{rounds}) as codebooks_sha256
+    from coded"""
+
+
+ORACLES: dict[str, str] = {
+    "op3_license_scan": license_sql(),
+    "op11_clusters": cluster_sql(),
+    "op12_codes": code_sql(),
+}

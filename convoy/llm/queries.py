@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from convoy.llm import (
+    bestfit,
+    clusters,
+    codes,
     decontamination,
     language,
     licenses,
@@ -48,6 +51,11 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": lambda spark, sf: decontamination.contaminated(
         documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")
     ),
+    "op11_clusters": lambda spark, sf: clusters.clustered(
+        spark.read.parquet(f"{sf}/embeddings.parquet")
+    ),
+    "op12_codes": lambda spark, sf: codes.coded(spark.read.parquet(f"{sf}/embeddings.parquet")),
+    "op13_best_fit": lambda spark, sf: bestfit.best_fit_packed(documents(spark, sf)).drop("ids"),
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -18,9 +18,20 @@ SLICE_BYTES = 1 << 20
 
 def landed(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, and its lineage cut."""
+    return written(df, label)[0]
+
+
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Like ``landed``, with the path of the table, for tables that are soon replaced."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``written`` that no result reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def released(df: DataFrame) -> DataFrame:
