@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from convoy.functions.numeric import parsed_or_zero, round_ieee, trimmed_text
+from convoy.operators.fuel import fuel_deltas, fuel_label
+from convoy.operators.shifts import driver_totals
 
 
 def kpi_tiles(driver_hours: DataFrame, fuel_economy: DataFrame, feed: DataFrame) -> DataFrame:
@@ -32,6 +34,55 @@ def kpi_tiles(driver_hours: DataFrame, fuel_economy: DataFrame, feed: DataFrame)
     )
 
 
+def source_tiles(
+    entries: DataFrame,
+    profiles: DataFrame,
+    reports: DataFrame,
+    *,
+    drivers: int | None = None,
+    units: int | None = None,
+    records: int | None = None,
+) -> DataFrame:
+    """The tiles straight from the tables, each of which is read once.
+
+    Fills are counted and judged in one aggregate by unit, shifts in one by driver; the
+    limits say how many rows of each set the dashboard would show.
+    """
+    fills = fuel_deltas(reports).groupBy("unit_no").agg(F.count(fuel_label()).alias("flags"))
+    fuel = fills.agg(F.count(F.lit(1)).alias("units"), F.sum("flags").alias("flags"))
+    totals = driver_totals(entries, profiles)
+    # Both use all columns of the totals, so the shuffle below them is one and the same.
+    shown = totals if drivers is None else totals.limit(drivers)
+    tenths = F.sum(F.round(parsed_or_zero(F.col("hours")) * 10).cast("long"))
+    top = shown.agg(
+        F.count(F.lit(1)).alias("active_drivers"),
+        (F.coalesce(tenths, F.lit(0)) / F.lit(10.0)).cast("double").alias("total_hours"),
+        F.sum("flags").alias("flags"),
+    )
+    shift_flags = F.col("flags")
+    if drivers is not None:
+        used = [F.sum("flags").alias("flags"), F.max("hours"), F.max("est_gross_pay"), F.max("driver")]
+        shift_flags = totals.select(F.struct(*used).alias("all")).scalar()["flags"]
+    fuel_row = fuel.select(F.struct("units", "flags")).scalar()
+    tiles = top.select(
+        "active_drivers",
+        "total_hours",
+        F.coalesce(shift_flags, F.lit(0)).alias("shift"),
+        fuel_row.alias("fuel"),
+    )
+    found = F.col("shift") + F.coalesce("fuel.flags", F.lit(0))
+    return tiles.select(
+        "active_drivers",
+        _atmost(F.col("fuel.units"), units).alias("units_fuelled"),
+        "total_hours",
+        _atmost(found, records).alias("open_anomalies"),
+    )
+
+
+def _atmost(count: Column, limit: int | None) -> Column:
+    return count if limit is None else F.least(count, F.lit(limit).cast("long"))
+
+
 def percent_of_max(rows: DataFrame, name: str, value: str, unit: str = "") -> DataFrame:
     """Bar list: each value as a percentage of the largest, with its label.
 

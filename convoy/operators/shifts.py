@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from convoy import schemas
 from convoy.functions.numeric import round_ieee, seconds_between, to_hours
 from convoy.functions.ordering import ascending, descending, spread_sort
+from convoy.functions.rules import Rules, every_match, first_match
 
 _SHIFT = ["unit_no", "clock_in", "clock_out", "odometer_in", "odometer_out"]
 
@@ -74,27 +75,74 @@ def driver_hours(
         .agg(F.sum("shifts").alias("shifts"), F.sum("length").alias("length"))
     )
     worked = F.col("length").cast("double") if hour_scale is not None else to_hours(F.col("length"))
-    shown = per_driver.select(
+    shown = _most_hours(per_driver, worked)
+    return shown if limit is None else shown.limit(limit)
+
+
+def _most_hours(per_driver: DataFrame, worked: Column, *more: str) -> DataFrame:
+    """Hours and pay as shown, most hours first; further columns follow the others in the order."""
+    return per_driver.select(
         "driver",
         "shifts",
         round_ieee(worked, 1).alias("hours"),
         round_ieee(worked * F.col("hourly_rate"), 2).alias("est_gross_pay"),
-    ).orderBy(
-        *descending("hours"),
-        *ascending("driver", "est_gross_pay"),
+        *more,
+    ).orderBy(*descending("hours"), *ascending("driver", "est_gross_pay", *more))
+
+
+def driver_totals(
+    entries: DataFrame, profiles: DataFrame, *, max_hours: float = schemas.MAX_SHIFT_HOURS
+) -> DataFrame:
+    """``driver_hours`` with ``flags``, the shifts that break a rule, from one pass over both tables.
+
+    Only the rule on the rate needs the roster: it flags all shifts that no other rule
+    does, so two counts per employee are enough before the join.
+    """
+    seconds = seconds_between(F.col("clock_in"), F.col("clock_out"))
+    timed = _closed(entries).where(F.col("employee_id").isNotNull())
+    timed = timed.withColumn("length", seconds).withColumn("hours", to_hours(F.col("length")))
+    per_employee = timed.groupBy("employee_id").agg(
+        F.count(F.lit(1)).alias("shifts"),
+        F.sum("length").alias("length"),
+        F.count(first_match(fault_rules(max_hours))).alias("faults"),
     )
-    return shown if limit is None else shown.limit(limit)
+    known = with_driver(per_employee, profiles)
+    flags = F.when(_unpaid(), F.col("shifts")).otherwise(F.col("faults"))
+    per_driver = known.withColumn("flags", flags).groupBy("driver", "hourly_rate")
+    sums = per_driver.agg(*[F.sum(c).alias(c) for c in ("shifts", "length", "flags")])
+    return _most_hours(sums, to_hours(F.col("length")), "flags")
+
+
+def _unpaid() -> Column:
+    return F.col("hourly_rate").isNull() | (F.col("hourly_rate") == 0)
+
+
+def fault_rules(max_hours: float = schemas.MAX_SHIFT_HOURS) -> Rules:
+    """The rules on a closed shift itself."""
+    return [
+        ("nonpositive_duration", F.col("hours") <= 0),
+        ("excessive_shift", F.col("hours") > max_hours),
+        ("odometer_backwards", F.col("odometer_out") < F.col("odometer_in")),
+    ]
+
+
+def shift_rules(max_hours: float = schemas.MAX_SHIFT_HOURS) -> Rules:
+    """All rules on a closed shift with its driver's rate."""
+    return [*fault_rules(max_hours), ("missing_hourly_rate", _unpaid())]
 
 
 def shift_label(max_hours: float = schemas.MAX_SHIFT_HOURS) -> Column:
     """The first shift rule a closed shift breaks, or NULL."""
-    rate = F.col("hourly_rate")
-    return (
-        F.when(F.col("hours") <= 0, "nonpositive_duration")
-        .when(F.col("hours") > max_hours, "excessive_shift")
-        .when(F.col("odometer_out") < F.col("odometer_in"), "odometer_backwards")
-        .when(rate.isNull() | (rate == 0), "missing_hourly_rate")
-    )
+    return first_match(shift_rules(max_hours))
+
+
+def flagged_shifts(
+    entries: DataFrame, profiles: DataFrame, *, max_hours: float = schemas.MAX_SHIFT_HOURS
+) -> DataFrame:
+    """Closed shifts that break a rule, with all rules they break in ``all_flags``."""
+    shifts = completed_shifts(entries, profiles)
+    flagged = shifts.withColumn("all_flags", every_match(shift_rules(max_hours)))
+    return flagged.where(F.size("all_flags") > 0)
 
 
 def shift_anomalies(

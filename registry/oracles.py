@@ -170,6 +170,39 @@ _SEVERITY = """
     from feed"""
 
 
+_FAULTS = {
+    "fuel": ("deltas", {
+        "zero_or_missing_litres": "fuel_litres <= 0",
+        "odometer_backwards": "distance_km < 0",
+        "implausible_low_economy": "km_per_litre < 1.0",
+        "implausible_high_economy": "km_per_litre > 6.0",
+    }),
+    "shift": ("closed", {
+        "nonpositive_duration": "hours <= 0",
+        "excessive_shift": "hours > 16",
+        "odometer_backwards": "odometer_out < odometer_in",
+        "missing_hourly_rate": "hourly_rate is null or hourly_rate = 0",
+    }),
+}
+
+
+def _fault_pairs() -> str:
+    """One count for each two rules of a category."""
+    counts = []
+    for category, (source, rules) in _FAULTS.items():
+        names = list(rules)
+        for i, one in enumerate(names):
+            for other in names[i:]:
+                counts.append(
+                    f"select '{category}' as category, '{one}' as fault, '{other}' as beside, "
+                    f"count(*) as records from {source} where ({rules[one]}) and ({rules[other]})"
+                )
+    return f"select * from ({' union all '.join(counts)}) where records > 0"
+
+
+_FAULT_PAIRS = _fault_pairs()
+
+
 def _day_ctes(
     day: str, tag: str = "", hours: str = _EXACT, tables: Mapping[str, Callable] = _TABLES
 ) -> dict[str, str]:
@@ -399,6 +432,8 @@ def fleet_oracles(tables: Mapping[str, Callable] = _TABLES) -> dict[str, str]:
         "severity_counts": today(
             f"select severity, count(*) as records from ({_SEVERITY}) group by severity"
         ),
+        "kpi_tiles_of_sets": today(_tiles("top_labour", "top_economy", "top_feed"), **_TOP),
+        "fault_pairs": today(_FAULT_PAIRS),
         "kpi_tiles": today(_tiles("top_labour", "top_economy", "top_feed"), **_TOP),
         "kpi_tiles_uncapped": today(_tiles("labour", "economy", "feed")),
         "driver_hours_share": today(_share("top_labour", "driver", "hours", "h"), **_TOP),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy import schemas
+from convoy.functions.rules import pair_counts
 from convoy.operators.anomalies import (
     anomalies_all,
     anomalies_latest,
@@ -16,14 +17,27 @@ from convoy.operators.anomalies import (
     severity_feed,
 )
 from convoy.operators.fuel import (
+    flagged_fills,
     fuel_anomalies,
     fuel_deltas,
     fuel_economy,
     fuel_efficiency,
 )
 from convoy.operators.governance import audit_sql
-from convoy.operators.insights import kpi_tiles, percent_of_max, stringify, text_lines
-from convoy.operators.shifts import completed_shifts, driver_hours, shift_anomalies, with_driver
+from convoy.operators.insights import (
+    kpi_tiles,
+    percent_of_max,
+    source_tiles,
+    stringify,
+    text_lines,
+)
+from convoy.operators.shifts import (
+    completed_shifts,
+    driver_hours,
+    flagged_shifts,
+    shift_anomalies,
+    with_driver,
+)
 from convoy.operators.snapshots import as_of_snapshot, latest_snapshot
 from convoy.plans.ask import readonly_query
 from convoy.plans.dashboard import collect_insights, insights, lake_insights
@@ -74,17 +88,20 @@ def _shifts(hour_scale: int | None) -> FleetQuery:
     )
 
 
-def _tiles(fleet: Fleet) -> DataFrame:
+def _tiles(fleet: Fleet, **limits: int) -> DataFrame:
+    return source_tiles(
+        fleet("time_entries"), fleet("profiles"), fleet("fuel_reports"), **limits
+    )
+
+
+def _tiles_of_sets(fleet: Fleet) -> DataFrame:
+    """The same tiles, counted over the result sets that the dashboard is given."""
     top = schemas.DASHBOARD_TOP
     return kpi_tiles(
         _hours(top)(fleet), _economy(top)(fleet), _feed(fleet).limit(schemas.FEED_TOP)
     )
 
 
-def _tiles_uncapped(fleet: Fleet) -> DataFrame:
-    return kpi_tiles(_hours(None)(fleet), _economy(None)(fleet), _feed(fleet))
-
-
 def _severity_counts(fleet: Fleet) -> DataFrame:
     rated = severity_feed(_feed(fleet))
     return rated.groupBy("severity").agg(F.count(F.lit(1)).alias("records"))
@@ -104,6 +121,17 @@ def _result_text(form: Callable[[DataFrame], DataFrame], fleet: Fleet) -> DataFr
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _flags(fleet: Fleet) -> DataFrame:
+    """All broken rules of fills and shifts, as (category, all_flags)."""
+    fills = flagged_fills(fleet("fuel_reports"))
+    shifts = flagged_shifts(fleet("time_entries"), fleet("profiles"))
+    parts = [
+        df.select(F.lit(kind).alias("category"), "all_flags")
+        for kind, df in (("fuel", fills), ("shift", shifts))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def _cells(df: DataFrame) -> DataFrame:
     text = stringify(df)
     return text.select(F.to_json(F.array(*text.columns)).alias("line"))
@@ -129,8 +157,15 @@ FLEET_QUERIES: dict[str, FleetQuery] = {
     "detection_summary": lambda fleet: detection_summary(_feed(fleet), TODAY),
     "severity_feed": lambda fleet: severity_feed(_feed(fleet)),
     "severity_counts": _severity_counts,
-    "kpi_tiles": _tiles,
-    "kpi_tiles_uncapped": _tiles_uncapped,
+    "fault_pairs": lambda fleet: pair_counts(_flags(fleet), "all_flags", "category"),
+    "kpi_tiles": lambda fleet: _tiles(
+        fleet,
+        drivers=schemas.DASHBOARD_TOP,
+        units=schemas.DASHBOARD_TOP,
+        records=schemas.FEED_TOP,
+    ),
+    "kpi_tiles_uncapped": _tiles,
+    "kpi_tiles_of_sets": _tiles_of_sets,
     "driver_hours_share": lambda fleet: percent_of_max(
         _hours(schemas.DASHBOARD_TOP)(fleet), "driver", "hours", "h"
     ),
@@ -223,6 +258,10 @@ def _isolated(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "insight string, n_rows long, failed boolean")
 
 
+# The hot unit is to be cut into slices in small test data too.
+_HEAVY = 1000
+
+
 def _hot_unit(query: Callable[[DataFrame], DataFrame]) -> FleetQuery:
     """Two of three fills belong to one unit, all rows kept."""
 
@@ -258,12 +297,14 @@ QUERIES: dict[str, Query] = {
     **{name: _over_derived(query) for name, query in FLEET_QUERIES.items()},
     "fuel_deltas_hot_unit": _over_derived(
         _hot_unit(
-            lambda fills: fuel_deltas(fills).select(
+            lambda fills: fuel_deltas(fills, heavy_rows=_HEAVY).select(
                 "id", "unit_no", "prev_odometer", "distance_km", "economy", "km_per_litre"
             )
         )
     ),
-    "fuel_economy_hot_unit": _over_derived(_hot_unit(fuel_economy)),
+    "fuel_economy_hot_unit": _over_derived(
+        _hot_unit(lambda fills: fuel_economy(fills, heavy_rows=_HEAVY))
+    ),
     "anomaly_feed_extremes": _over_derived(_extremes),
     "profiles_minimized": _read_minimized,
     "extract_report": _extract_report,

@@ -166,7 +166,8 @@ def test_stringify_keeps_missing_apart_from_zero(spark):
     df = spark.createDataFrame([(1, None, 0.0)], "a int, b string, `c.d` double")
     assert rows(stringify(df)) == [("1", "", "0.0")]
     assert rows(text_lines(df)) == [("1 |  | 0.0",)]
-    assert text_lines(spark.range(80)).count() == 50
+    assert text_lines(spark.range(80)).count() == 80
+    assert text_lines(spark.range(80), limit=50).count() == 50
 
 
 def test_records_have_no_day_in_their_body(spark):

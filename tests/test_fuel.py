@@ -97,22 +97,31 @@ def _random_fills(spark, with_id: bool):
     return df if with_id else df.drop("id")
 
 
+@pytest.mark.parametrize("heavy_rows", [1, 4, 60, 10**6])
 @pytest.mark.parametrize("with_id", [True, False])
-def test_periods_give_the_window_result(spark, with_id):
+def test_slices_give_the_window_result(spark, with_id, heavy_rows):
     fills = _random_fills(spark, with_id).repartition(5)
+    hot = fills.withColumn("unit_no", F.when(F.col("odometer") % 3 != 0, "U0").otherwise(F.col("unit_no")))
+    hot = hot.unionByName(fills.withColumn("unit_no", F.lit(None).cast("string")))
+    for some in (fills, hot):
+        _same_as_one_window(some, with_id, heavy_rows)
+
+
+def _same_as_one_window(fills, with_id, heavy_rows):
     columns = ["unit_no", "report_date", "created_at", "odometer", "fuel_litres", "prev_odometer"]
     ties = ["id"] if with_id else ["odometer", "fuel_litres"]
     order = [F.col(c).asc_nulls_last() for c in ("report_date", "created_at", *ties)]
     whole = fills.withColumn(
         "prev_odometer", F.lag("odometer").over(Window.partitionBy("unit_no").orderBy(*order))
     ).select(*columns)
-    found = fuel_deltas(fills).select(*columns)
+    found = fuel_deltas(fills, heavy_rows=heavy_rows).select(*columns)
     assert whole.exceptAll(found).isEmpty() and found.exceptAll(whole).isEmpty()
 
 
 def test_a_unit_with_only_copies(spark):
     copy = (1, "U1", "2026-01-01", "t", 100.0, 50.0)
-    found = fuel_deltas(spark.createDataFrame([copy] * 500, REPORTS).drop("id"))
+    copies = spark.createDataFrame([copy] * 500, REPORTS).drop("id")
+    found = fuel_deltas(copies, heavy_rows=10)
     assert found.count() == 500
     assert found.where(F.col("prev_odometer").isNull()).count() == 1
 
@@ -123,7 +132,7 @@ def test_a_hot_unit_uses_several_tasks(spark):
         "concat('2026-01-01T', lpad(id % 24, 2, '0'), ':', id) as created_at",
         "cast(id as double) as odometer", "50D as fuel_litres",
     )
-    found = fuel_deltas(fills)
+    found = fuel_deltas(fills, heavy_rows=100)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         sizes = found.groupBy(F.spark_partition_id()).count().collect()
@@ -132,15 +141,20 @@ def test_a_hot_unit_uses_several_tasks(spark):
     assert len(sizes) > 1 and max(r["count"] for r in sizes) < 4000
 
 
-def test_nothing_runs_while_the_plan_is_built(spark):
+def test_one_count_tells_that_no_unit_is_heavy(spark):
     fills = _random_fills(spark, True)
     tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("building", "no job may run")
-    try:
-        fuel_deltas(fills), fuel_economy(fills), fuel_efficiency(fills)
-        assert not tracker.getJobIdsForGroup("building")
-    finally:
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for heavy_rows, most in ((10**6, 3), (5, 12)):
+        spark.sparkContext.setJobGroup(f"building-{heavy_rows}", "counts and sampled keys")
+        try:
+            fuel_deltas(fills, heavy_rows=heavy_rows)
+            assert 0 < len(tracker.getJobIdsForGroup(f"building-{heavy_rows}")) <= most
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_nothing_to_go_before(spark):
+    assert fuel_deltas(spark.createDataFrame([], REPORTS), heavy_rows=1).collect() == []
 
 
 def test_sums_do_not_depend_on_the_order_of_tasks(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from convoy.operators.anomalies import anomalies_latest
 from convoy.operators.fuel import fuel_anomalies, fuel_deltas, fuel_economy
@@ -41,17 +42,26 @@ def test_no_python_and_no_product(spark, name):
         assert bad not in text
 
 
-def test_fills_are_shuffled_once_for_the_window(landed):
-    """Beside the fills themselves only one narrow, pre-aggregated row per period moves."""
+def test_fills_are_read_and_shuffled_once(landed):
     for found in (
         fuel_deltas(landed("fuel_reports")),
         fuel_economy(landed("fuel_reports"), limit=25),
         fuel_anomalies(landed("fuel_reports"), ordered=False),
     ):
         text = plan(found)
-        # One exchange of the fills, one of what is left of them per period.
-        assert len(re.findall(r"Exchange hashpartitioning\(_key", text)) <= 2
-        assert "partial_max_by" in text
+        assert text.count("FileScan") == 1 and "Join" not in text
+        assert text.count("Exchange hashpartitioning(unit_no") == 1
+
+
+def test_only_a_heavy_unit_is_read_again_for_its_slices(landed):
+    """One exchange of all fills, one of the heavy units' slice ends."""
+    fills = landed("fuel_reports")
+    hot = fills.withColumn("unit_no", F.when(F.col("id") % 3 != 0, "U1").otherwise(F.col("unit_no")))
+    text = plan(fuel_deltas(hot, heavy_rows=20))
+    assert text.count("FileScan") == 2 and "SortMergeJoin" not in text
+    # The second exchange follows a partial aggregate.
+    assert len(re.findall(r"Exchange hashpartitioning\(unit_no", text)) == 2
+    assert text.count("partial_max_by") == 1
 
 
 def test_economy_keeps_the_top_only(landed):
@@ -60,8 +70,8 @@ def test_economy_keeps_the_top_only(landed):
 
 def test_the_feed_is_computed_once_for_the_insights(spark):
     text = plan(FLEET_QUERIES["text_lines"](derived(spark, SMALL)))
-    # Fuel economy and the feed read the fills, each for rows and for period ends.
-    assert text.count("lag(") == 4
+    # Fuel economy and the feed read the fills.
+    assert text.count("lag(") == 2
 
 
 def test_only_hits_are_sorted(landed):
@@ -122,3 +132,18 @@ def test_latest_day_prunes_partitions(spark, tmp_path):
     latest = anomalies_latest(stored)
     assert re.search(r"PartitionFilters: \[[^\]]*Subquery", plan(latest))
     assert latest.count() == 5
+
+
+@pytest.mark.parametrize("name", ["kpi_tiles", "kpi_tiles_uncapped"])
+def test_tiles_read_each_table_once(landed, name):
+    tiles = FLEET_QUERIES[name](landed)
+    tiles.collect()
+    explained = tiles._jdf.queryExecution().explainString(
+        tiles.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    # What ran, scalar subqueries included; an exchange used again is not read again.
+    final = re.findall(r"== Final Plan ==(.*?)== Initial Plan ==", explained, re.DOTALL)
+    scans = {n for part in final for n in re.findall(r"Scan parquet +\((\d+)\)", part)}
+    places = dict(re.findall(r"^\((\d+)\) Scan parquet.*?Location: \S+ \[(.*?)\]", explained, re.M | re.S))
+    read = sorted(places[n].rsplit("/", 1)[1] for n in scans)
+    assert read == ["fuel_reports", "profiles", "time_entries"]
