@@ -21,7 +21,12 @@ def _labelled(*parts: tuple[str, Column]) -> Column:
 
 def anomaly_feed(fuel: DataFrame, shift: DataFrame) -> DataFrame:
     """Fuel and shift hits as one bag of four-column records; duplicates stay."""
-    fuel_records = fuel.select(
+    return fuel_records(fuel).unionByName(shift_records(shift))
+
+
+def fuel_records(fuel: DataFrame, *carry: Column) -> DataFrame:
+    """Fuel hits as records, with further columns behind them."""
+    return fuel.select(
         F.lit("fuel").alias("category"),
         F.col("unit_no").alias("entity"),
         F.col("anomaly").alias("anomaly_type"),
@@ -30,8 +35,13 @@ def anomaly_feed(fuel: DataFrame, shift: DataFrame) -> DataFrame:
             ("distance", fixed_text(F.col("distance_km"), 1)),
             ("litres", fixed_text(F.col("fuel_litres"), 2)),
         ).alias("detail"),
+        *carry,
     )
-    shift_records = shift.select(
+
+
+def shift_records(shift: DataFrame, *carry: Column) -> DataFrame:
+    """Shift hits as records, with further columns behind them."""
+    return shift.select(
         F.lit("shift").alias("category"),
         F.col("driver").alias("entity"),
         F.col("anomaly").alias("anomaly_type"),
@@ -40,8 +50,8 @@ def anomaly_feed(fuel: DataFrame, shift: DataFrame) -> DataFrame:
             ("rate", fixed_text(F.col("hourly_rate"), 2)),
             ("unit", F.coalesce("unit_no", F.lit("None"))),
         ).alias("detail"),
+        *carry,
     )
-    return fuel_records.unionByName(shift_records)
 
 
 def summary_columns() -> list[Column]:

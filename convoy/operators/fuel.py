@@ -15,22 +15,25 @@ _CHRONOLOGY = ["report_date", "created_at"]
 _FILL = ["unit_no", "report_date", "odometer", "fuel_litres"]
 
 
-def _order(reports: DataFrame) -> list[str]:
+def fill_order(reports: DataFrame) -> list[str]:
     """Date, then entry time, then whatever makes the order of a day definite."""
     ties = ["id"] if "id" in reports.columns else ["odometer", "fuel_litres"]
     return _CHRONOLOGY + ties
 
 
-def fuel_deltas(reports: DataFrame, *, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def fuel_deltas(
+    reports: DataFrame, *, heavy_rows: int = HEAVY_ROWS, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Each fill with ``prev_odometer``, ``distance_km``, ``economy`` and ``km_per_litre``.
 
     ``economy`` is the unrounded ratio that averages use, ``km_per_litre`` the
     two-decimal one that is shown and compared with the thresholds. Both are
     NULL for a unit's first fill and where no litres were taken. Units with more
-    than ``heavy_rows`` fills may be spread over several tasks.
+    than ``heavy_rows`` fills may be spread over several tasks. Other columns are kept
+    only if named in ``carry``.
     """
-    order = _order(reports)
-    kept = reports.select(*dict.fromkeys(_FILL + order))
+    order = fill_order(reports)
+    kept = reports.select(*dict.fromkeys([*_FILL, *order, *carry]))
     previous = with_previous(
         kept, "unit_no", order, "odometer", "prev_odometer", heavy_rows=heavy_rows
     )
@@ -44,7 +47,7 @@ def fuel_deltas(reports: DataFrame, *, heavy_rows: int = HEAVY_ROWS) -> DataFram
 
 def fuel_efficiency(reports: DataFrame) -> DataFrame:
     """Every fill with distance and km/L, by unit and date."""
-    ordered = spread_sort(fuel_deltas(reports), *ascending("unit_no", *_order(reports)))
+    ordered = spread_sort(fuel_deltas(reports), *ascending("unit_no", *fill_order(reports)))
     return ordered.select(*_FILL, "distance_km", "km_per_litre")
 
 
@@ -89,7 +92,7 @@ def fuel_anomalies(
     deltas = fuel_deltas(reports)
     hits = deltas.withColumn("anomaly", fuel_label(low, high)).where(F.col("anomaly").isNotNull())
     if ordered:
-        hits = spread_sort(hits, *ascending("unit_no", *_order(reports)), settle=True)
+        hits = spread_sort(hits, *ascending("unit_no", *fill_order(reports)), settle=True)
     return hits.select(*_FILL, "distance_km", "km_per_litre", "anomaly")
 
 

@@ -36,15 +36,20 @@ def _hours(scale: int | None) -> Column:
 
 
 def completed_shifts(
-    entries: DataFrame, profiles: DataFrame, *, hour_scale: int | None = None
+    entries: DataFrame,
+    profiles: DataFrame,
+    *,
+    hour_scale: int | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Closed shifts of known drivers with their length in hours.
+    """Closed shifts of known drivers with their length in hours, and the columns in ``carry``.
 
     The length is taken before the join. Behind it, a filter on the length
     would make the optimizer parse both times again inside the join condition.
     """
-    timed = _closed(entries).select("employee_id", *_SHIFT, _hours(hour_scale).alias("hours"))
-    return with_driver(timed, profiles).select("driver", *_SHIFT, "hourly_rate", "hours")
+    kept = dict.fromkeys(["employee_id", *_SHIFT, *carry])
+    timed = _closed(entries).select(*kept, _hours(hour_scale).alias("hours"))
+    return with_driver(timed, profiles).select("driver", *_SHIFT, "hourly_rate", "hours", *carry)
 
 
 def driver_hours(
@@ -152,12 +157,13 @@ def shift_anomalies(
     max_hours: float = schemas.MAX_SHIFT_HOURS,
     hour_scale: int | None = None,
     ordered: bool = True,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Closed shifts that break a rule, with the rule's label in ``anomaly``.
 
     Rules see the unrounded hours; only the shown column has one decimal.
     """
-    shifts = completed_shifts(entries, profiles, hour_scale=hour_scale)
+    shifts = completed_shifts(entries, profiles, hour_scale=hour_scale, carry=carry)
     shifts = shifts.withColumn("hours", F.col("hours").cast("double"))
     hits = shifts.withColumn("anomaly", shift_label(max_hours)).where(
         F.col("anomaly").isNotNull()
@@ -172,4 +178,5 @@ def shift_anomalies(
         "odometer_in",
         "odometer_out",
         "anomaly",
+        *carry,
     )

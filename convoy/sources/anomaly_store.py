@@ -1,4 +1,4 @@
-"""Stored detection runs: JSON lines under ``anomalies/detect_date=<day>``."""
+"""Stored detection runs: JSON lines below ``anomalies/detect_date=<day>``, replaced by versions."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from convoy import schemas
 from convoy.operators.anomalies import summary_columns
-from convoy.sources.lake import ALL, LATEST, newest_filled_day, partition_days
+from convoy.sources.lake import ALL, LATEST, folder_bytes
+from convoy.sources.versions import current, publish
 
 _WITH_DAY = T.StructType(
     [*schemas.ANOMALY.fields, T.StructField(schemas.DETECT_KEY, T.StringType(), True)]
@@ -24,48 +25,44 @@ def runs_path(root: str) -> str:
     return f"{root}/detection_runs"
 
 
-def _day(path: str, day: str) -> str:
-    return f"{path}/{schemas.DETECT_KEY}={day}"
-
-
 def write_anomalies(feed: DataFrame, root: str, detect_date: str) -> dict:
     """Replace the records of one day, also by nothing, and return the run's summary.
 
     The rebalance evens out file sizes and splits an oversized partition. The
     counts are taken by the write, after that shuffle, so a lost executor
-    cannot count a record twice. The old records stay until the job commits; a
-    job without records replaces no partition by itself, so the day is then
-    emptied.
+    cannot count a record twice. Readers see the old records until the new version
+    is complete.
     """
-    path = _day(feed_path(root), detect_date)
     counts = Observation(f"detect-{detect_date}")
-    (
-        feed.select(*schemas.ANOMALY.names)
-        .hint("rebalance")
-        .observe(counts, *summary_columns())
-        .withColumn(schemas.DETECT_KEY, F.lit(detect_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", "false")
-        .partitionBy(schemas.DETECT_KEY)
-        .json(feed_path(root))
-    )
+    records = feed.select(*schemas.ANOMALY.names).hint("rebalance")
+    records = records.observe(counts, *summary_columns())
+
+    def write(path: str) -> None:
+        records.write.option("ignoreNullFields", "false").json(path)
+
+    publish(feed.sparkSession, feed_path(root), schemas.DETECT_KEY, detect_date, write)
     totals = {"total": 0, "fuel": 0, "shift": 0, **counts.get}
-    if not totals["total"]:
-        nothing = feed.sparkSession.createDataFrame([], schemas.ANOMALY)
-        nothing.coalesce(1).write.mode("overwrite").json(path)
-    return {schemas.DETECT_KEY: detect_date, **totals, "output": path}
+    place = f"{feed_path(root)}/{schemas.DETECT_KEY}={detect_date}"
+    return {schemas.DETECT_KEY: detect_date, **totals, "output": place}
 
 
 def write_run(spark: SparkSession, root: str, summary: dict) -> None:
     """Keep the summary of a run, so a run without records is still known."""
     row = tuple(summary[name] for name in schemas.RUN.names)
     one = spark.createDataFrame([row], schemas.RUN).coalesce(1)
-    one.write.mode("overwrite").json(_day(runs_path(root), summary[schemas.DETECT_KEY]))
+    publish(spark, runs_path(root), schemas.DETECT_KEY, summary[schemas.DETECT_KEY], one.write.json)
+
+
+def _stored(spark: SparkSession, base: str, schema: T.StructType, paths: list[str]) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", base).json(paths)
+    return rows.select(*schema.names)
 
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(_RUNS).json(runs_path(root))
+    days = current(spark, runs_path(root), schemas.DETECT_KEY)
+    return _stored(spark, runs_path(root), _RUNS, list(days.values()))
 
 
 def read_anomalies(spark: SparkSession, root: str, run: str = ALL, *, by_run: bool = False):
@@ -76,15 +73,21 @@ def read_anomalies(spark: SparkSession, root: str, run: str = ALL, *, by_run: bo
     from folder listings where no run is stored. With ``by_run`` it is the newest day
     that ran, which may have no records.
     """
-    path = feed_path(root)
+    days = current(spark, feed_path(root), schemas.DETECT_KEY)
     if run == LATEST:
-        days = partition_days(spark, runs_path(root), schemas.DETECT_KEY)
-        if days and not by_run:
+        runs = current(spark, runs_path(root), schemas.DETECT_KEY)
+        if runs and not by_run:
             filled = read_runs(spark, root).filter("total > 0")
             run = filled.agg(F.max(schemas.DETECT_KEY)).first()[0]
         else:
-            run = days[-1] if days else newest_filled_day(spark, path, schemas.DETECT_KEY)
-        if run is None:
-            return spark.createDataFrame([], _WITH_DAY)
-    target = path if run == ALL else _day(path, run)
-    return spark.read.schema(_WITH_DAY).option("basePath", path).json(target)
+            run = max(runs) if runs else _newest_filled(spark, days)
+    paths = list(days.values()) if run == ALL else [days[run]] if run in days else []
+    return _stored(spark, feed_path(root), _WITH_DAY, paths)
+
+
+def _newest_filled(spark: SparkSession, days: dict[str, str]) -> str | None:
+    """The newest day whose folder holds any bytes."""
+    for day, path in reversed(days.items()):
+        if folder_bytes(spark, path):
+            return day
+    return None

@@ -116,14 +116,11 @@ def finished_day(spark: SparkSession, root: str) -> str | None:
     return days[-1] if days else None
 
 
-def newest_filled_day(spark: SparkSession, path: str, key: str) -> str | None:
-    """The newest day whose folder holds any bytes."""
-    files = None
-    for day, folder in reversed(_partitions(spark, path, key)):
-        files = files or folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if any(s.getLen() > 0 for s in files.listStatus(folder)):
-            return day
-    return None
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The bytes of the files right below a folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(s.getLen() for s in files.listStatus(folder)) if files.exists(folder) else 0
 
 
 def choose_days(days: list[str], snapshot: str) -> list[str]:

@@ -102,6 +102,28 @@ def snapshot(spark: SparkSession, sf_dir: str, day: str) -> dict[str, DataFrame]
     return {name: make(spark, sf_dir, day) for name, make in TABLES.items()}
 
 
+# Dates up to which fills have arrived by each of three days.
+ARRIVED = {DAY_1: "2024-01-12", DAY_2: "2024-01-24", DAY_3: "2024-12-31"}
+
+
+def arriving(spark: SparkSession, sf_dir: str, day: str) -> dict[str, DataFrame]:
+    """The tables that detection reads, filling up over three days.
+
+    Some fills come days late, litres of the first day are corrected on the second, as are
+    rates; shifts that were open are closed, and some arrive on the last day only.
+    """
+    values = DAY_1 if day == DAY_1 else TODAY
+    late = "" if day == DAY_3 else " and id % 89 <> 0"
+    shifts = "true" if day == DAY_3 else "id % 7 <> 0"
+    return {
+        "profiles": profiles(spark, sf_dir, values),
+        "time_entries": time_entries(spark, sf_dir, values).filter(shifts),
+        "fuel_reports": fuel_reports(spark, sf_dir, values).filter(
+            f"report_date <= '{ARRIVED[day]}'{late}"
+        ),
+    }
+
+
 # A way to get an operational table by name.
 Fleet = Callable[[str], DataFrame]
 

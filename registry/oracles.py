@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from registry.fleet import DAY_1, DAY_2, DAY_3, TODAY
+from registry.fleet import ARRIVED, DAY_1, DAY_2, DAY_3, TODAY
 from registry.spark_queries import READONLY_SQL
 
 # ---------------------------------------------------------------- fleet tables
@@ -380,6 +380,66 @@ def _runs() -> str:
     return _both_days(f"{one(DAY_1, '_1')} union all {one(DAY_2, '_2')}")
 
 
+def _arriving(day: str) -> dict[str, Callable[[str], str]]:
+    """The tables as they had arrived by one of three days."""
+    values = DAY_1 if day == DAY_1 else TODAY
+    late = "true" if day == DAY_3 else "id % 89 <> 0"
+    shifts = "true" if day == DAY_3 else "id % 7 <> 0"
+    return {
+        "profiles": lambda _: _profiles(values),
+        "time_entries": lambda _: f"select * from ({_time_entries(values)}) where {shifts}",
+        "fuel_reports": lambda _: (
+            f"select * from ({_fuel_reports(values)}) "
+            f"where report_date <= '{ARRIVED[day]}' and {late}"
+        ),
+    }
+
+
+def _recomputed() -> str:
+    """The records of three days, each over its whole history."""
+    ctes: dict[str, str] = {}
+    parts = []
+    for i, day in enumerate((DAY_1, DAY_2, DAY_3)):
+        ctes |= _day_ctes(day, f"_{i}", tables=_arriving(day))
+        parts.append(
+            f"select category, entity, anomaly_type, detail, '{day}' as detect_date from feed_{i}"
+        )
+    return _with(ctes, " union all ".join(parts))
+
+
+def _external() -> str:
+    parts = [
+        f"select '{day}' as ingest_date, (select count(*) from time_entries{tag}) as shifts, "
+        f"(select count(clock_out) from time_entries{tag}) as closed, count(*) as records, "
+        f"count(distinct entity) as entities from feed{tag}"
+        for day, tag in ((DAY_1, "_1"), (DAY_2, "_2"))
+    ]
+    return _both_days(" union all ".join(parts))
+
+
+# Names and types of the registered columns, partition columns last.
+_CATALOG = {
+    "profiles": "id string, name string, hourly_rate double, ingest_date string",
+    "time_entries": "id bigint, employee_id string, unit_no string, clock_in string, "
+    "clock_out string, odometer_in double, odometer_out double, ingest_date string",
+    "fuel_reports": "id bigint, unit_no string, report_date string, created_at string, "
+    "odometer double, fuel_litres double, employee_id string, ingest_date string",
+    "truck_changes": "id bigint, ingest_date string",
+    "loads": "id bigint, employee_id string, ingest_date string",
+    "anomalies": "category string, entity string, anomaly_type string, detail string, "
+    "detect_date string, run string",
+}
+
+
+def _catalog() -> str:
+    parts = [
+        f"select '{table}' as \"table\", '- {table}({columns})' as line, count(*) as rows "
+        f"from {'feed' if table == 'anomalies' else table}"
+        for table, columns in _CATALOG.items()
+    ]
+    return _with(_day_ctes(TODAY), " union all ".join(parts))
+
+
 def _report() -> str:
     counts = " union all ".join(
         f"select '{t}' as \"table\", count(*) as rows from {t}" for t in _TABLES
@@ -487,6 +547,9 @@ ORACLES: dict[str, str] = {
     "lake_as_of": _both_days(_snapshot("time_entries", "_1", DAY_1)),
     "extract_report": _report(),
     "evolved_table": _evolved(),
+    "incremental_detection": _recomputed(),
+    "external_tables": _external(),
+    "catalog_description": _catalog(),
     "audit_sql": _audit(),
     "readonly_query": _with(
         _day_ctes(TODAY),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,12 +45,29 @@ from convoy.plans.ask import readonly_query
 from convoy.plans.dashboard import collect_insights, insights, lake_insights
 from convoy.plans.detect import detect, detection_feed
 from convoy.plans.extract import run_extract
+from convoy.plans.incremental import detect_changes
 from convoy.session import scratch_path
 from convoy.sources.anomaly_store import read_anomalies, read_runs
 from convoy.sources.lake import ALL, LATEST, day_path, read_table
-from convoy.sources.catalog import register_views
+from convoy.sources.catalog import (
+    catalog_text,
+    describe_catalog,
+    register_tables,
+    register_views,
+)
 from convoy.sources.operational import read_files
-from registry.fleet import DAY_1, DAY_2, DAY_3, TABLES, TODAY, Fleet, derived, query_log, snapshot
+from registry.fleet import (
+    DAY_1,
+    DAY_2,
+    DAY_3,
+    TABLES,
+    TODAY,
+    Fleet,
+    arriving,
+    derived,
+    query_log,
+    snapshot,
+)
 
 # Over operational tables, wherever they come from.
 FleetQuery = Callable[[Fleet], DataFrame]
@@ -179,6 +198,9 @@ FLEET_QUERIES: dict[str, FleetQuery] = {
 # ------------------------------------------- queries that fill a lake or a catalog
 
 
+_DETECTED = ("profiles", "time_entries", "fuel_reports")
+
+
 def _two_days(spark: SparkSession, sf: str, *tables: str) -> str:
     """A lake in the shared folder with two days of the named tables."""
     root = scratch_path(spark, "lake")
@@ -243,6 +265,45 @@ def _read_minimized(spark: SparkSession, sf: str) -> DataFrame:
     return read_files(spark, path)
 
 
+def _incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of three days, each found from the changes since the one before."""
+    root = scratch_path(spark, "lake")
+    for day in (DAY_1, DAY_2, DAY_3):
+        run_extract(spark, arriving(spark, sf, day), root, day)
+        detect_changes(spark, root, day)
+    return read_anomalies(spark, root)
+
+
+def _external(spark: SparkSession, sf: str) -> DataFrame:
+    """Shifts and records of external tables, which were registered before the second day."""
+    database, root = f"fleet_{uuid.uuid4().hex}", scratch_path(spark, "lake")
+    for day in (DAY_1, DAY_2):
+        run_extract(spark, {t: TABLES[t](spark, sf, day) for t in _DETECTED}, root, day)
+        detect(spark, root, day, snapshot=day)
+        register_tables(spark, root, database)
+    entries = spark.table(f"{database}.time_entries").groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("shifts"), F.count("clock_out").alias("closed")
+    )
+    records = spark.table(f"{database}.anomalies").groupBy("detect_date").agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("entity").alias("entities")
+    )
+    return entries.join(records, F.col("ingest_date") == F.col("detect_date")).drop("detect_date")
+
+
+def _catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The description of the registered tables, a line for each with its rows."""
+    database, root = f"fleet_{uuid.uuid4().hex}", scratch_path(spark, "lake")
+    run_extract(spark, snapshot(spark, sf, TODAY), root, TODAY)
+    detect(spark, root, TODAY)
+    names = register_tables(spark, root, database)
+    lines = catalog_text(describe_catalog(spark, database))
+    counts = [
+        spark.table(f"{database}.{n}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows")
+        for n in names
+    ]
+    return lines.join(reduce(DataFrame.unionByName, counts), "table")
+
+
 def _ask(spark: SparkSession, sf: str) -> DataFrame:
     """A guarded question over the extracted and registered tables."""
     root = scratch_path(spark, "lake")
@@ -322,6 +383,9 @@ QUERIES: dict[str, Query] = {
     "anomalies_latest_by_max": _two_runs(
         lambda spark, root: anomalies_latest(read_anomalies(spark, root))
     ),
+    "incremental_detection": _incremental,
+    "external_tables": _external,
+    "catalog_description": _catalog,
     "audit_sql": lambda spark, sf: audit_sql(query_log(spark, sf)),
     "readonly_query": _ask,
     "insights_isolated": _isolated,

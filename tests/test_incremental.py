@@ -1,0 +1,146 @@
+"""Detection from changes gives what a run over the whole history gives."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from convoy.plans import incremental
+from convoy.plans.detect import detect
+from convoy.plans.extract import run_extract
+from convoy.plans.incremental import detect_changes, from_changes
+from convoy.sources.anomaly_store import read_anomalies, read_runs
+from convoy.sources.changes import came, difference, read_changes, went, write_changes
+from convoy.sources.lake import read_table, write_snapshot
+from tests.helpers import rows
+
+DAYS = ["2026-07-01", "2026-07-02", "2026-07-03", "2026-07-04"]
+FILLS = "id long, unit_no string, report_date string, created_at string, odometer double, fuel_litres double"
+SHIFTS = (
+    "id long, employee_id string, unit_no string, clock_in string, clock_out string, "
+    "odometer_in double, odometer_out double"
+)
+PEOPLE = "id string, name string, hourly_rate double"
+
+
+def land(spark, root, day, fills, shifts, people):
+    tables = {
+        "fuel_reports": spark.createDataFrame(fills, FILLS),
+        "time_entries": spark.createDataFrame(shifts, SHIFTS),
+        "profiles": spark.createDataFrame(people, PEOPLE),
+    }
+    run_extract(spark, tables, root, day)
+
+
+def fill(i, unit, day, odometer, litres=50.0):
+    return (i, unit, f"2026-06-{day:02d}", f"t{i:04d}", odometer, litres)
+
+
+def shift(i, who, hours):
+    end = None if hours is None else f"2026-06-{2 + hours // 24:02d}T{hours % 24:02d}:00:00Z"
+    return (i, who, "U1", "2026-06-02T00:00:00Z", end, 1.0, 2.0)
+
+
+FIRST = (
+    [fill(1, "U1", 1, 0.0), fill(2, "U1", 5, 300.0), fill(3, "U2", 1, 10.0, 0.0), fill(4, None, 2, 5.0)],
+    [shift(1, "D1", 5), shift(2, "D2", 20), shift(3, "D1", None)],
+    [("D1", "Ann", 20.0), ("D2", "Bo", None)],
+)
+
+
+def test_new_rows_open_nothing_and_read_no_snapshot(spark, root):
+    land(spark, root, DAYS[0], *FIRST)
+    detect_changes(spark, root, DAYS[0])
+    fills, shifts, people = (list(part) for part in FIRST)
+    fills += [fill(5, "U1", 6, 310.0), fill(6, "U3", 6, 1.0), fill(7, None, 6, 4.0), fill(8, "U1", 7, 900.0)]
+    shifts[2] = shift(3, "D1", 40)  # closed in the meantime
+    shifts.append(shift(4, "D2", 30))
+    land(spark, root, DAYS[1], fills, shifts, people)
+    for table in ("fuel_reports", "time_entries", "profiles"):
+        write_changes(spark, root, table, DAYS[1], since=DAYS[0])
+    found = from_changes(spark, root, DAYS[1], DAYS[0])
+    assert (found.reopened_units, found.reopened_employees) == (0, 0)
+    read = found.records.inputFiles() + found.last_fills.inputFiles()
+    assert read and not [f for f in read if "/raw/fuel_reports/" in f or "/raw/time_entries/" in f]
+    assert [f for f in read if f"/changes/fuel_reports/ingest_date={DAYS[1]}" in f]
+    summary = detect_changes(spark, root, DAYS[1])
+    assert summary["reopened_units"] == 0 and summary["total"] == 7
+    kinds = {(r["entity"], r["anomaly_type"]) for r in read_anomalies(spark, root, DAYS[1]).collect()}
+    assert (None, "odometer_backwards") in kinds and ("Ann", "excessive_shift") in kinds
+
+
+def test_late_corrected_and_deleted_rows(spark, root, tmp_path):
+    land(spark, root, DAYS[0], *FIRST)
+    other = root
+    detect_changes(spark, root, DAYS[0])
+    fills, shifts, people = (list(part) for part in FIRST)
+    fills.append(fill(9, "U1", 3, 400.0))  # between two known fills
+    fills[2] = fill(3, "U2", 1, 10.0, 40.0)  # a correction
+    shifts = shifts[1:]  # a deleted shift
+    people[1] = ("D2", "Bo", 30.0)
+    land(spark, root, DAYS[1], fills, shifts, people)
+    summary = detect_changes(spark, root, DAYS[1])
+    assert (summary["reopened_units"], summary["reopened_employees"]) == (2, 2)
+    mine = sorted(rows(read_anomalies(spark, root, DAYS[1])), key=str)
+    detect(spark, other, DAYS[1], snapshot=DAYS[1])
+    assert mine == sorted(rows(read_anomalies(spark, root, DAYS[1])), key=str)
+
+
+def test_random_days_match_full_runs(spark, root):
+    rng = random.Random(4)
+    fills, shifts, people = {}, {}, {f"D{i}": (f"D{i}", f"N{i % 3}", 20.0) for i in range(5)}
+    for n, day in enumerate(DAYS):
+        for _ in range(25):
+            i = len(fills) + 1
+            fills[i] = fill(i, rng.choice(["U1", "U2", "U3", None]), rng.randint(1, 6) + 6 * n, rng.uniform(0, 2000), rng.choice([0.0, 50.0, None]))
+            shifts[i] = shift(i, rng.choice([*people, "X", None]), rng.choice([0, 5, 17, None]))
+        if n in (1, 3):
+            some = rng.sample(sorted(fills), 4)
+            fills[some[0]] = fill(some[0], "U2", 2, 7.0)
+            del fills[some[1]], shifts[some[2]]
+            shifts[some[3]] = shift(some[3], "D1", 18)
+            people["D1"] = ("D1", "N1", rng.choice([None, 0.0, 21.0]))
+            people.pop("D4", None)
+        land(spark, root, day, list(fills.values()), list(shifts.values()), list(people.values()))
+        summary = detect_changes(spark, root, day)
+        mine = sorted(rows(read_anomalies(spark, root, day)), key=str)
+        assert len(mine) == summary["total"]
+        detect(spark, root, day, snapshot=day)
+        assert mine == sorted(rows(read_anomalies(spark, root, day)), key=str)
+    # A day again, from the state before it.
+    again = detect_changes(spark, root, DAYS[2])
+    totals = {r["detect_date"]: r["total"] for r in read_runs(spark, root).collect()}
+    assert again["total"] == totals[DAYS[2]]
+
+
+def test_changes_are_a_difference_of_bags(spark, root):
+    old = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", None), (None, 2.0)], "k string, v double")
+    new = spark.createDataFrame([("a", 1.0), ("b", None), ("b", None), ("c", 3.0), (None, 2.0)], "k string, v double")
+    found = difference(new, old)
+    assert sorted(rows(came(found)), key=str) == [("b", None), ("c", 3.0)]
+    assert rows(went(found)) == [("a", 1.0)]
+    assert sorted(rows(came(difference(new, None))), key=str) == sorted(rows(new), key=str)
+    assert difference(new, new).isEmpty()
+
+
+def test_changes_follow_the_snapshots(spark, root):
+    with pytest.raises(FileNotFoundError):
+        read_changes(spark, root, "loads", DAYS[0])
+    for day, ids in zip(DAYS, ([1, 2], [2, 3, 3], [2, 3, 3]), strict=False):
+        loads = spark.createDataFrame([(i, f"D{i}") for i in ids], "id long, employee_id string")
+        write_snapshot(loads.withColumn("note", F.lit(day)), root, "loads", day)
+        write_changes(spark, root, "loads", day)
+    copies = [
+        {r["id"]: r["copies"] for r in read_changes(spark, root, "loads", day).collect()}
+        for day in DAYS[:3]
+    ]
+    assert copies == [{1: 1, 2: 1}, {1: -1, 3: 2}, {}]
+    assert read_table(spark, root, "loads").count() == 3
+
+
+def test_the_state_holds_a_row_per_unit(spark, root):
+    land(spark, root, DAYS[0], *FIRST)
+    found = incremental.from_scratch(spark, root, DAYS[0])
+    assert sorted(rows(found.last_fills, "unit_no", "id"), key=str) == [("U1", 2), ("U2", 3), (None, 4)]

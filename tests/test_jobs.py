@@ -18,7 +18,8 @@ from convoy.sources.anomaly_store import (
     write_run,
 )
 from convoy.sources.lake import read_table, write_snapshot
-from tests.helpers import ENTRIES, PROFILES, reports, rows, shift
+from convoy.sources.versions import current, publish
+from tests.helpers import ENTRIES, PROFILES, RECORDS, reports, rows, shift
 
 DAY_1, DAY_2 = "2026-07-01", "2026-07-02"
 
@@ -36,10 +37,11 @@ FAULTY = [(0.0, 50.0), (10.0, 50.0), (300.0, None), (290.0, 0.0)]
 SOUND = [(0.0, 50.0), (100.0, 50.0)]
 
 
-def lines(root, day):
+def lines(spark, root, day):
+    place = current(spark, feed_path(root), "detect_date")[day]
     return [
         json.loads(line)
-        for file in sorted(Path(feed_path(root), f"detect_date={day}").glob("part-*"))
+        for file in sorted(Path(place).glob("part-*"))
         for line in file.read_text().splitlines()
     ]
 
@@ -54,7 +56,7 @@ def test_run_writes_records_and_summary(spark, root):
         "shift": 0,
         "output": f"{feed_path(root)}/detect_date={DAY_1}",
     }
-    written = lines(root, DAY_1)
+    written = lines(spark, root, DAY_1)
     assert sorted(r["anomaly_type"] for r in written) == [
         "implausible_low_economy",
         "zero_or_missing_litres",
@@ -68,7 +70,7 @@ def test_missing_entity_is_written_as_null(spark, root):
     nameless = reports(spark, (0.0, 0.0)).withColumn("unit_no", F.lit(None).cast("string"))
     run_extract(spark, {"fuel_reports": nameless}, root, DAY_1)
     detect(spark, root, DAY_1)
-    assert lines(root, DAY_1)[0]["entity"] is None
+    assert lines(spark, root, DAY_1)[0]["entity"] is None
 
 
 def test_rerun_replaces_the_day(spark, root):
@@ -92,7 +94,7 @@ def test_empty_run(spark, root):
     assert read_anomalies(spark, root, "latest").count() == 2
     land(spark, root, DAY_2, *SOUND)
     assert detect(spark, root, DAY_2)["total"] == 0
-    assert lines(root, DAY_2) == []
+    assert lines(spark, root, DAY_2) == []
     # The newest day with records is shown, unless the runs themselves are asked for.
     assert {r["detect_date"] for r in read_anomalies(spark, root, "latest").collect()} == {DAY_1}
     assert anomalies_latest(read_anomalies(spark, root)).count() == 2
@@ -180,3 +182,41 @@ def test_a_failing_job_leaves_the_old_day(spark, root):
     with pytest.raises(Exception, match="lost"):
         write_snapshot(broken, root, "fuel_reports", DAY_1)
     assert read_table(spark, root, "fuel_reports").count() == 4
+
+
+def test_a_reader_during_a_rewrite_sees_one_whole_day(spark, root):
+    land(spark, root, DAY_1, *FAULTY)
+    detect(spark, root, DAY_1)
+    old = rows(read_anomalies(spark, root, "latest"))
+    begun = read_anomalies(spark, root)
+    seen = []
+    new = spark.createDataFrame([("fuel", "U9", "odometer_backwards", "x")], RECORDS)
+
+    def write(path):
+        seen.append(rows(read_anomalies(spark, root)))
+        new.write.json(path)
+        seen.append(rows(read_anomalies(spark, root)))
+
+    publish(spark, feed_path(root), "detect_date", DAY_1, write)
+    assert seen == [old, old]
+    assert rows(read_anomalies(spark, root), "entity") == [("U9",)]
+    # A query that was planned before still finds its files, through one rewrite.
+    assert rows(begun) == old
+    write_anomalies(new.limit(0), root, DAY_1)
+    assert read_anomalies(spark, root).isEmpty()
+
+
+def test_versions_are_removed_once_two_newer_ones_are_there(spark, root):
+    one = spark.createDataFrame([("fuel", "U1", "t", "x")], RECORDS)
+    for _ in range(4):
+        write_anomalies(one, root, DAY_1)
+    versions = list(Path(feed_path(root), f"detect_date={DAY_1}").glob("run=*"))
+    assert len(versions) == 2 and read_anomalies(spark, root).count() == 1
+    # What a writer left that never ended is not read, and goes with the next version but one.
+    left = Path(feed_path(root), f"detect_date={DAY_1}", "run=00000000000000000001-x")
+    left.mkdir()
+    (left / "part-0.json").write_text('{"category": "fuel"}')
+    Path(feed_path(root), f"detect_date={DAY_2}", "run=1").mkdir(parents=True)
+    assert read_anomalies(spark, root).count() == 1
+    write_anomalies(one, root, DAY_1)
+    assert not left.exists()

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import shutil
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from convoy.plans.extract import run_extract
 from convoy.session import scratch_path, shared_folder, shuffle_partitions
@@ -11,6 +13,7 @@ from convoy.sources.catalog import (
     describe_catalog,
     register_tables,
     register_views,
+    synchronize_tables,
 )
 from convoy.sources.lake import (
     ALL,
@@ -176,6 +179,14 @@ def test_views_tables_and_description(spark, root):
 
     assert register_tables(spark, root, "fleet_test") == ["profiles", "loads"]
     assert spark.table("fleet_test.loads").count() == 2
+    again = synchronize_tables(spark, root, "fleet_test")
+    assert again["loads"] == {"added": 0, "dropped": 0, "columns": []}
+    shutil.rmtree(f"{root}/raw/loads/ingest_date=2026-07-01")
+    write_snapshot(loads.withColumn("weight", F.lit(2.5)), root, "loads", "2026-07-03")
+    again = synchronize_tables(spark, root, "fleet_test")
+    assert again["loads"] == {"added": 1, "dropped": 1, "columns": ["weight"]}
+    found = spark.table("fleet_test.loads").orderBy("ingest_date")
+    assert rows(found, "ingest_date", "weight") == [("2026-07-02", None), ("2026-07-03", 2.5)]
     described = describe_catalog(spark, "fleet_test").where("table = 'loads'")
     assert rows(described.orderBy("position"), "column", "type")[-1] == ("ingest_date", "string")
 
