@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 
 from convoy import schemas
 from convoy.functions.numeric import nan_to_null
+from convoy.sources.footers import KEPT, schema_text, survey
 from convoy.sources.operational import drop_sensitive
+from convoy.sources.versions import current, publish
 
 LATEST = "latest"
 ALL = "all"
@@ -58,7 +60,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 def file_schema(df: DataFrame, table: str) -> str:
     """The schema, as JSON, of the files that ``write_snapshot`` makes of ``df``."""
-    return _cast_declared(drop_sensitive(df), table).schema.json()
+    return schema_text(_cast_declared(drop_sensitive(df), table).schema)
 
 
 def _cast_declared(df: DataFrame, table: str) -> DataFrame:
@@ -153,20 +155,16 @@ def read_table(
 def _by_schema(spark: SparkSession, root: str, table: str, days: list[str]) -> list[DataFrame]:
     """One scan per distinct file schema; a table has few over its life.
 
-    Days that an extract has reported are grouped without opening a file. Of other days
-    every footer is read, since their files may differ from each other.
+    Days that an extract has reported are grouped without opening a file. Files of other days
+    may differ from each other, so their footers count.
     """
     known = known_schemas(spark, root, table)
     groups: dict[str, list[str]] = {}
     for day in days:
         if day in known:
             groups.setdefault(known[day], []).append(day_path(root, table, day))
-    foreign = [
-        file for day in days if day not in known for file in _files(spark, root, table, day)
-    ]
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        found = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), foreign))
-    for file, schema in zip(foreign, found, strict=True):
+    foreign = [day for day in days if day not in known]
+    for file, schema in _file_schemas(spark, root, table, foreign):
         groups.setdefault(schema, []).append(file)
     return [
         _several(spark, root, table, T.StructType.fromJson(json.loads(schema)), paths)
@@ -174,13 +172,71 @@ def _by_schema(spark: SparkSession, root: str, table: str, days: list[str]) -> l
     ]
 
 
-def _files(spark: SparkSession, root: str, table: str, day: str) -> list[str]:
-    """The data files of one day."""
+def survey_path(root: str, table: str) -> str:
+    return f"{root}/schema_surveys/{table}"
+
+
+def _file_schemas(
+    spark: SparkSession, root: str, table: str, days: list[str]
+) -> list[tuple[str, str]]:
+    """(file, schema) of all files of days that no extract has reported.
+
+    Remembered surveys count where names and sizes of the files are still the same; the
+    footers of the rest are read in tasks. Only a file system that tasks cannot open is left to
+    Spark's own inference, a file at a time.
+    """
+    files = {day: _files(spark, root, table, day) for day in days}
+    found = _remembered(spark, root, table, files)
+    rest = [file for day in days for file in files[day] if file[0] not in found]
+    if rest:
+        rows = survey(spark, rest).collect()
+        found |= {r["file"]: r["file_schema"] for r in rows if r["file_schema"]}
+        closed = [file for file, _ in rest if file not in found]
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            kinds = pool.map(lambda f: schema_text(spark.read.parquet(f).schema), closed)
+            found |= dict(zip(closed, kinds, strict=True))
+    return [(file, found[file]) for day in days for file, _ in files[day]]
+
+
+def _remembered(
+    spark: SparkSession, root: str, table: str, files: dict[str, list[tuple[str, int]]]
+) -> dict[str, str]:
+    """Schemas from kept surveys of days whose files have not changed since."""
+    kept = current(spark, survey_path(root, table), schemas.INGEST_KEY) if files else {}
+    paths = [kept[day] for day in files if day in kept]
+    if not paths:
+        return {}
+    rows = spark.read.schema(KEPT).json(paths).collect()
+    before = {(r["file"], r["bytes"]): r["file_schema"] for r in rows}
+    return {
+        file[0]: before[file] for listed in files.values() for file in listed if file in before
+    }
+
+
+def remember_schemas(spark: SparkSession, root: str, table: str) -> int:
+    """Survey the days that no extract has reported and that changed; how many files were opened."""
+    days = partition_days(spark, table_path(root, table), schemas.INGEST_KEY)
+    reported = known_schemas(spark, root, table)
+    files = {day: _files(spark, root, table, day) for day in days if day not in reported}
+    known = _remembered(spark, root, table, files)
+    opened = 0
+    for day, listed in files.items():
+        if listed and any(file not in known for file, _ in listed):
+            rows = survey(spark, listed).filter("file_schema IS NOT NULL")
+            publish(spark, survey_path(root, table), schemas.INGEST_KEY, day, rows.write.json)
+            opened += len(listed)
+    return opened
+
+
+def _files(spark: SparkSession, root: str, table: str, day: str) -> list[tuple[str, int]]:
+    """The data files of one day and their sizes: one listing, none is opened."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(day_path(root, table, day))
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in files.listStatus(folder)]
+    listed = [(s.getPath().getName(), s.getLen()) for s in files.listStatus(folder)]
     return [
-        f"{day_path(root, table, day)}/{n}" for n in sorted(names) if not n.startswith(("_", "."))
+        (f"{day_path(root, table, day)}/{name}", size)
+        for name, size in sorted(listed)
+        if not name.startswith(("_", "."))
     ]
 
 

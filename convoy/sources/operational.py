@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from convoy import schemas
 
 # Fixed value: rows fetched per round trip.
 PAGE_ROWS = 1000
+# Sampled keys for each range of a text key.
+BOUND_SAMPLE = 64
 
 
 def drop_sensitive(df: DataFrame) -> DataFrame:
@@ -34,6 +37,48 @@ def jdbc_ranges(key: str, low: int, high: int, partitions: int) -> dict[str, str
     }
 
 
+def quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def text_ranges(key: str, bounds: list[str]) -> list[str]:
+    """Predicates that cut a table into half-open ranges of a text key.
+
+    ``bounds`` are in the order of whoever evaluates them. The outermost ranges are open, and
+    rows without a key belong to the first, so every row fulfils exactly one predicate.
+    """
+    if not bounds:
+        return ["1 = 1"]
+    named = [quoted(b) for b in bounds]
+    inner = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(named, named[1:], strict=False)]
+    return [f"{key} < {named[0]} OR {key} IS NULL", *inner, f"{key} >= {named[-1]}"]
+
+
+def sampled_bounds(
+    keys: DataFrame, partitions: int, per_partition: int = BOUND_SAMPLE
+) -> list[str]:
+    """Up to ``partitions`` - 1 keys that part the rows about evenly.
+
+    ``keys`` has one column. Its rows are sampled by hash, so that equal keys are sampled
+    alike and the same table gives the same bounds; the sample is small whatever the table's size.
+    """
+    name = f"`{keys.columns[0]}`"
+    rows = keys.select(F.col(name).cast("string").alias("key")).filter("key IS NOT NULL")
+    total, fineness = rows.count(), 1 << 40
+    rate = min(fineness, -(-partitions * per_partition * fineness // max(total, 1)))
+    some = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    picked = some.filter(F.pmod(F.xxhash64("key"), F.lit(fineness)) < rate)
+    # A key that more rows have than a part should hold is a bound in any case.
+    heavy = some.filter(F.col("n") * partitions > total)
+    listed = picked.unionByName(heavy).distinct().orderBy("key").collect()
+    share, seen, bounds = sum(r["n"] for r in listed) / partitions, 0, []
+    for row in listed:
+        if seen >= share * (len(bounds) + 1) and len(bounds) < partitions - 1:
+            bounds.append(row["key"])
+        seen += row["n"]
+    return bounds
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -46,18 +91,28 @@ def read_jdbc(
 ) -> DataFrame:
     """A whole database table, minus sensitive columns.
 
-    With a numeric ``key`` the read is split over ``partitions`` tasks between
-    the key's bounds, which one pushed-down query finds first.
+    With a ``key`` the read is split over ``partitions`` tasks: a numeric key between its
+    bounds, which one pushed-down query finds first; any other by ranges of its text between
+    sampled keys. These the database itself puts in order, since its collation need not
+    be that of Spark.
     """
 
     def load(**more: str) -> DataFrame:
         settings = {"url": url, "fetchsize": str(page_rows), **options, **more}
         return spark.read.format("jdbc").options(**settings).load()
 
-    ranges: dict[str, str] = {}
-    if key is not None:
-        bounds = load(query=f"select min({key}) as lo, max({key}) as hi from {table}")
-        low, high = bounds.select(F.col("lo").cast("long"), F.col("hi").cast("long")).first()
-        if low is not None:
-            ranges = jdbc_ranges(key, low, high, partitions)
-    return drop_sensitive(load(dbtable=table, **ranges))
+    if key is None:
+        return drop_sensitive(load(dbtable=table))
+    bounds = load(query=f"select min({key}) as lo, max({key}) as hi from {table}")
+    if isinstance(bounds.schema[0].dataType, T.NumericType):
+        low, high = bounds.select(F.col(bounds.columns[0]).cast("long"), F.col(bounds.columns[1]).cast("long")).first()
+        ranges = {} if low is None else jdbc_ranges(key, low, high, partitions)
+        return drop_sensitive(load(dbtable=table, **ranges))
+    named = sampled_bounds(load(query=f"select {key} from {table}"), partitions)
+    if named:
+        some = ", ".join(map(quoted, named))
+        ordered = f"select {key} from {table} where {key} in ({some}) group by {key} order by {key}"
+        named = [r[0] for r in load(query=ordered).coalesce(1).collect()]
+    properties = {"fetchsize": str(page_rows), **options}
+    parts = spark.read.jdbc(url, table, predicates=text_ranges(key, named), properties=properties)
+    return drop_sensitive(parts)

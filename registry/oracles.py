@@ -549,6 +549,11 @@ ORACLES: dict[str, str] = {
     "evolved_table": _evolved(),
     "incremental_detection": _recomputed(),
     "external_tables": _external(),
+    "split_reads": _with(
+        _day_ctes(TODAY),
+        "select case when employee_id is null then 'none' else 'driver' end as key, "
+        "1 as ranges, count(*) as rows from time_entries group by all",
+    ),
     "catalog_description": _catalog(),
     "audit_sql": _audit(),
     "readonly_query": _with(

@@ -55,7 +55,7 @@ from convoy.sources.catalog import (
     register_tables,
     register_views,
 )
-from convoy.sources.operational import read_files
+from convoy.sources.operational import read_files, sampled_bounds, text_ranges
 from registry.fleet import (
     DAY_1,
     DAY_2,
@@ -81,7 +81,6 @@ SELECT p.name AS driver, fr.unit_no, count(*) AS fills,
 FROM fuel_reports fr JOIN profiles p ON fr.employee_id = p.id
 GROUP BY p.name, fr.unit_no
 ORDER BY fills DESC, driver, fr.unit_no
-LIMIT 100
 """
 
 # ------------------------------------------------- queries over the fleet tables
@@ -304,6 +303,19 @@ def _catalog(spark: SparkSession, sf: str) -> DataFrame:
     return lines.join(reduce(DataFrame.unionByName, counts), "table")
 
 
+def _split_reads(spark: SparkSession, sf: str) -> DataFrame:
+    """How many of the ranges of a text key each shift falls into, its driver's or none."""
+    path = scratch_path(spark, "source")
+    TABLES["time_entries"](spark, sf).write.parquet(path)
+    entries = read_files(spark, path)
+    ranges = text_ranges("employee_id", sampled_bounds(entries.select("employee_id"), 16))
+    hits = [F.coalesce(F.expr(f"cast({one} as int)"), F.lit(0)) for one in ranges]
+    times = reduce(lambda a, b: a + b, hits)
+    known = F.when(F.col("employee_id").isNull(), "none").otherwise("driver")
+    placed = entries.select(known.alias("key"), times.alias("ranges"))
+    return placed.groupBy("key", "ranges").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _ask(spark: SparkSession, sf: str) -> DataFrame:
     """A guarded question over the extracted and registered tables."""
     root = scratch_path(spark, "lake")
@@ -385,6 +397,7 @@ QUERIES: dict[str, Query] = {
     ),
     "incremental_detection": _incremental,
     "external_tables": _external,
+    "split_reads": _split_reads,
     "catalog_description": _catalog,
     "audit_sql": lambda spark, sf: audit_sql(query_log(spark, sf)),
     "readonly_query": _ask,

@@ -13,7 +13,7 @@ from convoy.operators.governance import (
     audit_sql,
 )
 from convoy.operators.shifts import completed_shifts
-from convoy.plans.ask import Blocked, guard, readonly_query, run_file, run_readonly
+from convoy.plans.ask import Blocked, _refuse, guard, readonly_query, run_file, run_readonly
 from tests.helpers import ENTRIES, PROFILES, reports, rows, shift
 
 CASES = [
@@ -167,3 +167,54 @@ def test_query_files(spark, tmp_path):
     file = tmp_path / "q.sql"
     file.write_text("-- a comment\nSELECT id FROM range(2000);\n")
     assert run_file(spark, str(file)).count() == 2000
+
+
+HIDDEN = [
+    "SELECT * FROM (SELECT * FROM parquet.`{p}`)",
+    "WITH a AS (SELECT * FROM parquet.`{p}`) SELECT * FROM a",
+    "WITH a AS (WITH b AS (SELECT * FROM orc.`{p}`) SELECT * FROM b) SELECT * FROM a",
+    "SELECT 1 WHERE EXISTS (SELECT 1 FROM json.`{p}`)",
+    "SELECT 1 WHERE 1 IN (SELECT id FROM text.`{p}`)",
+    "SELECT CASE WHEN (SELECT max(id) FROM csv.`{p}`) > 1 THEN 1 END",
+    "SELECT * FROM range(3) r JOIN LATERAL (SELECT * FROM parquet.`{p}` WHERE id = r.id)",
+    "SELECT 1 UNION ALL SELECT id FROM parquet.`{p}`",
+    "SELECT * FROM `parquet`.`{p}`",
+    "SELECT * FROM spark_catalog.parquet.`{p}`",
+    "SELECT id FROM range(2) ORDER BY (SELECT max(id) FROM parquet.`{p}`)",
+    "SELECT * FROM read_files('{p}')",
+    "SELECT * FROM range(3) r, LATERAL no_such_function(r.id)",
+    "SELECT id, (SELECT sum(x) FROM (SELECT id AS x FROM parquet.`{p}`)) FROM range(2)",
+]
+
+
+@pytest.mark.parametrize("sql", HIDDEN)
+def test_files_are_refused_wherever_they_stand(spark, tmp_path, sql):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(Blocked):
+        readonly_query(spark, sql.format(p=path))
+
+
+def test_functions_are_refused_by_name_not_by_text(spark):
+    with pytest.raises(Blocked):
+        _refuse(spark, "SELECT `reflect`('java.lang.System', 'getenv', 'HOME')")
+    with pytest.raises(Blocked):
+        _refuse(spark, "WITH a AS (SELECT 1 AS x WHERE java_method('a', 'b') = '') SELECT x FROM a")
+    with pytest.raises(Blocked):
+        _refuse(spark, "INSERT INTO t SELECT 1")
+    # Names of columns and tables, and quoted text, are no calls.
+    _refuse(spark, "SELECT 1 AS reflect, 'parquet.`x`' AS t, \"FROM orc.`y`\" AS u")
+
+
+def test_registered_names_stay_readable(spark):
+    spark.range(4).createOrReplaceTempView("four")
+    spark.sql("CREATE DATABASE IF NOT EXISTS guard_test")
+    spark.sql("CREATE TABLE IF NOT EXISTS guard_test.five USING parquet AS SELECT * FROM range(5)")
+    for sql, count in (
+        ("WITH a AS (SELECT * FROM four) SELECT * FROM a WHERE id IN (SELECT id FROM four)", 4),
+        ("SELECT * FROM guard_test.five", 5),
+        ("SELECT * FROM spark_catalog.guard_test.five", 5),
+        ("SELECT * FROM range(6)", 6),
+        ("SELECT f.id, e.col FROM four f, LATERAL explode(array(1, 2)) e", 8),
+    ):
+        assert readonly_query(spark, sql).count() == count

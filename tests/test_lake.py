@@ -3,6 +3,8 @@ from __future__ import annotations
 import shutil
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from convoy.sources.catalog import (
     register_views,
     synchronize_tables,
 )
+from convoy.sources import lake
+from convoy.sources.footers import schema_text, survey
 from convoy.sources.lake import (
     ALL,
     LATEST,
@@ -22,10 +26,17 @@ from convoy.sources.lake import (
     day_path,
     partition_days,
     read_table,
+    remember_schemas,
     table_path,
     write_snapshot,
 )
-from convoy.sources.operational import drop_sensitive, jdbc_ranges, read_files
+from convoy.sources.operational import (
+    drop_sensitive,
+    jdbc_ranges,
+    read_files,
+    sampled_bounds,
+    text_ranges,
+)
 from tests.helpers import PROFILES, rows
 
 
@@ -202,3 +213,73 @@ def test_shared_folder_is_the_named_one(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_folder(spark) == named
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_footers_are_read_in_tasks_and_remembered(spark, root, monkeypatch):
+    """Files of one day differ; none is opened from the driver, none twice after a survey."""
+    day = day_path(root, "fuel_reports", "2026-07-01")
+    whole = spark.createDataFrame([("U1", 5)], "unit_no string, odometer long")
+    exact = spark.createDataFrame([("U1", 6.5, ["a"])], "unit_no string, odometer double, tags array<string>")
+    for df in (whole, exact, whole):
+        df.coalesce(1).write.mode("append").parquet(day)
+    pq.write_table(pa.table({"unit_no": ["U2"], "odometer": [7.5], "at": pa.array([1], pa.timestamp("us"))}),
+                   f"{day}/foreign.parquet")
+    opened = []
+    monkeypatch.setattr(lake, "ThreadPoolExecutor", lambda **_: _NoPool(opened))
+    found = read_table(spark, root, "fuel_reports").orderBy("odometer", "unit_no")
+    assert rows(found, "unit_no", "odometer", "tags") == [
+        ("U1", 5.0, None), ("U1", 5.0, None), ("U1", 6.5, ["a"]), ("U2", 7.5, None)]
+    assert opened == []
+    assert remember_schemas(spark, root, "fuel_reports") == 4
+    assert remember_schemas(spark, root, "fuel_reports") == 0
+    monkeypatch.setattr(lake, "survey", lambda *_: pytest.fail("known files are opened"))
+    assert read_table(spark, root, "fuel_reports").count() == 4
+    monkeypatch.undo()
+    whole.coalesce(1).write.mode("append").parquet(day)
+    assert read_table(spark, root, "fuel_reports").count() == 5
+    assert remember_schemas(spark, root, "fuel_reports") == 5
+
+
+class _NoPool:
+    """Stands in for the pool in which the driver would open files."""
+
+    def __init__(self, opened):
+        self.opened = opened
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        return None
+
+    def map(self, _, files):
+        self.opened += files
+        return []
+
+
+def test_schemas_in_footers_are_those_of_the_reader(spark, tmp_path):
+    kinds = (
+        "a int, b decimal(12,3), c date, d timestamp, e array<struct<x: int, y: map<string, double>>>, "
+        "f binary, g boolean, h float, i smallint, j timestamp_ntz"
+    )
+    path = str(tmp_path / "t")
+    spark.createDataFrame([], kinds).coalesce(1).write.parquet(path)
+    file = next(str(f) for f in Path(path).glob("part-*"))
+    row = survey(spark, [(file, 1), (str(tmp_path / "none.parquet"), 1)]).orderBy("file").collect()
+    assert {r["file_schema"] for r in row} == {None, schema_text(spark.read.parquet(file).schema)}
+
+
+def test_ranges_of_a_text_key_cover_every_row_once(spark):
+    keys = [f"D{i % 50}" for i in range(400)] + ["O'Neil", "", None, None] + ["hot"] * 300
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    for parts in (1, 2, 7, 500):
+        bounds = sampled_bounds(df, parts)
+        assert len(bounds) < parts and bounds == sorted(set(bounds))
+        ranges = text_ranges("k", bounds)
+        found = [df.filter(one) for one in ranges]
+        assert sum(part.count() for part in found) == len(keys)
+        if parts == 7:
+            # No more than a share beside the hot key, which stands on its own.
+            assert max(part.filter("k is null or k <> 'hot'").count() for part in found) < 300
+    assert text_ranges("k", ["O'Neil"]) == ["k < 'O''Neil' OR k IS NULL", "k >= 'O''Neil'"]
+    assert sampled_bounds(df.limit(0), 5) == [] and text_ranges("k", []) == ["1 = 1"]
