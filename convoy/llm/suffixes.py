@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from zstandard import ZstdCompressor, ZstdDecompressor
 
 from convoy.llm.hashing import BLOCK, mix, prefix_hashes, powers, spans_hash
@@ -521,10 +522,11 @@ def without_repeats(
         F.coalesce("text", F.lit("")).alias("text"),
         (F.struct(*carry) if carry else nothing).alias("others"),
     ).filter(F.col("doc_id").isNotNull())
-    others = texts.schema["others"].dataType.simpleString()
+    others = texts.schema["others"].dataType
     plain = texts.drop("others")
     listed = released(landed(_repeated_anchors(plain, length, gram), "listed"))
-    packed = texts.mapInArrow(_squeezed, f"doc_id long, packed binary, size long, others {others}")
+    squeezed = T.StructType.fromDDL("doc_id long, packed binary, size long").add("others", others)
+    packed = texts.mapInArrow(_squeezed, squeezed)
     # Texts move once for each of three steps; each step's files go before the next.
     single = released(landed(_first_places(packed.join(listed, "doc_id"), length, gram), "places"))
     sizes = single.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
@@ -549,15 +551,12 @@ def without_repeats(
     first = alone.unionByName(sort).unionByName(large)
     first = first.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("kept"))
     first = released(landed(first, "kept"))
-    return (
-        packed.join(listed, "doc_id", "left")
-        .join(first, "doc_id", "left")
-        .mapInArrow(
-            _removal(length, gram, as_text),
-            "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, "
-            + f"kept {'string' if as_text else 'binary'}, others {others}",
-        )
-    )
+    shown = T.StructType.fromDDL(
+        "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, "
+        + f"kept {'string' if as_text else 'binary'}"
+    ).add("others", others)
+    joined = packed.join(listed, "doc_id", "left").join(first, "doc_id", "left")
+    return joined.mapInArrow(_removal(length, gram, as_text), shown)
 
 
 def _repeated_anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:

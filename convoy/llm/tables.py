@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from convoy.session import scratch_path
 
@@ -34,6 +35,15 @@ def removed(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def whole_row(df: DataFrame, alias: str = "row") -> Column:
+    """All columns as one struct, beside which no name of theirs can clash."""
+    return F.struct(*[F.col(quoted(c)) for c in df.columns]).alias(alias)
+
+
 def released(df: DataFrame) -> DataFrame:
     """``df``, once the shuffle files of finished steps are given back.
 

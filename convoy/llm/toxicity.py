@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from convoy.llm.folds import labelled
 from convoy.llm.hashing import MARKS, mix, word_hashes
-from convoy.llm.tables import flat, lists, slices
+from convoy.llm.tables import flat, lists, slices, whole_row
 
 # Words that mark a labelled row for a category of its own.
 SEEDS = {
@@ -288,4 +288,7 @@ def _accepted(chain: Chain, reject: float):
 def without_toxic(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> DataFrame:
     """The documents that are not predicted toxic, with all of their columns."""
     chain = fit_chain(docs, labels)
-    return docs if chain is None else docs.mapInArrow(_accepted(chain, reject), docs.schema)
+    if chain is None:
+        return docs
+    rows = docs.select("text", whole_row(docs))
+    return rows.mapInArrow(_accepted(chain, reject), rows.schema).select("row.*")
