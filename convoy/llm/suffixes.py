@@ -12,6 +12,8 @@ A segment is an anchor with all bytes of the windows assigned to it.
    binary search over prefix polynomial hashes. Neighbours are verified byte by byte.
    Two windows at offset o are equal if their extensions share o bytes to the left and
    length - o to the right, which the sorted order answers for all of them at once.
+   A group too large for one task is sorted in shards; the windows that shards keep
+   meet by their bytes, and the first of equal ones stays.
 4. The first place of each window stays; all other windows of repeated anchors go.
 
 Rows without a doc_id are left out, null texts are empty, and repeated rows count as one
@@ -39,8 +41,8 @@ _POSITION = _U((1 << 21) - 1)
 
 LENGTH = 100
 GRAM = 24
-# Different segments of one anchor that one task sorts; the windows of larger groups are
-# compared as rows of their own, which spreads over the cluster with the same result.
+# Different segments of one anchor that are sorted together, on average; larger groups
+# are dealt into shards of this size, whose results are merged.
 GROUP = 4096
 # Segments that a task sorts at once.
 BATCH = 20_000
@@ -203,7 +205,10 @@ def _places(length: int, gram: int):
 
 
 def _bytes(length: int, gram: int):
-    """(h, segment, anchor, doc_id, start, many) of the segments listed for each row."""
+    """(h, shard, segment, anchor, doc_id, start) of the segments listed for each row.
+
+    ``shard`` is null for segments of groups that one task sorts whole.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _texts(batches):
@@ -212,9 +217,9 @@ def _bytes(length: int, gram: int):
             listed = part.column("several")
             sizes = pc.list_value_length(listed).to_numpy(zero_copy_only=False)
             several = listed.flatten()
-            starts, many = several.field(0).to_numpy(), several.field(1).to_numpy(False)
-            rows = np.repeat(np.arange(part.num_rows), sizes)
-            wanted = {(r, s): m for r, s, m in zip(*(x.tolist() for x in (rows, starts, many)), strict=True)}
+            rows = np.repeat(np.arange(part.num_rows), sizes).tolist()
+            starts, shards = (several.field(k).to_pylist() for k in (0, 1))
+            wanted = {(r, s): x for r, s, x in zip(rows, starts, shards, strict=True)}
             raw = data.tobytes()
             at = (first - offsets[owner]).tolist()
             keep = [k for k, key in enumerate(zip(owner.tolist(), at, strict=True)) if key in wanted]
@@ -227,9 +232,9 @@ def _bytes(length: int, gram: int):
                     pa.array(anchor[keep].astype(np.int32)),
                     pa.array(ids[owner[keep]]),
                     pa.array([at[k] for k in keep], pa.int64()),
-                    pa.array([wanted[int(owner[k]), at[k]] for k in keep], pa.bool_()),
+                    pa.array([wanted[int(owner[k]), at[k]] for k in keep], pa.int32()),
                 ],
-                names=["h", "segment", "anchor", "doc_id", "start", "many"],
+                names=["h", "segment", "anchor", "doc_id", "start", "shard"],
             )
 
     return run
@@ -379,11 +384,21 @@ def _breaks(group: np.ndarray, order: np.ndarray, shared: np.ndarray, least: int
 _KEPT = ["doc_id", "start", "n"]
 
 
-def _sorted_groups(length: int):
-    """Kept windows of segments that arrive sorted by anchor hash."""
+def _sorted_groups(length: int, sharded: bool = False):
+    """Kept windows of segments that arrive sorted by anchor hash and shard.
 
-    def work(rows: pa.Table) -> pa.RecordBatch:
+    Those of ``sharded`` groups come with their bytes, as runs of windows.
+    """
+
+    def keys(rows: pa.Table) -> np.ndarray:
+        """Numbers that ascend with the group."""
         h = rows.column("h").to_numpy()
+        shard = pc.fill_null(rows.column("shard"), 0).to_numpy()
+        new = (h[1:] != h[:-1]) | (shard[1:] != shard[:-1])
+        return np.concatenate(([0], np.cumsum(new)))
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        h = keys(rows)
         ids, start = rows.column("doc_id").to_numpy(), rows.column("start").to_numpy()
         anchor = rows.column("anchor").to_numpy().astype(np.int64)
         rank = np.empty(len(h), np.int64)
@@ -397,9 +412,15 @@ def _sorted_groups(length: int):
         at = np.flatnonzero(new)
         counts = np.diff(np.append(at, len(segment)))
         owner = segment[at]
+        columns = [pa.array(ids[owner]), pa.array(start[owner] + window[at]), pa.array(counts)]
+        if not sharded:
+            return pa.RecordBatch.from_arrays(columns, names=_KEPT)
+        runs = [
+            texts[k][a : a + n + length - 1]
+            for k, a, n in zip(*(x.tolist() for x in (owner, window[at], counts)), strict=True)
+        ]
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids[owner]), pa.array(start[owner] + window[at]), pa.array(counts)],
-            names=_KEPT,
+            [*columns[:2], pa.array(runs, pa.binary())], names=["doc_id", "start", "segment"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,7 +430,7 @@ def _sorted_groups(length: int):
             if sum(b.num_rows for b in held) < BATCH:
                 continue
             rows = pa.Table.from_batches(held).combine_chunks()
-            h = rows.column("h").to_numpy()
+            h = keys(rows)
             whole = int(np.searchsorted(h, h[-1], side="left"))
             if whole:
                 yield work(rows.slice(0, whole))
@@ -421,7 +442,7 @@ def _sorted_groups(length: int):
 
 
 def _windows(length: int):
-    """(window, doc_id, start, at) of every window of the segments, and its anchor's place."""
+    """(window, doc_id, start) of every window of the segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -531,24 +552,27 @@ def without_repeats(
     single = released(landed(_first_places(packed.join(listed, "doc_id"), length, gram), "places"))
     sizes = single.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
     counted = single.join(sizes, "h")
+    shards = F.ceil(F.col("kinds") / GROUP)
+    shard = F.when(shards > 1, F.pmod(F.xxhash64("doc_id", "start"), shards).cast("int"))
     several = counted.filter("kinds > 1").groupBy("doc_id")
-    several = several.agg(
-        F.collect_list(F.struct("start", (F.col("kinds") > GROUP).alias("many"))).alias("several")
-    )
+    several = several.agg(F.collect_list(F.struct("start", shard.alias("shard"))).alias("several"))
     differing = packed.join(listed, "doc_id").join(several, "doc_id").mapInArrow(
         _bytes(length, gram),
-        "h long, segment binary, anchor int, doc_id long, start long, many boolean",
+        "h long, segment binary, anchor int, doc_id long, start long, shard int",
     )
     differing = released(landed(differing, "segments"))
-    groups = differing.filter("not many").repartition("h").sortWithinPartitions("h")
+    groups = differing.filter("shard is null").repartition("h").sortWithinPartitions("h")
     sort = groups.mapInArrow(_sorted_groups(length), "doc_id long, start long, n long")
-    rows = differing.filter("many").mapInArrow(
-        _windows(length), "window binary, doc_id long, start long"
+    large = differing.filter("shard is not null")
+    large = large.repartition("h", "shard").sortWithinPartitions("h", "shard")
+    runs = large.mapInArrow(
+        _sorted_groups(length, sharded=True), "doc_id long, start long, segment binary"
     )
-    large = rows.groupBy("window").agg(_place().alias("place"))
-    large = large.select(*_from_place(), F.lit(1).cast("long").alias("n"))
+    rows = runs.mapInArrow(_windows(length), "window binary, doc_id long, start long")
+    merged = rows.groupBy("window").agg(_place().alias("place"))
+    merged = merged.select(*_from_place(), F.lit(1).cast("long").alias("n"))
     alone = counted.filter("kinds = 1").select("doc_id", "start", F.col("n").cast("long"))
-    first = alone.unionByName(sort).unionByName(large)
+    first = alone.unionByName(sort).unionByName(merged)
     first = first.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("kept"))
     first = released(landed(first, "kept"))
     shown = T.StructType.fromDDL(

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from convoy.llm import suffixes
@@ -39,7 +40,7 @@ def prose(rng: random.Random, n: int) -> str:
     return "".join(rng.choice(["the ", "of ", "é", "an", "ou", "re", ". ", "th"]) for _ in range(n))
 
 
-@pytest.mark.parametrize("group", [4096, 1])
+@pytest.mark.parametrize("group", [4096, 7, 1])
 def test_shared_passages(spark, monkeypatch, group):
     monkeypatch.setattr(suffixes, "GROUP", group)
     rng = random.Random(5)
@@ -54,6 +55,40 @@ def test_shared_passages(spark, monkeypatch, group):
     assert got(spark, rows) == expected(rows, 100)
 
 
+def test_group_of_many_shards(spark):
+    """One anchor with more segments than are sorted together."""
+    rng = random.Random(6)
+    shared = prose(rng, 60)
+    rows = [(i, f"{i:05d} {shared} {i % 50:02d}{'z' * (i % 7)}") for i in range(3 * suffixes.GROUP)]
+    assert got(spark, rows) == expected(rows, 100)
+
+
+def test_shards_keep_each_window_once():
+    rng = random.Random(7)
+    shared = prose(rng, 60).encode()[:140]
+    texts = [b"%03d" % (i % 90) + shared + b"%03d" % rng.randint(0, 40) for i in range(400)]
+    shards = [i // 100 for i in range(400)]
+    table = pa.table(
+        {
+            "h": pa.array([5] * 400),
+            "shard": pa.array(shards, pa.int32()),
+            "doc_id": pa.array(range(400)),
+            "start": pa.array([10] * 400),
+            "anchor": pa.array([50] * 400, pa.int32()),
+            "segment": pa.array(texts, pa.binary()),
+        }
+    )
+    cut = lambda t: [t[i : i + 100] for i in range(len(t) - 99)]
+    kept = []
+    for out in suffixes._sorted_groups(100, sharded=True)(iter(table.to_batches())):
+        for doc_id, start, run in zip(*(c.to_pylist() for c in out.columns), strict=True):
+            assert texts[doc_id][start - 10 :].startswith(run)
+            kept += [(shards[doc_id], w) for w in cut(run)]
+    reach = lambda t: [t[i : i + 100] for i in range(min(len(t) - 99, 51))]
+    wanted = {(s, w) for s, t in zip(shards, texts, strict=True) for w in reach(t)}
+    assert len(kept) == len(set(kept)) and set(kept) == wanted
+
+
 def test_test_data(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
