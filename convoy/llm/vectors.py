@@ -5,8 +5,11 @@ cell of its nearest codeword pair and visits cells in the order of their distanc
 (multi-sequence traversal) until a pair at the similarity threshold would be met with the
 target recall; everything met is verified in double precision.
 
+Vectors of different lengths never link. Each common length has an index of its own; the
+vectors of any other length are one cell, compared as a whole.
+
 Rows without a vec_id are left out, and repeated rows count once. Vectors that are null,
-zero, not finite, or of another length than most link with nothing. Other columns are ignored.
+zero or not finite link with nothing. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ PER_CELL = 32
 CODEWORDS = 256
 # Share of pairs exactly at the threshold that one of the two directions has to meet.
 RECALL = 0.999
+# The commonest lengths of vectors that get an index, if they have more vectors than a block.
+INDEXES = 8
 # Rows of a cell that one task compares with as many visitors.
 BLOCK = 2048
 
@@ -121,28 +126,33 @@ def _matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _located(index: MultiIndex, dims: int):
+def _located(indexes: dict[int, MultiIndex]):
+    """Home cell and visited cells of vectors; without an index there is one cell, 0."""
+
+    def placed(part: pa.RecordBatch, index: MultiIndex | None, dims: int) -> pa.RecordBatch:
+        if index is None:
+            home, cells = np.zeros(part.num_rows, np.int64), np.zeros((part.num_rows, 1), np.int64)
+        else:
+            x = _matrix(part.column("embedding"), dims)
+            home, cells = index.home(x), index.visited(x)
+        visits = lists(cells.reshape(-1).astype(np.int32), np.full(len(cells), cells.shape[1]))
+        return pa.RecordBatch.from_arrays(
+            [*part.columns, pa.array(home.astype(np.int32)), visits],
+            names=[*part.schema.names, "home", "visits"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                x = _matrix(part.column("embedding"), dims)
-                cells = index.visited(x)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[part.column(c) for c in ("rep", "copies", "embedding")],
-                        pa.array(index.home(x).astype(np.int32)),
-                        lists(
-                            cells.reshape(-1).astype(np.int32), np.full(len(x), cells.shape[1])
-                        ),
-                    ],
-                    names=["rep", "copies", "embedding", "home", "visits"],
-                )
+            lengths = batch.column("dims").to_numpy()
+            for dims in np.unique(lengths).tolist():
+                some = batch.take(pa.array(np.flatnonzero(lengths == dims)))
+                for at in range(0, some.num_rows, 1024):
+                    yield placed(some.slice(at, 1024), indexes.get(dims), dims)
 
     return run
 
 
-def _compare(dims: int, cosine: float):
+def _compare(cosine: float):
     """Links between the rows of a block and its visitors.
 
     A pair that meets in both directions counts for the visitor only, else for both.
@@ -151,6 +161,7 @@ def _compare(dims: int, cosine: float):
 
     def run(key, own: pa.Table, visitors: pa.Table) -> pa.Table:
         ids, links, least = [], [], []
+        dims = key[0].as_py()
         if own.num_rows and visitors.num_rows:
             x, y = _matrix(visitors.column("embedding"), dims), _matrix(own.column("embedding"), dims)
             a, b = visitors.column("rep").to_numpy(), own.column("rep").to_numpy()
@@ -189,6 +200,17 @@ def _compare(dims: int, cosine: float):
     return run
 
 
+def _fitted(
+    groups: DataFrame, dims: int, count: int, cosine: float, sample: int, recall: float
+) -> MultiIndex:
+    """The index of the vectors of one length."""
+    some = groups.filter(F.col("dims") == dims)
+    picked = some.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("embedding")
+    fitted = _matrix(picked.toArrow().column("embedding"), dims)
+    codewords = max(2, min(CODEWORDS, round(sqrt(count / PER_CELL))))
+    return MultiIndex(fitted, codewords, cosine, recall)
+
+
 def near_vectors(
     vectors: DataFrame,
     cosine: float = COSINE,
@@ -205,49 +227,42 @@ def near_vectors(
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     zero = F.forall("embedding", lambda v: v == 0)
     usable = F.col("embedding").isNotNull() & F.coalesce(finite & ~zero, F.lit(False))
-    sizes = rows.filter(usable).groupBy(F.size("embedding").alias("dims")).count()
-    most = sizes.orderBy(F.desc("count"), "dims").first()
-    if most is None:
-        alone = F.col("vec_id")
-        return rows.select(
-            "vec_id", F.lit(0).cast("long").alias("n_links"), alone.alias("component_id"),
-            F.lit(True).alias("kept"),
-        )
-    dims = most["dims"]
-    good = rows.filter(usable & (F.size("embedding") == dims))
-    groups = good.groupBy("embedding").agg(
+    groups = rows.filter(usable).groupBy("embedding").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")
     )
-    groups = landed(groups, "vectors")
-    picked = groups.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("embedding")
-    fitted = _matrix(picked.toArrow().column("embedding"), dims)
-    codewords = max(2, min(CODEWORDS, round(sqrt(groups.count() / PER_CELL))))
-    index = MultiIndex(fitted, codewords, cosine, recall)
-
+    groups = landed(groups.withColumn("dims", F.size("embedding")), "vectors")
+    sizes = groups.groupBy("dims").count().filter((F.col("count") > BLOCK) & (F.col("dims") > 1))
+    common = sizes.orderBy(F.desc("count"), "dims").limit(INDEXES).collect()
+    indexes = {
+        r["dims"]: _fitted(groups, r["dims"], r["count"], cosine, sample, recall) for r in common
+    }
     placed = landed(
         groups.mapInArrow(
-            _located(index, dims),
-            "rep long, copies long, embedding array<float>, home int, visits array<int>",
+            _located(indexes),
+            "embedding array<float>, rep long, copies long, dims int, home int, visits array<int>",
         ),
         "cells",
     )
     own = placed.withColumn("cell", F.col("home"))
-    visitors = placed.select("rep", "copies", "embedding", "home", F.explode("visits").alias("cell"))
-    # As many rows as there are cells: at most the square of the codewords.
-    blocks = lambda df, name: df.groupBy("cell").agg(
+    visitors = placed.select(
+        "rep", "copies", "embedding", "dims", "home", F.explode("visits").alias("cell")
+    )
+    # As many rows as there are cells. Landed, so that Spark broadcasts them by their known size.
+    at = ["dims", "cell"]
+    blocks = lambda df, name: df.groupBy(*at).agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name)
     )
-    cells = F.broadcast(blocks(own, "parts").join(blocks(visitors, "turns"), "cell"))
+    cells = landed(blocks(own, "parts").join(blocks(visitors, "turns"), at), "blocks")
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
     turn = F.pmod(F.xxhash64("rep"), F.col("turns")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = own.join(cells, "cell").withColumn("part", part).withColumn("turn", every("turns"))
-    visitors = visitors.join(cells, "cell").withColumn("turn", turn).withColumn("part", every("parts"))
-    keys = ["cell", "part", "turn"]
+    own = own.join(cells, at).withColumn("part", part).withColumn("turn", every("turns"))
+    visitors = visitors.join(cells, at).withColumn("turn", turn).withColumn("part", every("parts"))
+    keys = [*at, "part", "turn"]
     visitors = visitors.toDF(*visitors.columns)  # columns of its own beside those of ``own``
     met = own.drop("home").groupBy(*keys).cogroup(visitors.groupBy(*keys))
     found = landed(
-        met.applyInArrow(_compare(dims, cosine), "rep long, links long, least long"), "links"
+        met.applyInArrow(_compare(cosine), "rep long, links long, least long"), "links"
     )
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = components(found.select(F.col("rep").alias("a"), F.col("least").alias("b")))
