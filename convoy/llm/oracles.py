@@ -10,7 +10,7 @@ from convoy.llm.clusters import SCALE as CLUSTER_SCALE
 from convoy.llm.codes import ENTRIES, PARTS
 from convoy.llm.codes import ROUNDS as CODE_ROUNDS
 from convoy.llm.codes import SCALE as CODE_SCALE
-from convoy.llm.licenses import CONTAINED, NOTICES, PHRASES, notice_tokens
+from convoy.llm.licenses import CONTAINED, NOTICES, PHRASES, WIDTH, notice_tokens
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -25,7 +25,10 @@ def _listed(values) -> str:
 
 
 def license_sql(threshold: float = CONTAINED) -> str:
-    """The digest of the license scan; every notice is compared with every block, unfiltered."""
+    """The digest of the license scan; every notice is compared with every block.
+
+    Wrapped sentences are compared from each word of the notice on, if they hold enough of them.
+    """
     places, base, notices = [], [], []
     for phrase, label in PHRASES.items():
         parts = phrase.split()
@@ -37,7 +40,17 @@ def license_sql(threshold: float = CONTAINED) -> str:
     for label, tokens in notice_tokens(NOTICES).items():
         need = ceil(threshold * len(tokens) - 1e-9)
         shared = f"len(list_intersect({_listed(sorted(tokens))}, b))"
-        best = f"list_max(list_transform(blocks, lambda b: {shared}))"
+        listed, width = _listed(sorted(tokens)), WIDTH * len(tokens)
+        nearby = (
+            f"list_max(list_transform(list_filter(range(1, len(b) + 1), "
+            f"lambda i: list_contains({listed}, b[i])), "
+            f"lambda i: len(list_intersect({listed}, b[i:i + {width - 1}]))))"
+        )
+        best = (
+            f"greatest(list_max(list_transform(blocks, lambda b: {shared})), "
+            f"list_max(list_transform(list_filter(wrapped, lambda b: {shared} >= {need}), "
+            f"lambda b: {nearby})))"
+        )
         notices.append(
             f"{{'label': '{label}', 'share': case when {best} >= {need} "
             f"then {best} / {float(len(tokens))}::double end}}"
@@ -51,7 +64,17 @@ def license_sql(threshold: float = CONTAINED) -> str:
              list_transform(
                regexp_split_to_array(
                  regexp_replace(lower, '([.!?;])[ \\t]+', '\\1' || chr(10), 'g'), '\\n+'),
-               lambda b: list_distinct({_words('b')})) as blocks
+               lambda b: list_distinct({_words('b')})) as blocks,
+             list_transform(
+               list_filter(
+                 string_split(
+                   regexp_replace(
+                     regexp_replace(translate(lower, chr(1), '#'),
+                       '([.!?;])[\\x09-\\x0D ]+', '\\1' || chr(1), 'g'),
+                     '\\n[ \\t\\r]*\\n[\\x09-\\x0D ]*', chr(1), 'g'),
+                   chr(1)),
+                 lambda b: contains(b, chr(10))),
+               lambda b: {_words('b')}) as wrapped
       from lowered),
     found as (
       select doc_id, words, [{', '.join(places)}] as places,

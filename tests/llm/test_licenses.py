@@ -2,7 +2,13 @@
 
 import re
 
-from convoy.llm.licenses import CONTAINED, NOTICES, PHRASES, license_digest, license_scan, notice_tokens
+import duckdb
+import pandas as pd
+
+from convoy.llm.licenses import (
+    CONTAINED, NOTICES, PHRASES, WIDTH, license_digest, license_scan, notice_tokens,
+)
+from convoy.llm.oracles import license_sql
 
 SCHEMA = "doc_id long, text string, words string, lower string, blocks long"
 
@@ -25,8 +31,13 @@ def expected(text):
         base |= {label} if at else set()
     best, named = 0.0, set()
     blocks = [set(split(b)) for b in re.split(r"\n+|(?<=[.!?;])[ \t]+", lower(text))]
+    space = "[\\x09-\\x0D ]"
+    sentences = re.split(rf"\n[ \t\r]*\n{space}*|(?<=[.!?;]){space}+", lower(text))
+    wrapped = [split(s) for s in sentences if "\n" in s]
     for label, tokens in notice_tokens(NOTICES).items():
-        share = max(len(tokens & b) for b in blocks) / len(tokens)
+        width = WIDTH * len(tokens)
+        near = [set(w[i : i + width]) for w in wrapped for i in range(len(w)) if w[i] in tokens]
+        share = max(len(tokens & b) for b in blocks + near) / len(tokens)
         if share >= CONTAINED - 1e-12:
             named.add(label)
             best = max(best, share)
@@ -102,6 +113,11 @@ def test_notices_with_line_breaks(spark):
     rows = [(i, text) for i, text in enumerate(WRAPPED.values())]
     # The notice's words far from one another, or with a blank line between, are no notice.
     rows += [(10, WRAPPED["mpl-2.0"].replace(" ", "\n" + "word " * 20)), (11, WRAPPED["bsd"].replace("without\n", "without\n\n"))]
-    docs = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], SCHEMA)
-    got = {r.doc_id: r.labels for r in license_digest(license_scan(docs)).collect()}
+    rows += [(12, "a; b.\x01c\n \n" + WRAPPED["bsd"].replace("\n", "\r\n")), (13, None), (14, "\n.\n\n")]
+    full = check(spark, rows)
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # noqa: F841
+    answer = duckdb.sql(license_sql()).fetchall()
+    assert {r[0]: tuple(r[1:]) for r in answer} == full
+    assert full.pop(12)[5] == "bsd" and not full.pop(13)[5] and not full.pop(14)[5]
+    got = {i: r[5] for i, r in full.items()}
     assert got == {0: "bsd", 1: "mpl-2.0", 2: "mit-grant", 10: "", 11: ""}
