@@ -6,9 +6,10 @@ words, its answer, stand there too. Stretches have three times the item's words
 at every multiple of its words, so two item lengths of text lie within one of them whole.
 
 Which stretches are aligned is found in a latent space. TF-IDF over the words of a block of
-items is projected on the leading right singular directions of corpus passages and items,
-by a randomised SVD: a Gaussian sketch, two power rounds whose products Spark sums over
-partitions, and a small eigenproblem. There are about as many directions as items, and more
+items is projected on the leading right singular directions of all passages of the corpus and
+the items, by a randomised SVD: a Gaussian sketch, two power rounds and a small eigenproblem. Its
+products go through the Gram matrix of the passages' words, which Spark sums in tiles over all
+documents. There are about as many directions as items, and more
 if an item keeps too little of itself in them. Items are grouped by length; for each length, windows
 that hold four of it begin at every multiple, so each stretch lies within one whole. A
 window's vector is a difference of running sums, and items whose cosine with it
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convoy.llm.hashing import MARKS, word_hashes
-from convoy.llm.tables import flat, landed, slices, whole_row
+from convoy.llm.tables import flat, removed, slices, whole_row, written
 
 _U = np.uint64
 
@@ -39,12 +41,13 @@ BUCKETS = 1 << 13
 ITEMS = 256
 ITEM_BYTES = 1 << 18
 BLOCKS = 16
-# The directions are fitted on passages of about so many documents, a share of all by hash,
-# in so many partitions; frequencies count all documents.
-SAMPLE = 2_000
-_FINENESS = 1 << 40
-PARTS = 4
+# Words of a passage; the directions are fitted on the passages of all documents.
 PASSAGE = 48
+# The Gram matrix of a space's words lies in square tiles of so many words, products with it come
+# from so many tasks, and a task that sums it holds so many bytes of its rows at a time.
+TILE = 128
+PARTS = 4
+BAND_BYTES = 1 << 26
 # Directions beyond the number of items, products with the passages, and the share of every
 # item's energy that the directions have to keep.
 SPARE = 16
@@ -112,13 +115,15 @@ class Passages:
         owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
         row = owner
         if size:
-            place = np.arange(len(words)) - ends[owner]
-            row = np.unique(owner * (1 << 32) + place // size, return_inverse=True)[1]
+            per_text = -(-np.diff(ends) // size)
+            before = np.cumsum(per_text) - per_text
+            row = before[owner] + (np.arange(len(words)) - ends[owner]) // size
         self.n = int(row.max(initial=-1)) + 1
         place, self.at = _places(vocabulary, words)
         self.row = row[place]
         norm = np.sqrt(np.bincount(row, idf[_buckets(words)] ** 2, self.n))
-        self.value = (idf[_buckets(words[place])] / np.maximum(norm[self.row], 1e-9)).astype(np.float32)
+        self.norm = np.maximum(norm, 1e-9)
+        self.value = (idf[_buckets(words[place])] / self.norm[self.row]).astype(np.float32)
 
     def times(self, basis: np.ndarray) -> np.ndarray:
         """The rows times ``basis``."""
@@ -151,43 +156,182 @@ def _add_sorted(out: np.ndarray, row: np.ndarray, values: np.ndarray) -> None:
         out[row[first]] += np.add.reduceat(values, first, axis=0)
 
 
-def _product(vocabulary: np.ndarray, idf: np.ndarray, basis: np.ndarray):
-    """The partition's part of A'A times ``basis``, as one row of bytes, and its passages."""
+def passages(texts: DataFrame, vocabulary: np.ndarray, idf: np.ndarray) -> DataFrame:
+    """(n, words, sizes, norms): the passages of all texts, a slice of texts in a row.
+
+    ``words`` are places in ``vocabulary``, ``sizes`` how many of them each of the n passages has,
+    ``norms`` the lengths of their whole TF-IDF rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(basis.shape, np.float32), 0
         for batch in batches:
-            for part in slices(batch, "text", 1 << 16):
+            for part in slices(batch, "text"):
                 words, ends = word_hashes(*flat(part.column("text")), MARKS)
                 rows = Passages(words, ends, vocabulary, idf, PASSAGE)
-                total += rows.gram_times(basis)
-                n += rows.n
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([total.tobytes()], pa.binary()), pa.array([n])], names=["part", "n"]
+                sizes = np.bincount(rows.row, minlength=rows.n).astype(np.uint8)
+                parts = (rows.at.astype(np.int32), sizes, rows.norm.astype(np.float32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([rows.n]), *[pa.array([x.tobytes()], pa.binary()) for x in parts]],
+                    names=["n", "words", "sizes", "norms"],
+                )
+
+    return texts.mapInArrow(run, "n long, words binary, sizes binary, norms binary")
+
+
+def _add_pairs(total: np.ndarray, low: int, row: np.ndarray, at: np.ndarray, value: np.ndarray) -> None:
+    """Add the products of all pairs within a row whose smaller place is in the band of ``total``.
+
+    Half of a square counts, as does a pair in one order only: the sum plus its transpose is whole.
+    """
+    flat_total, width = total.reshape(-1), total.shape[1]
+    some = at >= low
+    row, at, value = row[some], at[some] - low, value[some]
+    for step in range(len(at)):
+        pair = np.flatnonzero(row[step:] == row[: len(row) - step])
+        if not len(pair):
+            break
+        one, other = at[pair], at[pair + step]
+        first = np.minimum(one, other)
+        key = first * width + np.maximum(one, other) + low
+        products = value[pair] * value[pair + step] * (1.0 if step else 0.5)
+        here = first < len(total)
+        np.add.at(flat_total, key[here], products[here])
+
+
+def _tiles(low: int, high: int, size: int, place: np.ndarray, weight: np.ndarray):
+    """(tile, sums): tiles of the rows ``low`` to ``high`` over the passages of a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        across = -(-size // TILE)
+        total = np.zeros((high - low, across * TILE))
+        for batch in batches:
+            for words, sizes, norms in zip(*[batch.column(k) for k in ("words", "sizes", "norms")], strict=True):
+                at = place[np.frombuffer(words.as_buffer(), np.int32)]
+                counts = np.frombuffer(sizes.as_buffer(), np.uint8)
+                row = np.repeat(np.arange(len(counts)), counts)
+                own = np.flatnonzero(at >= 0)
+                at, row = at[own], row[own]
+                value = weight[at] / np.frombuffer(norms.as_buffer(), np.float32)[row]
+                _add_pairs(total, low, row, at, value)
+        for i in range(low // TILE, high // TILE):
+            band = total[i * TILE - low : (i + 1) * TILE - low].astype(np.float32)
+            cut = [band[:, j * TILE : (j + 1) * TILE] for j in range(across)]
+            held = [j for j in range(i, across) if cut[j].any()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([i * across + j for j in held], pa.int64()),
+                    pa.array([cut[j].tobytes() for j in held], pa.binary()),
+                ],
+                names=["tile", "sums"],
+            )
+
+    return run
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of all rows of a tile, which arrive one after the other."""
+    last, total = -1, np.zeros(0)
+
+    def one() -> pa.RecordBatch:
+        sums = pa.array([total.astype(np.float32).tobytes()], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([last]), sums], names=["tile", "sums"])
+
+    for batch in batches:
+        for tile, row in zip(batch.column("tile").to_pylist(), batch.column("sums"), strict=True):
+            values = np.frombuffer(row.as_buffer(), np.float32)
+            if tile == last:
+                total += values
+                continue
+            if last >= 0:
+                yield one()
+            last, total = tile, values.astype(np.float64)
+    if last >= 0:
+        yield one()
+
+
+@dataclass
+class Gram:
+    """The Gram matrix of all passages over the words of a space, as tiles of a table.
+
+    What lies in the tiles plus its transpose is the matrix; ``n`` passages are summed.
+    """
+
+    tiles: DataFrame
+    path: str
+    n: int
+
+    def times(self, basis: np.ndarray) -> np.ndarray:
+        """The matrix times ``basis``; one product for each of ``PARTS`` tasks reaches the driver."""
+        total = np.zeros(basis.shape, np.float64)
+        for row in self.tiles.mapInArrow(_product(basis), "part binary").toLocalIterator():
+            total += np.frombuffer(row["part"], np.float32).reshape(basis.shape)
+        return total.astype(np.float32)
+
+
+def gram_matrix(
+    rows: DataFrame, known: np.ndarray, vocabulary: np.ndarray, idf: np.ndarray
+) -> Gram:
+    """The Gram matrix over ``vocabulary`` of ``passages`` whose words are places in ``known``."""
+    place = np.full(len(known), -1)
+    place[np.searchsorted(known, vocabulary)] = np.arange(len(vocabulary))
+    weight = idf[_buckets(vocabulary)].astype(np.float64)
+    size = -(-len(vocabulary) // TILE) * TILE
+    step = max(BAND_BYTES // (8 * size) // TILE, 1) * TILE
+    bands = [
+        rows.mapInArrow(
+            _tiles(low, min(low + step, size), size, place, weight), "tile long, sums binary"
         )
+        for low in range(0, size, step)
+    ]
+    parts = reduce(DataFrame.unionByName, bands).repartition("tile").sortWithinPartitions("tile")
+    tiles, path = written(parts.mapInArrow(_added, "tile long, sums binary"), "gram")
+    return Gram(tiles.coalesce(PARTS), path, rows.agg(F.sum("n")).first()[0] or 0)
+
+
+def _product(basis: np.ndarray):
+    """The partition's part of the matrix times ``basis``, as one row of bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        across = -(-len(basis) // TILE)
+        padded = np.zeros((across * TILE, basis.shape[1]), np.float32)
+        padded[: len(basis)] = basis
+        total = np.zeros(padded.shape, np.float32)
+        for batch in batches:
+            for tile, row in zip(batch.column("tile").to_pylist(), batch.column("sums"), strict=True):
+                sums = np.frombuffer(row.as_buffer(), np.float32).reshape(TILE, TILE)
+                i, j = (slice(k * TILE, (k + 1) * TILE) for k in divmod(tile, across))
+                total[i] += sums @ padded[j]
+                total[j] += sums.T @ padded[i]
+        part = total[: len(basis)].tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary())], names=["part"])
 
     return run
 
 
 def latent_directions(
-    sample: DataFrame, items: Passages, vocabulary: np.ndarray, idf: np.ndarray
+    rows: DataFrame, known: np.ndarray, items: Passages, vocabulary: np.ndarray, idf: np.ndarray
 ) -> np.ndarray:
-    """(words, directions): leading right singular vectors of sampled passages and items.
+    """(words, directions): leading right singular vectors of all ``passages`` and the items.
 
-    The items together weigh ``WEIGHT`` times as much as the passages. One product per partition of
-    ``sample``, of fixed number, reaches the driver in each round. Directions are doubled
+    The items together weigh ``WEIGHT`` times as much as the passages. Directions are doubled
     until every item keeps ``KEPT`` of its energy.
     """
     rank = items.n + SPARE
+    if rank >= len(vocabulary):
+        return np.eye(len(vocabulary), dtype=np.float32)
     whole = np.bincount(items.row, items.value.astype(np.float64) ** 2, items.n)
+    gram = gram_matrix(rows, known, vocabulary, idf)
+    basis = np.eye(len(vocabulary), dtype=np.float32)
     while rank < len(vocabulary):
-        basis = _subspace(sample, items, vocabulary, idf, rank)
-        kept = (items.times(basis).astype(np.float64) ** 2).sum(axis=1)
+        found = _leading(gram, items, vocabulary, rank)
+        kept = (items.times(found).astype(np.float64) ** 2).sum(axis=1)
         # Repeated words add up within a row, so its energy is that of the sums.
         if (kept >= KEPT * _energy(items, len(vocabulary), whole)).all():
-            return basis
+            basis = found
+            break
         rank *= 2
-    return np.eye(len(vocabulary), dtype=np.float32)
+    removed(rows.sparkSession, gram.path)
+    return basis
 
 
 def _energy(items: Passages, words: int, least: np.ndarray) -> np.ndarray:
@@ -197,17 +341,19 @@ def _energy(items: Passages, words: int, least: np.ndarray) -> np.ndarray:
     return np.maximum(np.bincount(key // words, summed**2, items.n), least)
 
 
-def _subspace(sample, items: Passages, vocabulary, idf, rank: int) -> np.ndarray:
+def _subspace(texts, items: Passages, vocabulary, idf, rank: int) -> np.ndarray:
+    """The leading directions over all passages of ``texts`` and the items."""
+    gram = gram_matrix(passages(texts, vocabulary, idf), vocabulary, vocabulary, idf)
+    return _leading(gram, items, vocabulary, rank)
+
+
+def _leading(gram: Gram, items: Passages, vocabulary: np.ndarray, rank: int) -> np.ndarray:
     rng = np.random.default_rng(3)
     basis = rng.standard_normal((len(vocabulary), rank)).astype(np.float32)
     for step in range(PRODUCTS):
         basis = np.linalg.qr(basis)[0].astype(np.float32)
-        run = _product(vocabulary, idf, basis)
-        total, n = np.zeros(basis.shape, np.float32), 0
-        for row in sample.mapInArrow(run, "part binary, n long").toLocalIterator():
-            total += np.frombuffer(row["part"], np.float32).reshape(basis.shape)
-            n += row["n"]
-        total += WEIGHT * max(n, 1) / max(items.n, 1) * items.gram_times(basis)
+        total = gram.times(basis)
+        total += WEIGHT * max(gram.n, 1) / max(items.n, 1) * items.gram_times(basis)
         if step < PRODUCTS - 1:
             basis = total
     small = basis.T @ total
@@ -438,12 +584,7 @@ def searchers(docs: DataFrame, benchmark: DataFrame) -> list[Searcher]:
     counts = {r[0]: r[1] for r in sums.groupBy("key").sum("n").collect()}
     held = np.array([counts.get(b, 0) for b in range(BUCKETS)])
     idf = np.log((1 + counts.get(-1, 0)) / (1 + held)).astype(np.float32) + np.float32(0.01)
-    # A share of all texts by hash, so that no task gathers more than its own; copies count once.
-    share = min(_FINENESS, ceil(SAMPLE * _FINENESS / max(counts.get(-1, 0), 1)))
-    picked = texts.filter("text IS NOT NULL")
-    picked = picked.filter(F.pmod(F.xxhash64("text"), F.lit(_FINENESS)) < share).distinct()
-    sample = landed(picked.repartition(PARTS, F.xxhash64("text")), "passages").coalesce(PARTS)
-    out = []
+    spaces = []
     for block in range(blocks):
         some = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
         table = some.orderBy("item_id").toArrow()
@@ -453,12 +594,20 @@ def searchers(docs: DataFrame, benchmark: DataFrame) -> list[Searcher]:
         if not filled:
             continue
         vocabulary = np.unique(words)
-        own = Passages(words, ends, vocabulary, idf, None)
-        latent = latent_directions(sample, own, vocabulary, idf)
-        weight = idf[_buckets(vocabulary)]
+        rows = Passages(words, ends, vocabulary, idf, None)
         numbers = table.column("item_id").to_numpy()[filled]
-        own = [each[k] for k in filled]
+        spaces.append((numbers, [each[k] for k in filled], vocabulary, rows))
+    if not spaces:
+        return []
+    # The passages of all documents, over the words of all spaces.
+    known = np.unique(np.concatenate([vocabulary for _, _, vocabulary, _ in spaces]))
+    found, path = written(passages(texts, known, idf), "passages")
+    out = []
+    for numbers, own, vocabulary, rows in spaces:
+        latent = latent_directions(found, known, rows, vocabulary, idf)
+        weight = idf[_buckets(vocabulary)]
         out.append(Searcher(numbers, own, vocabulary, weight, latent * weight[:, None]))
+    removed(docs.sparkSession, path)
     return out
 
 

@@ -186,3 +186,38 @@ def test_directions_are_those_of_a_full_decomposition(spark):
     best = np.sort(np.linalg.eigvalsh(gram.astype(np.float64)))[::-1][:120].sum()
     assert np.trace(basis.T @ gram @ basis) >= 0.97 * best
     assert np.allclose(basis.T @ basis, np.eye(120), atol=1e-3)
+
+
+def test_directions_are_fitted_on_the_passages_of_all_documents(spark, monkeypatch):
+    """The Gram matrix that is summed in tiles, bands and tasks, against one over all rows."""
+    rng = random.Random(8)
+    kinds = [f"word{k}" for k in range(500)]
+    texts = [" ".join(rng.choices(kinds, k=rng.randint(0, 120))) for _ in range(2500)] + [None, "", "!"]
+    own = pa.array([" ".join(rng.sample(kinds, 150)) for _ in range(3)])
+    found, ends = word_hashes(*flat(own), MARKS)
+    vocabulary = np.unique(found)
+    idf = np.linspace(1, 3, decontamination.BUCKETS).astype(np.float32)
+    monkeypatch.setattr(decontamination, "BAND_BYTES", 1 << 17)
+    docs = spark.createDataFrame([(t,) for t in texts * 2], "text string").repartition(5)
+    known = np.unique(word_hashes(*flat(pa.array([" ".join(kinds)])), MARKS)[0])
+    gram = decontamination.gram_matrix(
+        decontamination.passages(docs, known, idf), known, vocabulary, idf
+    )
+    rows = Passages(*word_hashes(*flat(pa.array(texts * 2)), MARKS), vocabulary, idf, decontamination.PASSAGE)
+    assert gram.n == rows.n > 5000
+    assert len(vocabulary) > 2 * decontamination.TILE
+    dense = np.eye(len(vocabulary), dtype=np.float32)
+    assert np.allclose(gram.times(dense), rows.gram_times(dense), rtol=1e-3, atol=1e-3)
+
+
+def test_directions_of_a_benchmark_see_every_document(spark, monkeypatch):
+    """More documents than any sample would hold: all of their passages are counted."""
+    counted = []
+    monkeypatch.setattr(
+        decontamination, "_leading",
+        lambda gram, items, vocabulary, rank: counted.append(gram.n) or np.eye(len(vocabulary), dtype=np.float32),
+    )
+    docs = spark.range(5000).selectExpr("id as doc_id", "concat('some words of text ', id) as text")
+    items = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    assert len(decontamination.searchers(docs, items)) == 1
+    assert counted == [5000]
