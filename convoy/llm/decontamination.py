@@ -43,11 +43,16 @@ ITEM_BYTES = 1 << 18
 BLOCKS = 16
 # Words of a passage; the directions are fitted on the passages of all documents.
 PASSAGE = 48
-# The Gram matrix of a space's words lies in square tiles of so many words, products with it come
-# from so many tasks, and a task that sums it holds so many bytes of its rows at a time.
+# The Gram matrix of a space's words lies in strips of so many words by so many, products with it
+# come from so many tasks, and a task that sums it holds so many bytes of its rows at a time.
+STRIP = 8
 TILE = 128
 PARTS = 4
 BAND_BYTES = 1 << 26
+# The commonest words of a space, whose products are taken as dense columns.
+COMMON = 256
+# Passages that are added at once.
+GATHERED = 1 << 14
 # Directions beyond the number of items, products with the passages, and the share of every
 # item's energy that the directions have to keep.
 SPARE = 16
@@ -91,39 +96,86 @@ def _places(vocabulary: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.n
     return own[same], at[same]
 
 
+_HASHED = "passages long, counts binary, buckets binary, known binary, places binary"
+
+
+def hashed(texts: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+    """The words of all texts, a slice of texts in a row.
+
+    ``counts`` holds the words of each text, ``buckets`` that of every word, ``known`` a bit for
+    each, set for words of ``vocabulary``, and ``places`` where those are in it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words, ends = word_hashes(*flat(part.column("text")), MARKS)
+                counts = np.diff(ends)
+                own, places = _places(vocabulary, words)
+                known = np.zeros(len(words), bool)
+                known[own] = True
+                parts = (
+                    counts.astype(np.int32),
+                    _buckets(words).astype(np.uint16),
+                    np.packbits(known),
+                    places.astype(np.int32),
+                )
+                n = int((-(-counts // PASSAGE)).sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([n]), *[pa.array([x.tobytes()], pa.binary()) for x in parts]],
+                    names=["passages", "counts", "buckets", "known", "places"],
+                )
+
+    return texts.mapInArrow(run, _HASHED)
+
+
+def _read_hashed(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """The counts, buckets, known words' numbers and places of each row of ``hashed``."""
+    columns = [batch.column(k) for k in ("counts", "buckets", "known", "places")]
+    for row in zip(*columns, strict=True):
+        kinds = (np.int32, np.uint16, np.uint8, np.int32)
+        counts, buckets, known, places = (
+            np.frombuffer(x.as_buffer(), kind) for x, kind in zip(row, kinds, strict=True)
+        )
+        known = np.flatnonzero(np.unpackbits(known, count=len(buckets)))
+        yield counts.astype(np.int64), buckets.astype(np.int64), known, places
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, n): documents of a partition that hold each bucket; -1 counts documents."""
     total, docs = np.zeros(BUCKETS, np.int64), 0
     for batch in batches:
-        for part in slices(batch, "text"):
-            words, ends = word_hashes(*flat(part.column("text")), MARKS)
-            owner = np.repeat(np.arange(part.num_rows), np.diff(ends))
-            held = np.zeros(part.num_rows * BUCKETS, bool)
-            held[owner * BUCKETS + _buckets(words)] = True
+        for counts, buckets, _, _ in _read_hashed(batch):
+            owner = np.repeat(np.arange(len(counts)), counts)
+            held = np.zeros(len(counts) * BUCKETS, bool)
+            held[owner * BUCKETS + buckets] = True
             total += held.reshape(-1, BUCKETS).sum(axis=0)
-            docs += part.num_rows
+            docs += len(counts)
     key = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.append(key, -1)), pa.array(np.append(total[key], docs))], names=["key", "n"]
     )
 
 
+def _passage_of(counts: np.ndarray, size: int) -> np.ndarray:
+    """The passage, of ``size`` words of a text, that each word belongs to."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    per_text = -(-counts // size)
+    passages, words = np.cumsum(per_text) - per_text, np.cumsum(counts) - counts
+    return passages[owner] + (np.arange(len(owner)) - words[owner]) // size
+
+
 class Passages:
     """Unit TF-IDF rows of passages, as far as their words are in a vocabulary."""
 
     def __init__(self, words, ends, vocabulary: np.ndarray, idf: np.ndarray, size: int | None):
-        owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-        row = owner
-        if size:
-            per_text = -(-np.diff(ends) // size)
-            before = np.cumsum(per_text) - per_text
-            row = before[owner] + (np.arange(len(words)) - ends[owner]) // size
+        counts = np.diff(ends)
+        row = _passage_of(counts, size) if size else np.repeat(np.arange(len(counts)), counts)
         self.n = int(row.max(initial=-1)) + 1
         place, self.at = _places(vocabulary, words)
         self.row = row[place]
         norm = np.sqrt(np.bincount(row, idf[_buckets(words)] ** 2, self.n))
-        self.norm = np.maximum(norm, 1e-9)
-        self.value = (idf[_buckets(words[place])] / self.norm[self.row]).astype(np.float32)
+        self.value = (idf[_buckets(words[place])] / np.maximum(norm[self.row], 1e-9)).astype(np.float32)
 
     def times(self, basis: np.ndarray) -> np.ndarray:
         """The rows times ``basis``."""
@@ -156,28 +208,6 @@ def _add_sorted(out: np.ndarray, row: np.ndarray, values: np.ndarray) -> None:
         out[row[first]] += np.add.reduceat(values, first, axis=0)
 
 
-def passages(texts: DataFrame, vocabulary: np.ndarray, idf: np.ndarray) -> DataFrame:
-    """(n, words, sizes, norms): the passages of all texts, a slice of texts in a row.
-
-    ``words`` are places in ``vocabulary``, ``sizes`` how many of them each of the n passages has,
-    ``norms`` the lengths of their whole TF-IDF rows.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                words, ends = word_hashes(*flat(part.column("text")), MARKS)
-                rows = Passages(words, ends, vocabulary, idf, PASSAGE)
-                sizes = np.bincount(rows.row, minlength=rows.n).astype(np.uint8)
-                parts = (rows.at.astype(np.int32), sizes, rows.norm.astype(np.float32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([rows.n]), *[pa.array([x.tobytes()], pa.binary()) for x in parts]],
-                    names=["n", "words", "sizes", "norms"],
-                )
-
-    return texts.mapInArrow(run, "n long, words binary, sizes binary, norms binary")
-
-
 def _add_pairs(total: np.ndarray, low: int, row: np.ndarray, at: np.ndarray, value: np.ndarray) -> None:
     """Add the products of all pairs within a row whose smaller place is in the band of ``total``.
 
@@ -198,94 +228,140 @@ def _add_pairs(total: np.ndarray, low: int, row: np.ndarray, at: np.ndarray, val
         np.add.at(flat_total, key[here], products[here])
 
 
-def _tiles(low: int, high: int, size: int, place: np.ndarray, weight: np.ndarray):
-    """(tile, sums): tiles of the rows ``low`` to ``high`` over the passages of a partition."""
+def _add_common(
+    common: np.ndarray, beside: np.ndarray, n: int, row: np.ndarray, at: np.ndarray, value: np.ndarray
+) -> None:
+    """Add the products of the first words with each other, and with all words after them."""
+    width = common.shape[1]
+    first = at < width
+    dense = np.bincount(row[first] * width + at[first], value[first], n * width)
+    dense = dense.astype(np.float32).reshape(n, width)
+    common += 0.5 * (dense.T @ dense)
+    row, at, value = row[~first], at[~first] - width, value[~first].astype(np.float32)
+    order = np.argsort(at, kind="stable")
+    row, at, value = row[order], at[order], value[order]
+    edges = np.flatnonzero(np.diff(at, prepend=-1, append=-1)).tolist()
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        beside[at[a]] += value[a:b] @ dense[row[a:b]]
+
+
+def _gathered(batches, place: np.ndarray, weight: np.ndarray, idf: np.ndarray) -> Iterator[tuple]:
+    """(n, row, at, value) of about ``GATHERED`` passages at a time, over the words of a space."""
+    held, n = [], 0
+    for batch in batches:
+        for counts, buckets, known, places in _read_hashed(batch):
+            passage = _passage_of(counts, PASSAGE)
+            more = int((-(-counts // PASSAGE)).sum())
+            norm = np.sqrt(np.bincount(passage, idf[buckets] ** 2, more))
+            at = place[places]
+            own = np.flatnonzero(at >= 0)
+            at, row = at[own], passage[known[own]]
+            held.append((row + n, at, weight[at] / np.maximum(norm[row], 1e-9)))
+            n += more
+            if n >= GATHERED:
+                yield n, *(np.concatenate(x) for x in zip(*held, strict=True))
+                held, n = [], 0
+    if n:
+        yield n, *(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def _strips(low: int, high: int, size: int, place: np.ndarray, weight: np.ndarray, idf: np.ndarray):
+    """(strip, sums): strips of the rows ``low`` to ``high`` over the passages of a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        across = -(-size // TILE)
-        total = np.zeros((high - low, across * TILE))
-        for batch in batches:
-            for words, sizes, norms in zip(*[batch.column(k) for k in ("words", "sizes", "norms")], strict=True):
-                at = place[np.frombuffer(words.as_buffer(), np.int32)]
-                counts = np.frombuffer(sizes.as_buffer(), np.uint8)
-                row = np.repeat(np.arange(len(counts)), counts)
-                own = np.flatnonzero(at >= 0)
-                at, row = at[own], row[own]
-                value = weight[at] / np.frombuffer(norms.as_buffer(), np.float32)[row]
-                _add_pairs(total, low, row, at, value)
-        for i in range(low // TILE, high // TILE):
-            band = total[i * TILE - low : (i + 1) * TILE - low].astype(np.float32)
-            cut = [band[:, j * TILE : (j + 1) * TILE] for j in range(across)]
-            held = [j for j in range(i, across) if cut[j].any()]
+        total = np.zeros((high - low, size))
+        width = min(COMMON, size)
+        common, beside = np.zeros((width, width)), np.zeros((size - width, width))
+        for n, row, at, value in _gathered(batches, place, weight, idf):
+            if low < width:
+                _add_common(common, beside, n, row, at, value)
+            after = at >= width
+            _add_pairs(total, low, row[after], at[after], value[after])
+        if low < width:
+            # Bands begin and end at tiles, so the common words may lie in several of them.
+            total[: width - low, :width] += common[low:high]
+            total[: width - low, width:] += beside.T[low:high]
+        for i in range(0, high - low, STRIP):
+            rows = total[i : i + STRIP].astype(np.float32)
+            cut = [(j, rows[:, j : j + TILE]) for j in range((low + i) // TILE * TILE, size, TILE)]
+            held = [(j // TILE, part) for j, part in cut if part.any()]
+            number = (low + i) // STRIP * (size // TILE)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([i * across + j for j in held], pa.int64()),
-                    pa.array([cut[j].tobytes() for j in held], pa.binary()),
+                    pa.array([number + j for j, _ in held], pa.int64()),
+                    pa.array([part.tobytes() for _, part in held], pa.binary()),
                 ],
-                names=["tile", "sums"],
+                names=["strip", "sums"],
             )
 
     return run
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sum of all rows of a tile, which arrive one after the other."""
+    """The sum of all rows of a strip, which arrive one after the other."""
     last, total = -1, np.zeros(0)
-
-    def one() -> pa.RecordBatch:
-        sums = pa.array([total.astype(np.float32).tobytes()], pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([last]), sums], names=["tile", "sums"])
-
     for batch in batches:
-        for tile, row in zip(batch.column("tile").to_pylist(), batch.column("sums"), strict=True):
+        strips, sums = [], []
+        for strip, row in zip(batch.column("strip").to_pylist(), batch.column("sums"), strict=True):
             values = np.frombuffer(row.as_buffer(), np.float32)
-            if tile == last:
+            if strip == last:
                 total += values
                 continue
             if last >= 0:
-                yield one()
-            last, total = tile, values.astype(np.float64)
+                strips.append(last)
+                sums.append(total.astype(np.float32).tobytes())
+            last, total = strip, values.astype(np.float64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(strips, pa.int64()), pa.array(sums, pa.binary())], names=["strip", "sums"]
+        )
     if last >= 0:
-        yield one()
+        sums = pa.array([total.astype(np.float32).tobytes()], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([last]), sums], names=["strip", "sums"])
 
 
 @dataclass
 class Gram:
-    """The Gram matrix of all passages over the words of a space, as tiles of a table.
+    """The Gram matrix of all passages over the words of a space, as strips of a table.
 
-    What lies in the tiles plus its transpose is the matrix; ``n`` passages are summed.
+    What lies in the strips plus its transpose is the matrix; ``n`` passages are summed. Words
+    stand in the ``order`` of how common they are.
     """
 
-    tiles: DataFrame
+    strips: DataFrame
     path: str
     n: int
+    order: np.ndarray
 
     def times(self, basis: np.ndarray) -> np.ndarray:
         """The matrix times ``basis``; one product for each of ``PARTS`` tasks reaches the driver."""
         total = np.zeros(basis.shape, np.float64)
-        for row in self.tiles.mapInArrow(_product(basis), "part binary").toLocalIterator():
-            total += np.frombuffer(row["part"], np.float32).reshape(basis.shape)
+        run = _product(basis[self.order])
+        for row in self.strips.mapInArrow(run, "part binary").toLocalIterator():
+            total[self.order] += np.frombuffer(row["part"], np.float32).reshape(basis.shape)
         return total.astype(np.float32)
 
 
 def gram_matrix(
     rows: DataFrame, known: np.ndarray, vocabulary: np.ndarray, idf: np.ndarray
 ) -> Gram:
-    """The Gram matrix over ``vocabulary`` of ``passages`` whose words are places in ``known``."""
-    place = np.full(len(known), -1)
-    place[np.searchsorted(known, vocabulary)] = np.arange(len(vocabulary))
+    """The Gram matrix over ``vocabulary`` of the texts whose ``hashed`` words are places in ``known``."""
     weight = idf[_buckets(vocabulary)].astype(np.float64)
+    order = np.argsort(weight, kind="stable")
+    place = np.full(len(known), -1)
+    place[np.searchsorted(known, vocabulary[order])] = np.arange(len(vocabulary))
     size = -(-len(vocabulary) // TILE) * TILE
     step = max(BAND_BYTES // (8 * size) // TILE, 1) * TILE
     bands = [
         rows.mapInArrow(
-            _tiles(low, min(low + step, size), size, place, weight), "tile long, sums binary"
+            _strips(low, min(low + step, size), size, place, weight[order], idf),
+            "strip long, sums binary",
         )
         for low in range(0, size, step)
     ]
-    parts = reduce(DataFrame.unionByName, bands).repartition("tile").sortWithinPartitions("tile")
-    tiles, path = written(parts.mapInArrow(_added, "tile long, sums binary"), "gram")
-    return Gram(tiles.coalesce(PARTS), path, rows.agg(F.sum("n")).first()[0] or 0)
+    parts = reduce(DataFrame.unionByName, bands).repartition("strip").sortWithinPartitions("strip")
+    strips, path = written(parts.mapInArrow(_added, "strip long, sums binary"), "gram")
+    n = rows.agg(F.sum("passages")).first()[0] or 0
+    return Gram(strips.coalesce(PARTS), path, n, order)
 
 
 def _product(basis: np.ndarray):
@@ -297,9 +373,10 @@ def _product(basis: np.ndarray):
         padded[: len(basis)] = basis
         total = np.zeros(padded.shape, np.float32)
         for batch in batches:
-            for tile, row in zip(batch.column("tile").to_pylist(), batch.column("sums"), strict=True):
-                sums = np.frombuffer(row.as_buffer(), np.float32).reshape(TILE, TILE)
-                i, j = (slice(k * TILE, (k + 1) * TILE) for k in divmod(tile, across))
+            for strip, row in zip(batch.column("strip").to_pylist(), batch.column("sums"), strict=True):
+                sums = np.frombuffer(row.as_buffer(), np.float32).reshape(STRIP, TILE)
+                i, j = divmod(strip, across)
+                i, j = slice(i * STRIP, (i + 1) * STRIP), slice(j * TILE, (j + 1) * TILE)
                 total[i] += sums @ padded[j]
                 total[j] += sums.T @ padded[i]
         part = total[: len(basis)].tobytes()
@@ -311,7 +388,8 @@ def _product(basis: np.ndarray):
 def latent_directions(
     rows: DataFrame, known: np.ndarray, items: Passages, vocabulary: np.ndarray, idf: np.ndarray
 ) -> np.ndarray:
-    """(words, directions): leading right singular vectors of all ``passages`` and the items.
+    """(words, directions): leading right singular vectors of the passages of all ``hashed``
+    texts and the items.
 
     The items together weigh ``WEIGHT`` times as much as the passages. Directions are doubled
     until every item keeps ``KEPT`` of its energy.
@@ -343,7 +421,7 @@ def _energy(items: Passages, words: int, least: np.ndarray) -> np.ndarray:
 
 def _subspace(texts, items: Passages, vocabulary, idf, rank: int) -> np.ndarray:
     """The leading directions over all passages of ``texts`` and the items."""
-    gram = gram_matrix(passages(texts, vocabulary, idf), vocabulary, vocabulary, idf)
+    gram = gram_matrix(hashed(texts, vocabulary), vocabulary, vocabulary, idf)
     return _leading(gram, items, vocabulary, rank)
 
 
@@ -580,33 +658,31 @@ def searchers(docs: DataFrame, benchmark: DataFrame) -> list[Searcher]:
     blocks = max(ceil(size[0] / ITEMS), ceil((size[1] or 0) / ITEM_BYTES))
     if not blocks:
         return []
-    sums = texts.mapInArrow(_frequencies, "key long, n long")
-    counts = {r[0]: r[1] for r in sums.groupBy("key").sum("n").collect()}
-    held = np.array([counts.get(b, 0) for b in range(BUCKETS)])
-    idf = np.log((1 + counts.get(-1, 0)) / (1 + held)).astype(np.float32) + np.float32(0.01)
-    spaces = []
+    blocked = []
     for block in range(blocks):
         some = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
         table = some.orderBy("item_id").toArrow()
         words, ends = word_hashes(*flat(table.column("text")), MARKS)
-        each = [words[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        filled = [k for k, w in enumerate(each) if len(w)]
-        if not filled:
-            continue
-        vocabulary = np.unique(words)
-        rows = Passages(words, ends, vocabulary, idf, None)
-        numbers = table.column("item_id").to_numpy()[filled]
-        spaces.append((numbers, [each[k] for k in filled], vocabulary, rows))
-    if not spaces:
+        if len(words):
+            blocked.append((table.column("item_id").to_numpy(), words, ends, np.unique(words)))
+    if not blocked:
         return []
-    # The passages of all documents, over the words of all spaces.
-    known = np.unique(np.concatenate([vocabulary for _, _, vocabulary, _ in spaces]))
-    found, path = written(passages(texts, known, idf), "passages")
+    # The words of all documents are hashed once, for the words of all spaces.
+    known = np.unique(np.concatenate([vocabulary for *_, vocabulary in blocked]))
+    rows, path = written(hashed(texts, known), "words")
+    sums = rows.mapInArrow(_frequencies, "key long, n long")
+    counts = {r[0]: r[1] for r in sums.groupBy("key").sum("n").collect()}
+    held = np.array([counts.get(b, 0) for b in range(BUCKETS)])
+    idf = np.log((1 + counts.get(-1, 0)) / (1 + held)).astype(np.float32) + np.float32(0.01)
     out = []
-    for numbers, own, vocabulary, rows in spaces:
-        latent = latent_directions(found, known, rows, vocabulary, idf)
+    for numbers, words, ends, vocabulary in blocked:
+        own = Passages(words, ends, vocabulary, idf, None)
+        latent = latent_directions(rows, known, own, vocabulary, idf)
         weight = idf[_buckets(vocabulary)]
-        out.append(Searcher(numbers, own, vocabulary, weight, latent * weight[:, None]))
+        each = [words[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        filled = [k for k, w in enumerate(each) if len(w)]
+        own = [each[k] for k in filled]
+        out.append(Searcher(numbers[filled], own, vocabulary, weight, latent * weight[:, None]))
     removed(docs.sparkSession, path)
     return out
 

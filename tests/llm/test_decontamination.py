@@ -200,9 +200,8 @@ def test_directions_are_fitted_on_the_passages_of_all_documents(spark, monkeypat
     monkeypatch.setattr(decontamination, "BAND_BYTES", 1 << 17)
     docs = spark.createDataFrame([(t,) for t in texts * 2], "text string").repartition(5)
     known = np.unique(word_hashes(*flat(pa.array([" ".join(kinds)])), MARKS)[0])
-    gram = decontamination.gram_matrix(
-        decontamination.passages(docs, known, idf), known, vocabulary, idf
-    )
+    monkeypatch.setattr(decontamination, "COMMON", 40)
+    gram = decontamination.gram_matrix(decontamination.hashed(docs, known), known, vocabulary, idf)
     rows = Passages(*word_hashes(*flat(pa.array(texts * 2)), MARKS), vocabulary, idf, decontamination.PASSAGE)
     assert gram.n == rows.n > 5000
     assert len(vocabulary) > 2 * decontamination.TILE
