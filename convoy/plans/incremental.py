@@ -15,6 +15,7 @@ the whole history would give, and running a day again replaces it.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from convoy.sources.changes import came, read_changes, went, write_changes
 from convoy.sources.lake import read_table
 from convoy.sources.versions import current, publish
 
+_TABLES = ("fuel_reports", "time_entries", "profiles")
 _OWNER = "owner"
 _RECORDS = ["category", "entity", "anomaly_type", "detail", _OWNER]
 _COLUMNS = ["unit_no", "report_date", "created_at", "odometer", "fuel_litres", "id"]
@@ -102,8 +104,10 @@ def from_changes(spark: SparkSession, root: str, day: str, before: str) -> Outco
     """A day from the state of an earlier one and the changes since then."""
     known = spark.read.parquet(current(spark, state_path(root, "records"), schemas.DETECT_KEY)[before])
     last = spark.read.parquet(current(spark, state_path(root, "fills"), schemas.DETECT_KEY)[before])
-    fuel, last, units = _fuel_changes(spark, root, day, last, known)
-    shift, employees = _shift_changes(spark, root, day, known)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fills = pool.submit(_fuel_changes, spark, root, day, last, known)
+        shifts = pool.submit(_shift_changes, spark, root, day, known)
+        (fuel, last, units), (shift, employees) = fills.result(), shifts.result()
     return Outcome(fuel.unionByName(shift), last, units, employees)
 
 
@@ -161,19 +165,29 @@ def detect_changes(spark: SparkSession, root: str, day: str) -> dict:
     """Check one day from the state of the newest day before it; its summary.
 
     The changes of the day's tables are found first, against the day that the state is of.
+    Steps that do not depend on each other are submitted side by side, so that short jobs fill
+    the gaps of long ones.
     """
     states = current(spark, state_path(root, "records"), schemas.DETECT_KEY)
     before = max((d for d in states if d < day), default=None)
     if before is None:
         found = from_scratch(spark, root, day)
     else:
-        for table in ("fuel_reports", "time_entries", "profiles"):
-            write_changes(spark, root, table, day, since=before)
+        with ThreadPoolExecutor(max_workers=len(_TABLES)) as pool:
+            pending = [pool.submit(write_changes, spark, root, t, day, since=before) for t in _TABLES]
+            for job in pending:
+                job.result()
         found = from_changes(spark, root, day, before)
     fills, records = state_path(root, "fills"), state_path(root, "records")
-    publish(spark, fills, schemas.DETECT_KEY, day, found.last_fills.write.parquet)
-    # Last, since it makes the day known to later ones.
-    path = publish(spark, records, schemas.DETECT_KEY, day, found.records.select(*_RECORDS).write.parquet)
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        last = pool.submit(publish, spark, fills, schemas.DETECT_KEY, day, found.last_fills.write.parquet)
+
+        def write(path: str) -> None:
+            found.records.select(*_RECORDS).write.parquet(path)
+            # The records make the day known to later ones, so they are marked last.
+            last.result()
+
+        path = publish(spark, records, schemas.DETECT_KEY, day, write)
     summary = write_anomalies(spark.read.parquet(path), root, day)
     write_run(spark, root, summary)
     return {

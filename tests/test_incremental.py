@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from convoy.plans.incremental import detect_changes, from_changes
 from convoy.sources.anomaly_store import read_anomalies, read_runs
 from convoy.sources.changes import came, difference, read_changes, went, write_changes
 from convoy.sources.lake import read_table, write_snapshot
+from convoy.sources.versions import publish
 from tests.helpers import rows
 
 DAYS = ["2026-07-01", "2026-07-02", "2026-07-03", "2026-07-04"]
@@ -144,3 +146,25 @@ def test_the_state_holds_a_row_per_unit(spark, root):
     land(spark, root, DAYS[0], *FIRST)
     found = incremental.from_scratch(spark, root, DAYS[0])
     assert sorted(rows(found.last_fills, "unit_no", "id"), key=str) == [("U1", 2), ("U2", 3), (None, 4)]
+
+
+def test_steps_that_do_not_depend_on_each_other_run_side_by_side(spark, root, monkeypatch):
+    """The three differences are under way at once, and a day is known only with its last fills."""
+    together = threading.Barrier(3, timeout=60)
+    marked = []
+
+    def changes(*args, **options):
+        together.wait()
+        return write_changes(*args, **options)
+
+    def published(session, base, key, day, write):
+        path = publish(session, base, key, day, write)
+        marked.append(base.rsplit("/", 1)[-1])
+        return path
+
+    monkeypatch.setattr(incremental, "write_changes", changes)
+    monkeypatch.setattr(incremental, "publish", published)
+    for day in DAYS[:2]:
+        land(spark, root, day, *FIRST)
+        detect_changes(spark, root, day)
+    assert marked == ["fills", "records"] * 2
