@@ -51,8 +51,10 @@ PARTS = 4
 BAND_BYTES = 1 << 26
 # The commonest words of a space, whose products are taken as dense columns.
 COMMON = 256
+# Partitions of texts that a task sums, while there are more tasks than cores.
+SHARED = 4
 # Passages that are added at once.
-GATHERED = 1 << 14
+GATHERED = 1 << 13
 # Directions beyond the number of items, products with the passages, and the share of every
 # item's energy that the directions have to keep.
 SPARE = 16
@@ -69,8 +71,15 @@ LONGER = 1.25
 WINDOW = 4
 # Bytes of text whose running sums a task holds at once.
 SEARCHED = 1 << 19
+# Words between two edges of windows at most, and edges up to which sums are added at once.
+BETWEEN = 32
+SUMMED = 1 << 10
+# Rows of running sums in a block.
+ADDED = 32
 # Words of stretches that a task holds at once.
 HITS = 1 << 20
+# Words of an item that have a bit each.
+BITS = 64
 ALIGNED = 0.6
 ALIGNED_WITH_ANSWER = 0.5
 ANSWER = 5
@@ -225,7 +234,7 @@ def _add_pairs(total: np.ndarray, low: int, row: np.ndarray, at: np.ndarray, val
         key = first * width + np.maximum(one, other) + low
         products = value[pair] * value[pair + step] * (1.0 if step else 0.5)
         here = first < len(total)
-        np.add.at(flat_total, key[here], products[here])
+        np.add.at(flat_total, key[here], products[here].astype(total.dtype))
 
 
 def _add_common(
@@ -234,8 +243,8 @@ def _add_common(
     """Add the products of the first words with each other, and with all words after them."""
     width = common.shape[1]
     first = at < width
-    dense = np.bincount(row[first] * width + at[first], value[first], n * width)
-    dense = dense.astype(np.float32).reshape(n, width)
+    dense = np.zeros((n, width), np.float32)
+    np.add.at(dense.reshape(-1), row[first] * width + at[first], value[first].astype(np.float32))
     common += 0.5 * (dense.T @ dense)
     row, at, value = row[~first], at[~first] - width, value[~first].astype(np.float32)
     order = np.argsort(at, kind="stable")
@@ -248,11 +257,12 @@ def _add_common(
 def _gathered(batches, place: np.ndarray, weight: np.ndarray, idf: np.ndarray) -> Iterator[tuple]:
     """(n, row, at, value) of about ``GATHERED`` passages at a time, over the words of a space."""
     held, n = [], 0
+    square = (idf**2).astype(np.float64)
     for batch in batches:
         for counts, buckets, known, places in _read_hashed(batch):
             passage = _passage_of(counts, PASSAGE)
             more = int((-(-counts // PASSAGE)).sum())
-            norm = np.sqrt(np.bincount(passage, idf[buckets] ** 2, more))
+            norm = np.sqrt(np.bincount(passage, square[buckets], more))
             at = place[places]
             own = np.flatnonzero(at >= 0)
             at, row = at[own], passage[known[own]]
@@ -269,7 +279,7 @@ def _strips(low: int, high: int, size: int, place: np.ndarray, weight: np.ndarra
     """(strip, sums): strips of the rows ``low`` to ``high`` over the passages of a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((high - low, size))
+        total = np.zeros((high - low, size), np.float32)
         width = min(COMMON, size)
         common, beside = np.zeros((width, width)), np.zeros((size - width, width))
         for n, row, at, value in _gathered(batches, place, weight, idf):
@@ -282,7 +292,7 @@ def _strips(low: int, high: int, size: int, place: np.ndarray, weight: np.ndarra
             total[: width - low, :width] += common[low:high]
             total[: width - low, width:] += beside.T[low:high]
         for i in range(0, high - low, STRIP):
-            rows = total[i : i + STRIP].astype(np.float32)
+            rows = total[i : i + STRIP]
             cut = [(j, rows[:, j : j + TILE]) for j in range((low + i) // TILE * TILE, size, TILE)]
             held = [(j // TILE, part) for j, part in cut if part.any()]
             number = (low + i) // STRIP * (size // TILE)
@@ -350,9 +360,10 @@ def gram_matrix(
     place = np.full(len(known), -1)
     place[np.searchsorted(known, vocabulary[order])] = np.arange(len(vocabulary))
     size = -(-len(vocabulary) // TILE) * TILE
-    step = max(BAND_BYTES // (8 * size) // TILE, 1) * TILE
+    step = max(BAND_BYTES // (4 * size) // TILE, 1) * TILE
+    some = shared(rows)
     bands = [
-        rows.mapInArrow(
+        some.mapInArrow(
             _strips(low, min(low + step, size), size, place, weight[order], idf),
             "strip long, sums binary",
         )
@@ -364,6 +375,13 @@ def gram_matrix(
     return Gram(strips.coalesce(PARTS), path, n, order)
 
 
+def shared(rows: DataFrame) -> DataFrame:
+    """``rows`` in fewer partitions: a task's strips are as many however many texts it sums."""
+    parts = rows.rdd.getNumPartitions()
+    least = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(max(ceil(parts / SHARED), min(least, parts), 1))
+
+
 def _product(basis: np.ndarray):
     """The partition's part of the matrix times ``basis``, as one row of bytes."""
 
@@ -496,14 +514,26 @@ class Searcher:
             self.kinds[k, kinds] = np.arange(len(kinds))
             self.times[k, : len(kinds)] = times
         self.needed = ALIGNED_WITH_ANSWER * np.array([len(w) for w in self.words])
+        # A bit for each word of a short item, repeated ones too, at its word of the vocabulary.
+        self.short = np.array([len(w) <= BITS for w in self.words])
+        self.bits = np.zeros((int(self.short.sum()), len(self.vocabulary) + 1), _U)
+        for row, k in enumerate(np.flatnonzero(self.short)):
+            kinds, times = distinct[k]
+            first = np.cumsum(times) - times
+            ones = (_U(1) << (times - 1).astype(_U)) * _U(2) - _U(1)
+            self.bits[row, kinds] = ones << first.astype(_U)
 
     def matches(self, words: np.ndarray, ends: np.ndarray) -> list[tuple]:
         """(text, item, cosine, aligned, answer) of the best place of every item in every text."""
-        named = np.full(len(words), len(self.vocabulary))
+        # As many further words follow as a stretch may have, so each can be taken in full width.
+        width = STRETCH * int(self.step.max(initial=0))
+        named = np.full(len(words) + width, len(self.vocabulary), np.int32)
         here, which = _places(self.vocabulary, words)
         named[here] = which
         best: dict[tuple[int, int], tuple] = {}
         for item, begins, cosines in self._stretches(here, which, ends):
+            likely = self._likely(item, named, begins)
+            item, begins, cosines = item[likely], begins[likely], cosines[likely]
             texts = np.searchsorted(ends, begins, side="right") - 1
             stops = np.minimum(begins + STRETCH * self.step[item], ends[texts + 1])
             enough = self._enough(item, named, begins, stops)
@@ -527,10 +557,13 @@ class Searcher:
         """Items with the first words of stretches in windows near to them, and the cosines."""
         n_words = np.diff(ends)
         heavy = self.heavy[which]
-        weighed = here[heavy]
-        sums = np.zeros((len(weighed) + 1, self.latent.shape[1]), np.float32)
-        np.cumsum(self.latent[which[heavy]], axis=0, out=sums[1:])
-        for longest, own, vectors, least in self.groups:
+        # Known and weighed words before each word.
+        n_known, n_weighed = np.zeros((2, ends[-1] + 1), np.int64)
+        n_known[here + 1], n_weighed[here[heavy] + 1] = 1, 1
+        n_known, n_weighed = np.cumsum(n_known), np.cumsum(n_weighed)
+        windows = []
+        edge = np.zeros(n_weighed[-1] + 1, bool)
+        for longest, _, _, least in self.groups:
             per_text = -(-n_words // longest)
             owner = np.repeat(np.arange(len(n_words)), per_text)
             before = np.cumsum(per_text) - per_text
@@ -538,17 +571,27 @@ class Searcher:
             stop = np.minimum(begin + WINDOW * longest, n_words[owner])
             begins, stops = ends[owner] + begin, ends[owner] + stop
             # A stretch that can be accepted has half of the item's words at least.
-            held = np.searchsorted(here, stops) - np.searchsorted(here, begins)
-            full = np.flatnonzero(held >= least)
-            low, high = np.searchsorted(weighed, begins), np.searchsorted(weighed, stops)
+            full = np.flatnonzero(n_known[stops] - n_known[begins] >= least)
+            low, high = n_weighed[begins[full]], n_weighed[stops[full]]
+            edge[low] = edge[high] = True
+            windows.append((owner[full], begin[full], low, high))
+        # Further edges keep the words between two of them few.
+        edge[::BETWEEN] = True
+        sums = self._sums(which[heavy], np.flatnonzero(edge))
+        # The row of the running sums at each edge.
+        place = np.cumsum(edge) - 1
+        for (longest, own, vectors, _), (owner, begin, low, high) in zip(
+            self.groups, windows, strict=True
+        ):
+            low, high = place[low], place[high]
             found = []
-            for at in range(0, len(full), 8192):
-                some = full[at : at + 8192]
+            for at in range(0, len(owner), 4096):
+                some = slice(at, at + 4096)
                 vector = sums[high[some]] - sums[low[some]]
-                norm = np.maximum(np.linalg.norm(vector, axis=1), 1e-6)
+                norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", vector, vector)), 1e-6)
                 cosine = (vector @ vectors.T) / norm[:, None]
                 w, k = np.nonzero(cosine >= COSINE)
-                found.append((some[w], own[k], np.minimum(cosine[w, k], 1.0)))
+                found.append((at + w, own[k], np.minimum(cosine[w, k], 1.0)))
             if not found:
                 continue
             window, item, cosine = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -562,6 +605,48 @@ class Searcher:
                 yield item, ends[owner[window]] + start, cosine
                 start = start + step
 
+    def _sums(self, words: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Running sums of the words' vectors from the first of ``edges`` to each."""
+        blocks = max(ceil(len(edges) / ADDED), 1)
+        out = np.zeros((blocks * ADDED, self.latent.shape[1]), np.float32)
+        for at in range(0, len(edges) - 1, SUMMED):
+            some = edges[at : at + SUMMED + 1]
+            first, sizes = some[:-1], np.diff(some)
+            # The longest first, so that those with a next word are the first ones.
+            order = np.argsort(-sizes, kind="stable")
+            first, sizes = first[order], sizes[order]
+            total = self.latent[words[first]]
+            for step in range(1, int(sizes[0])):
+                more = int(np.searchsorted(-sizes, -step))
+                total[:more] += self.latent[words[first[:more] + step]]
+            out[at + 1 + order] = total
+        # Within all blocks of rows at once, and then from block to block.
+        parts = out.reshape(blocks, ADDED, -1)
+        for row in range(1, ADDED):
+            parts[:, row] += parts[:, row - 1]
+        before = np.cumsum(parts[:-1, -1], axis=0, dtype=np.float64)
+        parts[1:] += before.astype(np.float32)[:, None]
+        return out
+
+    def _likely(self, item: np.ndarray, named: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Which stretches, in ascending order of items, may hold enough words of their item.
+
+        Every word of an item counts once one like it stands in the stretch, or somewhat after it.
+        """
+        order = np.argsort(item, kind="stable")
+        out = ~self.short[item]
+        short = order[~out[order]]
+        base = (np.cumsum(self.short) - 1) * self.bits.shape[1]
+        width = STRETCH * int(self.step[item[short]].max(initial=1))
+        stretches = np.lib.stride_tricks.sliding_window_view(named, width)
+        rows = max(HITS // 8 // width, 1)
+        for at in range(0, len(short), rows):
+            some = short[at : at + rows]
+            words = stretches[begins[some]] + base[item[some], None]
+            held = np.bitwise_or.reduce(self.bits.ravel().take(words), axis=1)
+            out[some] = np.bitwise_count(held) >= self.needed[item[some]]
+        return order[out[order]]
+
     def _enough(
         self, item: np.ndarray, named: np.ndarray, begins: np.ndarray, stops: np.ndarray
     ) -> np.ndarray:
@@ -618,11 +703,11 @@ def _matched(parts: list[Searcher], part: pa.RecordBatch) -> list[tuple]:
     ]
 
 
-def _found(shared):
+def _found(searched):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SEARCHED):
-                rows = _matched(shared.value, part)
+                rows = _matched(searched.value, part)
                 ids = part.column("doc_id").to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -638,12 +723,12 @@ def _found(shared):
     return run
 
 
-def _clean(shared):
+def _clean(searched):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SEARCHED):
                 keep = np.ones(part.num_rows, bool)
-                keep[[r[0] for r in _matched(shared.value, part)]] = False
+                keep[[r[0] for r in _matched(searched.value, part)]] = False
                 yield part.filter(pa.array(keep))
 
     return run
@@ -700,14 +785,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = texts.filter(F.col("doc_id").isNotNull())
     schema = "doc_id long, item_id long, cosine double, aligned double, answer boolean"
     out = docs.sparkSession.createDataFrame([], schema)
-    for shared in _passes(docs, benchmark):
-        out = out.unionByName(texts.mapInArrow(_found(shared), schema))
+    for searched in _passes(docs, benchmark):
+        out = out.unionByName(texts.mapInArrow(_found(searched), schema))
     return out
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item, with all of their columns."""
     rows = docs.select("text", whole_row(docs))
-    for shared in _passes(docs, benchmark):
-        rows = rows.mapInArrow(_clean(shared), rows.schema)
+    for searched in _passes(docs, benchmark):
+        rows = rows.mapInArrow(_clean(searched), rows.schema)
     return rows.select("row.*")

@@ -220,3 +220,58 @@ def test_directions_of_a_benchmark_see_every_document(spark, monkeypatch):
     items = spark.read.parquet(f"{DATA}/benchmark.parquet")
     assert len(decontamination.searchers(docs, items)) == 1
     assert counted == [5000]
+
+
+def searcher(items, kinds):
+    """A searcher of ``items``, lists of words below ``kinds``."""
+    rng = np.random.default_rng(6)
+    latent = rng.standard_normal((kinds, 9)).astype(np.float32)
+    own = [np.array(item, np.uint64) for item in items]
+    vocabulary = np.arange(kinds, dtype=np.uint64)
+    return decontamination.Searcher(np.arange(len(own)), own, vocabulary, np.ones(kinds), latent)
+
+
+def test_few_stretches_are_counted_word_by_word_and_none_is_lost():
+    rng = np.random.default_rng(7)
+    items = [rng.integers(0, 3000, n) for n in (1, 5, 20, 30, 40, 63, 64, 65, 100)]
+    items.append([3] * 64)
+    one = searcher(items, 3000)
+    named = rng.integers(0, 3001, 4000).astype(np.int32)
+    for k, item in enumerate(items):
+        # Half of the item's words, in any order.
+        at, some = 5 + 390 * k, rng.permutation(item)[: -(-len(item) // 2)]
+        named[at : at + len(some)] = some
+    named[-400:] = 3000
+    begins = np.tile(np.arange(0, 3600, 5), len(items))
+    item = np.repeat(np.arange(len(items)), 720)
+    stops = np.minimum(begins + 3 * one.step[item], 3600)
+    enough = set(np.flatnonzero(one._enough(item, named, begins, stops)).tolist())
+    likely = one._likely(item, named, begins).tolist()
+    assert enough >= {k * 720 + 1 + 78 * k for k in range(len(items))} and enough <= set(likely)
+    short = [k for k in likely if 4 < one.step[item[k]] <= 64]
+    assert len(short) < 0.2 * (item < 7).sum()
+
+
+def test_running_sums_at_edges_are_those_of_all_words():
+    rng = np.random.default_rng(8)
+    one = searcher([[1, 2, 3, 4, 5]], 50)
+    words = rng.integers(0, 50, 20_000)
+    whole = np.concatenate([np.zeros((1, 9)), np.cumsum(one.latent[words].astype(float), axis=0)])
+    for edges in ([0], [0, 20_000], [7, 9, 10, 500], np.unique(rng.integers(0, 20_001, 5000))):
+        sums = one._sums(words, np.array(edges))[: len(edges)]
+        assert np.allclose(sums, whole[edges] - whole[edges[0]], atol=1e-2)
+
+
+def test_partitions_share_the_strips_of_a_gram_matrix(spark):
+    folder = "/root/testdata/sf0.01"
+    items = spark.read.parquet(f"{folder}/benchmark.parquet").toArrow()
+    vocabulary = np.unique(word_hashes(*flat(items.column("text")), MARKS)[0])
+    texts = spark.read.parquet(f"{folder}/documents.parquet").select("text").repartition(200)
+    rows = decontamination.hashed(texts, vocabulary)
+    idf = np.ones(decontamination.BUCKETS, np.float32)
+    gram = decontamination.gram_matrix(rows, vocabulary, vocabulary, idf)
+    whole = decontamination.gram_matrix(rows.coalesce(1), vocabulary, vocabulary, idf)
+    basis = np.random.default_rng(9).standard_normal((len(vocabulary), 3)).astype(np.float32)
+    assert gram.n == whole.n
+    assert np.allclose(gram.times(basis), whole.times(basis), atol=1e-3)
+    assert decontamination.shared(rows).rdd.getNumPartitions() <= 50
