@@ -35,8 +35,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n-1 of the base and of its inverse, kept for the next call."""
-    if len(_tables.get("up", ())) < n:
-        size = max(n, BLOCK + 1024)
+    held = len(_tables.get("up", ()))
+    if held < n:
+        size = max(n, 2 * held, 1 << 16)
         for name, base in (("up", BASE), ("down", BASE_INVERSE)):
             steps = np.full(size, base, _U)
             steps[0] = 1

@@ -46,6 +46,9 @@ GRAM = 24
 GROUP = 4096
 # Segments that a task sorts at once.
 BATCH = 20_000
+# Bytes of text that a step holds as arrays, and of neighbours that are compared at once.
+SLICE = 1 << 18
+VERIFIED = 1 << 18
 
 
 def segments(
@@ -107,7 +110,7 @@ def _anchors(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 data, offsets = flat(part.column("text"))
                 hashes, first, _, _ = segments(data, offsets, length, gram)
                 owner = np.searchsorted(offsets, first, side="right") - 1
@@ -147,7 +150,7 @@ def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed for the shuffle, which is most of what this job moves."""
     tool = ZstdCompressor(level=1)
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             packed = [tool.compress(t.encode()) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -164,7 +167,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Slices of rows with their texts unpacked, by the size of those."""
     tool = ZstdDecompressor()
     for batch in batches:
-        for part in slices(batch, "size"):
+        for part in slices(batch, "size", SLICE):
             raw = [tool.decompress(z) for z in part.column("packed").to_pylist()]
             yield part.append_column("text", pa.array(raw, pa.binary()))
 
@@ -317,10 +320,18 @@ class Suffixes:
         """Whether neighbours really share those bytes and are in order."""
         x, y, sizes = order[:-1], order[1:], shared[1:]
         ends = np.cumsum(sizes)
-        step = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
-        one = self.data[np.repeat(self.start[x], sizes) + step]
-        other = self.data[np.repeat(self.start[y], sizes) + step]
-        return bool((one == other).all()) and not self.less(y, x)[same].any()
+        at = 0
+        while at < len(sizes):
+            base = ends[at] - sizes[at]
+            stop = max(int(np.searchsorted(ends, base + VERIFIED, side="right")), at + 1)
+            some = slice(at, stop)
+            step = np.arange(ends[stop - 1] - base) - np.repeat(ends[some] - sizes[some] - base, sizes[some])
+            one = self.data[np.repeat(self.start[x[some]], sizes[some]) + step]
+            other = self.data[np.repeat(self.start[y[some]], sizes[some]) + step]
+            if not (one == other).all():
+                return False
+            at = stop
+        return not self.less(y, x)[same].any()
 
     def _plain(self, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same by comparing bytes, where two hashes have collided."""
