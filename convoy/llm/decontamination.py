@@ -234,7 +234,7 @@ def _add_pairs(total: np.ndarray, low: int, row: np.ndarray, at: np.ndarray, val
         key = first * width + np.maximum(one, other) + low
         products = value[pair] * value[pair + step] * (1.0 if step else 0.5)
         here = first < len(total)
-        np.add.at(flat_total, key[here], products[here].astype(total.dtype))
+        np.add.at(flat_total, key[here], products[here])
 
 
 def _add_common(
@@ -279,7 +279,7 @@ def _strips(low: int, high: int, size: int, place: np.ndarray, weight: np.ndarra
     """(strip, sums): strips of the rows ``low`` to ``high`` over the passages of a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((high - low, size), np.float32)
+        total = np.zeros((high - low, size))
         width = min(COMMON, size)
         common, beside = np.zeros((width, width)), np.zeros((size - width, width))
         for n, row, at, value in _gathered(batches, place, weight, idf):
@@ -292,7 +292,7 @@ def _strips(low: int, high: int, size: int, place: np.ndarray, weight: np.ndarra
             total[: width - low, :width] += common[low:high]
             total[: width - low, width:] += beside.T[low:high]
         for i in range(0, high - low, STRIP):
-            rows = total[i : i + STRIP]
+            rows = total[i : i + STRIP].astype(np.float32)
             cut = [(j, rows[:, j : j + TILE]) for j in range((low + i) // TILE * TILE, size, TILE)]
             held = [(j // TILE, part) for j, part in cut if part.any()]
             number = (low + i) // STRIP * (size // TILE)
@@ -360,7 +360,7 @@ def gram_matrix(
     place = np.full(len(known), -1)
     place[np.searchsorted(known, vocabulary[order])] = np.arange(len(vocabulary))
     size = -(-len(vocabulary) // TILE) * TILE
-    step = max(BAND_BYTES // (4 * size) // TILE, 1) * TILE
+    step = max(BAND_BYTES // (8 * size) // TILE, 1) * TILE
     some = shared(rows)
     bands = [
         some.mapInArrow(
@@ -723,13 +723,17 @@ def _found(searched):
     return run
 
 
-def _clean(searched):
+def _clean(searched, text: int):
+    """The rows, structs with a text in place ``text``, that hold no item."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", SEARCHED):
+            # The texts are looked at in their rows, so that they arrive and leave once.
+            texts = batch.column("row").field(text)
+            for part in slices(batch.append_column("text", texts), "text", SEARCHED):
                 keep = np.ones(part.num_rows, bool)
                 keep[[r[0] for r in _matched(searched.value, part)]] = False
-                yield part.filter(pa.array(keep))
+                yield part.select(["row"]).filter(pa.array(keep))
 
     return run
 
@@ -792,7 +796,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item, with all of their columns."""
-    rows = docs.select("text", whole_row(docs))
+    rows = docs.select(whole_row(docs))
+    text = [c.lower() for c in docs.columns].index("text")
     for searched in _passes(docs, benchmark):
-        rows = rows.mapInArrow(_clean(searched), rows.schema)
+        rows = rows.mapInArrow(_clean(searched, text), rows.schema)
     return rows.select("row.*")

@@ -275,12 +275,16 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, reject: float = REJECT)
     )
 
 
-def _accepted(chain: Chain, reject: float):
+def _accepted(chain: Chain, reject: float, text: int):
+    """The rows, structs with a text in place ``text``, that are not rejected."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            # The texts are looked at in their rows, so that they arrive and leave once.
+            texts = batch.column("row").field(text)
+            for part in slices(batch.append_column("text", texts), "text"):
                 score = chain.probabilities(*flat(part.column("text")))[:, -1]
-                yield part.filter(pa.array(score < reject))
+                yield part.select(["row"]).filter(pa.array(score < reject))
 
     return run
 
@@ -290,5 +294,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, reject: float = REJECT) ->
     chain = fit_chain(docs, labels)
     if chain is None:
         return docs
-    rows = docs.select("text", whole_row(docs))
-    return rows.mapInArrow(_accepted(chain, reject), rows.schema).select("row.*")
+    rows = docs.select(whole_row(docs))
+    text = [c.lower() for c in docs.columns].index("text")
+    return rows.mapInArrow(_accepted(chain, reject, text), rows.schema).select("row.*")

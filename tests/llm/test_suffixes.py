@@ -156,3 +156,33 @@ def test_compressible_texts_over_partitionings(spark):
     for n in (1, 5):
         result = removal_digest(without_repeats(docs.repartition(n, "doc_id"))).collect()
         assert {r[0]: tuple(r[1:]) for r in result} == wanted
+
+
+def test_slices_and_neighbours_are_bounded(monkeypatch):
+    """Steps hold a part of a batch, and what neighbours share is compared in parts."""
+    rng = random.Random(11)
+    texts = [prose(rng, 4000) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(texts)], names=["doc_id", "text"])
+    sizes = []
+    whole = suffixes.segments
+
+    def seen(data, *rest):
+        sizes.append(len(data))
+        return whole(data, *rest)
+
+    monkeypatch.setattr(suffixes, "segments", seen)
+    list(suffixes._anchors(100, GRAM)(iter([batch])))
+    assert sum(sizes) == sum(len(t.encode()) for t in texts) and max(sizes) <= 1 << 18
+    strings = sorted(rng.choice(["ab", "abc"]) * 30 + str(i) for i in range(500))
+    data = np.frombuffer("".join(strings).encode(), np.uint8)
+    size = np.array([len(x) for x in strings])
+    start = np.cumsum(size) - size
+    monkeypatch.setattr(suffixes, "VERIFIED", 64)
+    some = Suffixes(data, start, size)
+    order, shared = some.sort(np.zeros(500, np.int64))
+    assert [strings[k] for k in order] == strings
+    assert some._verified(order, shared, np.ones(499, bool))
+    for k in (1, 250, 499):
+        wrong = shared.copy()
+        wrong[k] = min(size[order[k - 1]], size[order[k]])
+        assert (wrong[k] == shared[k]) == some._verified(order, wrong, np.ones(499, bool))
